@@ -6,15 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import OP6_SQL, op6_decontamination
+from .langid import op3_language_id
 from .packing import op5_packing
+from .simhash import op7_simhash
 from .token_counts import op9_token_counts
+from .toxicity import op8_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_packing": op5_packing, "op9_token_counts": op9_token_counts}
+    return {
+        "op3_language_id": op3_language_id,
+        "op5_packing": op5_packing,
+        "op6_decontamination": op6_decontamination,
+        "op7_simhash": op7_simhash,
+        "op8_toxicity": op8_toxicity,
+        "op9_token_counts": op9_token_counts,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontamination": OP6_SQL}
