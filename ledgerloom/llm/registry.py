@@ -9,16 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import OP6_SQL, op6_decontamination
 from .langid import op3_language_id
 from .packing import op5_packing
+from .sharding import op2_sharding
 from .simhash import op7_simhash
 from .token_counts import op9_token_counts
 from .toxicity import op8_toxicity
+from .url_filter import OP4_SQL, op4_url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_sharding": op2_sharding,
         "op3_language_id": op3_language_id,
+        "op4_url_filter": op4_url_filter,
         "op5_packing": op5_packing,
         "op6_decontamination": op6_decontamination,
         "op7_simhash": op7_simhash,
@@ -28,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": OP6_SQL}
+    return {"op4_url_filter": OP4_SQL, "op6_decontamination": OP6_SQL}
