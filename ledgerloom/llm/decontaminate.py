@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, with_defaults
+from .shared import carried, cut, passed_on, with_defaults
 from .textbytes import LOWER, Rolling, buffers, chunks, one_row_windows, word_spans
 
 WINDOW_WORDS = 13
@@ -97,22 +97,23 @@ def benchmark_items(benchmark: DataFrame, most_bytes: int = BROADCAST_BYTES) ->
 RESULT = "doc_id long, n_words long, n_hit long, items array<long>, spans array<struct<start:int,end:int>>"
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, most_bytes: int = BROADCAST_BYTES, carry: bool = False) -> DataFrame:
     """``(doc_id, n_words, n_hit, items, spans)`` of every row of ``docs(doc_id, text)``.
 
     A window is ``window`` consecutive words of an item (all of them for a shorter item
     that has any).  ``items`` are the items with a window in the document, ``spans`` the
     hit words merged to character runs (UTF-8 byte offsets, end exclusive).  Null and
     empty texts have no words.  Repeated rows each come back.  A benchmark beyond
-    ``most_bytes`` is not broadcast: ``scan_by_join`` shuffles windows instead.
+    ``most_bytes`` is not broadcast: ``scan_by_join`` shuffles windows instead.  With ``carry`` each result
+    holds its whole input row as the struct ``whole``.
     """
     items = benchmark_items(benchmark, most_bytes)
     if items is None:
-        return scan_by_join(docs, benchmark, window, most_bytes)
-    return _scan_items(docs, items, window)
+        return scan_by_join(docs, benchmark, window, carry)
+    return _scan_items(docs, items, window, carry)
 
 
-def _scan_items(docs: DataFrame, items: list[tuple[int, str | None]], window: int) -> DataFrame:
+def _scan_items(docs: DataFrame, items: list[tuple[int, str | None]], window: int, carry: bool) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(items)
     cache: dict[str, WindowSet] = {}
 
@@ -134,7 +135,10 @@ def _scan_items(docs: DataFrame, items: list[tuple[int, str | None]], window: in
                         spans[-1][1] = max(spans[-1][1], e)
                     else:
                         spans.append([s, e])
-                yield pa.RecordBatch.from_arrays(
+                yield passed_on(
+                    batch,
+                    lo,
+                    hi - lo,
                     [
                         batch.column("doc_id").slice(lo, hi - lo),
                         pa.array(n_words.astype(np.int64)),
@@ -145,10 +149,11 @@ def _scan_items(docs: DataFrame, items: list[tuple[int, str | None]], window: in
                     ["doc_id", "n_words", "n_hit", "items", "spans"],
                 )
 
-    return with_defaults(docs, doc_id="long", text="string").mapInArrow(run, RESULT)
+    src = with_defaults(docs, carry, doc_id="long", text="string")
+    return src.mapInArrow(run, carried(src, RESULT))
 
 
-def scan_by_join(docs: DataFrame, benchmark: DataFrame, window: int, most_bytes: int) -> DataFrame:
+def scan_by_join(docs: DataFrame, benchmark: DataFrame, window: int, carry: bool = False) -> DataFrame:
     """As ``scan`` for a benchmark of any size: word windows meet in a shuffled join.
 
     Items and documents become rows (id, position, window) with the words themselves as
@@ -167,7 +172,7 @@ def scan_by_join(docs: DataFrame, benchmark: DataFrame, window: int, most_bytes:
     items = listed(with_defaults(benchmark, item_id="long", text="string"), "item_id").where("size(words) > 0").withColumn("n", F.least(F.size("words"), F.lit(window)))
     keys = items.select("item_id", F.explode(F.expr("transform(sequence(0, size(words) - n), i -> array_join(slice(words, i + 1, n), ' '))")).alias("w")).distinct()
     # row numbers are written once, so every use of them sees the same
-    base = cut(with_defaults(docs, doc_id="long", text="string").withColumn("row", F.monotonically_increasing_id()), "rows")
+    base = cut(with_defaults(docs, carry, doc_id="long", text="string").withColumn("row", F.monotonically_increasing_id()), "rows")
     texts = listed(base, "row")
     lengths = sorted(r[0] for r in items.select("n").distinct().collect())  # at most ``window`` values
     parts = [windows(texts, "row", n).withColumn("n", F.lit(n)) for n in lengths]
@@ -176,9 +181,9 @@ def scan_by_join(docs: DataFrame, benchmark: DataFrame, window: int, most_bytes:
     per_word = hits.select("row", F.explode(F.expr("sequence(at, at + n - 1)")).alias("k")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
     per_item = hits.select("row", F.explode("ids").alias("item")).distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
     sized = texts.select("row", F.size("words").cast("long").alias("n_words"))
-    out = base.select("doc_id", "row").join(sized, "row").join(per_word, "row", "left").join(per_item, "row", "left")
+    out = base.drop("text").join(sized, "row").join(per_word, "row", "left").join(per_item, "row", "left")
     none = F.expr("cast(array() as array<long>)")
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"), F.expr("cast(null as array<struct<start:int,end:int>>)").alias("spans"))
+    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"), F.expr("cast(null as array<struct<start:int,end:int>>)").alias("spans"), *(["whole"] if carry else []))
 
 
 def contaminated(n_hit="n_hit", n_words="n_words", share: int = SHARE):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import with_defaults
+from .shared import carried, passed_on, with_defaults
 from .textbytes import buffers, chunks
 
 DIMENSIONS = 1024
@@ -152,12 +152,13 @@ def train(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, dimension
     return {k: v / max(np.linalg.norm(v), 1e-9) for k, v in centred.items()} | {"": mean if len(found) > 1 else np.zeros(dimensions)}
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS, seed: int = SEED, carry: bool = False) -> DataFrame:
     """``(doc_id, lang_pred, score)`` of every row of ``docs(doc_id, text)``.
 
     ``score`` is the cosine with the language's prototype, cut to 0..1; ties go to the
     first language by name.  ``und`` with score 0 where the text is null or has no letter,
-    or where there is nothing to compare with.  Repeated rows each come back.
+    or where there is nothing to compare with.  Repeated rows each come back.  With
+    ``carry`` each result holds its whole input row as the struct ``whole``.
     """
     langs = [k for k in sorted(prototypes) if k]
     matrix = np.array([prototypes[k] for k in langs], np.float32) if langs else np.zeros((0, dimensions), np.float32)
@@ -181,9 +182,10 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
                 else:
                     score, langs_of = np.zeros(hi - lo), [UNKNOWN] * (hi - lo)
                 score[n_letters == 0] = 0.0
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(langs_of, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+                yield passed_on(batch, lo, hi - lo, [batch.column("doc_id").slice(lo, hi - lo), pa.array(langs_of, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
-    return with_defaults(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    src = with_defaults(docs, carry, doc_id="long", text="string")
+    return src.mapInArrow(run, carried(src, "doc_id long, lang_pred string, score double"))
 
 
 def held_out():

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP6_SQL, op6_decontamination
 from .langid import op3_language_id
+from .licenses import op1_license_scan
 from .packing import op5_packing
 from .sharding import op2_sharding
 from .simhash import op7_simhash
@@ -15,11 +16,19 @@ from .token_counts import op9_token_counts
 from .toxicity import op8_toxicity
 from .url_filter import OP4_SQL, op4_url_filter
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline``, which stands at the repository's top."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_sharding": op2_sharding,
         "op3_language_id": op3_language_id,
         "op4_url_filter": op4_url_filter,
@@ -28,6 +37,7 @@ def queries() -> dict[str, Query]:
         "op7_simhash": op7_simhash,
         "op8_toxicity": op8_toxicity,
         "op9_token_counts": op9_token_counts,
+        "pipeline": pipeline,
     }
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +38,25 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_defaults(df: DataFrame, **kinds: str) -> DataFrame:
-    """Only the named columns, cast; extra columns of the caller never clash."""
-    return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in kinds.items()])
+def with_defaults(df: DataFrame, carry: bool = False, **kinds: str) -> DataFrame:
+    """Only the named columns, cast; extra columns of the caller never clash.
+
+    With ``carry`` the caller's whole row goes along as the struct ``whole``.
+    """
+    cols = [F.col(f"`{name}`").cast(kind).alias(name) for name, kind in kinds.items()]
+    return df.select(*cols, *([F.struct("*").alias("whole")] if carry else []))
+
+
+def carried(df: DataFrame, schema: str) -> str:
+    """``schema`` with the struct ``whole`` if ``df`` has it."""
+    return schema + (f", whole {df.schema['whole'].dataType.simpleString()}" if "whole" in df.columns else "")
+
+
+def passed_on(batch: pa.RecordBatch, lo: int, n: int, arrays: list, names: list[str]) -> pa.RecordBatch:
+    """A result batch for rows lo to lo + n, with their ``whole`` where there is one."""
+    if "whole" in batch.schema.names:
+        arrays, names = [*arrays, batch.column("whole").slice(lo, n)], [*names, "whole"]
+    return pa.RecordBatch.from_arrays(arrays, names)
 
 
 def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import with_defaults
+from .shared import carried, passed_on, with_defaults
 from .textbytes import LOWER, Rolling, buffers, chunks, word_spans
 
 #: Training texts of each label, chosen by hash; longer texts teach nothing.
@@ -234,12 +234,13 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_PER_LABEL,
     return fit([r[1] for r in found], [r[2] for r in found], sizes.get(1, 0) / max(1, sum(sizes.values())))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
     """``(doc_id, score, n_toxic, spans)`` of every row of ``docs(doc_id, text)``.
 
     ``spans`` are UTF-8 byte offsets (end exclusive) of words with a marginal of at least
     one half, ``n_toxic`` the expected number of toxic words.  Null and empty texts get
-    the score of a text without toxic words.  Repeated rows each come back.
+    the score of a text without toxic words.  Repeated rows each come back.  With
+    ``carry`` each result holds its whole input row as the struct ``whole``.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -254,12 +255,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 for k in np.flatnonzero(p >= SPAN_MARGINAL).tolist():
                     base = int(edges[rows[k]])
                     spans[int(rows[k])].append({"start": int(starts[k]) - base, "end": int(ends[k]) - base})
-                yield pa.RecordBatch.from_arrays(
+                yield passed_on(
+                    batch,
+                    lo,
+                    n,
                     [batch.column("doc_id").slice(lo, n), pa.array(known.documents(rows, p, n)), pa.array(np.bincount(rows, p, n).astype(float)), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
                     ["doc_id", "score", "n_toxic", "spans"],
                 )
 
-    return with_defaults(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, score double, n_toxic double, spans array<struct<start:int,end:int>>")
+    src = with_defaults(docs, carry, doc_id="long", text="string")
+    return src.mapInArrow(run, carried(src, "doc_id long, score double, n_toxic double, spans array<struct<start:int,end:int>>"))
 
 
 def held_out():
