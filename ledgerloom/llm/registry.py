@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import OP6_SQL, op6_decontamination
 from .langid import op3_language_id
 from .licenses import op1_license_scan
+from .media import op10_media_copies
 from .packing import op5_packing
 from .sharding import op2_sharding
 from .simhash import op7_simhash
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op7_simhash": op7_simhash,
         "op8_toxicity": op8_toxicity,
         "op9_token_counts": op9_token_counts,
+        "op10_media_copies": op10_media_copies,
         "pipeline": pipeline,
     }
 
