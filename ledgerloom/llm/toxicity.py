@@ -21,7 +21,7 @@ from .shared import carried, passed_on, with_defaults
 from .textbytes import LOWER, Rolling, buffers, chunks, word_spans
 
 #: Training texts of each label, chosen by hash; longer texts teach nothing.
-TRAIN_PER_LABEL = 2000
+TRAIN_PER_LABEL = 1200
 TRAIN_TEXT_BYTES = 1 << 18
 #: Hashed feature weights.
 WEIGHTS = 1 << 18
@@ -120,34 +120,33 @@ def aggregate(rows: np.ndarray, p: np.ndarray, n: int) -> np.ndarray:
 
 def label_tokens(hashes: np.ndarray, rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Token labels from document labels, by a greedy cover of the toxic documents."""
-    n_toxic = int(toxic.sum())
-    kinds = 1 + len(PREFIXES)
-    pairs_f = hashes[:, :kinds].ravel(order="F")
-    pairs_d = np.tile(rows, kinds)
-    names, codes = np.unique(pairs_f, return_inverse=True)
-    length = np.zeros(len(names), np.int64)
-    for k in range(kinds):  # the longer of features that explain alike
-        np.maximum.at(length, codes[k * len(rows) : (k + 1) * len(rows)], (7, *PREFIXES)[k])
-    pair = np.unique(codes.astype(np.int64) * len(toxic) + pairs_d)
-    code, doc = pair // len(toxic), pair % len(toxic)
-    bad = toxic[doc] == 1
-    a, b = np.bincount(code[bad], minlength=len(names)), np.bincount(code[~bad], minlength=len(names))
-    n_clean = max(1, len(toxic) - n_toxic)
-    able = (a >= max(3, 0.002 * n_toxic)) & (b * max(1, n_toxic) <= 0.01 * a * n_clean)
-    use = able[code] & bad
-    code, doc = code[use], doc[use]
-    open_ = toxic == 1
-    chosen = np.zeros(len(names), bool)
+    n_toxic = int((toxic == 1).sum())
+    n_clean = max(1, int((toxic == 0).sum()))
+    names, codes, docs, length = [], [], [], []
+    for k in range(1 + len(PREFIXES)):  # one kind at a time, and only features that may do
+        found, code = np.unique(hashes[:, k], return_inverse=True)
+        pair = np.unique(code.astype(np.int64) * len(toxic) + rows)
+        code, doc = pair // len(toxic), pair % len(toxic)
+        a = np.bincount(code[toxic[doc] == 1], minlength=len(found))
+        b = np.bincount(code[toxic[doc] == 0], minlength=len(found))
+        able = (a >= max(3, 0.002 * n_toxic)) & (b * max(1, n_toxic) <= 0.01 * a * n_clean)
+        use = able[code] & (toxic[doc] == 1)
+        index = np.cumsum(able) - 1 + sum(map(len, names))
+        names.append(found[able])
+        length.append(np.full(able.sum(), (7, *PREFIXES)[k]))  # the longer of features that explain alike
+        codes.append(index[code[use]])
+        docs.append(doc[use])
+    names, code, doc, length = map(np.concatenate, (names, codes, docs, length))
+    open_, chosen = toxic == 1, np.zeros(len(names), bool)
     while len(code):
-        gain = np.bincount(code[open_[doc]], minlength=len(names)) * 16 + length * (a > 0)
-        best = int(np.where(able, gain, 0).argmax())
+        gain = np.where(chosen, 0, np.bincount(code[open_[doc]], minlength=len(names)) * 16 + length)
+        best = int(gain.argmax())
         if gain[best] < 16 * max(2, 0.001 * n_toxic):
             break
         chosen[best] = True
         open_[doc[code == best]] = False
-        able[best] = False
-    hit = chosen[codes].reshape(kinds, len(rows)).any(axis=0)
-    return (hit & (toxic[rows] == 1)).astype(float)
+    hit = np.isin(hashes[:, : 1 + len(PREFIXES)], names[chosen]).any(axis=1)
+    return (hit & (toxic[rows] == 1)).astype(np.float32)
 
 
 def fit(texts: list[str], labels: list[int], prior: float, epochs: int = 6, rate: float = 0.5, decay: float = 1e-6) -> Model:
@@ -166,11 +165,13 @@ def fit(texts: list[str], labels: list[int], prior: float, epochs: int = 6, rate
     if not len(starts):
         return blank
     hashes = features(data, starts, ends)
+    del data
     spare = np.arange(len(texts)) % 3 == 2
     if len(np.unique(toxic[spare])) < 2 or len(np.unique(toxic[~spare])) < 2:
         spare[:] = False
     y = label_tokens(hashes, rows, np.where(spare, -1, toxic))
-    index = slots(hashes)
+    index = slots(hashes).astype(np.int32)
+    del hashes
     w, g2, bias, b2 = np.zeros(WEIGHTS), np.full(WEIGHTS, 1e-3), -4.0, 1e-3
     log_move, m2 = np.log(move), np.full((2, 2), 1.0)
     order = np.random.default_rng(7).permutation(np.flatnonzero(~spare))
@@ -200,7 +201,12 @@ def fit(texts: list[str], labels: list[int], prior: float, epochs: int = 6, rate
             log_move -= 0.1 * gm / np.sqrt(m2)
             log_move -= log_move[0, 0]
     model = Model(w, float(bias), np.exp(log_move), start, blank.scale)
-    p = marginals(w[index].sum(axis=1) + bias, np.diff(rows, prepend=-1) != 0, model.move, start)[0]
+    p = np.zeros(len(rows))
+    for part in np.array_split(np.arange(len(texts)), 1 + len(rows) // 100_000):
+        at = slice(edges[part[0]], edges[part[-1] + 1]) if len(part) else slice(0, 0)
+        if at.stop > at.start:
+            first = np.diff(rows[at], prepend=-1) != 0
+            p[at] = marginals(w[index[at]].sum(axis=1) + bias, first, model.move, start)[0]
     use = spare if spare.any() else np.ones(len(texts), bool)
     x, z = aggregate(rows, p, len(texts))[use], toxic[use].astype(float)
     weight = np.where(z == 1, prior / max(z.mean(), 1e-9), (1 - prior) / max(1 - z.mean(), 1e-9))
