@@ -29,6 +29,7 @@ WEIGHTS = 1 << 18
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (3, 4)
 THRESHOLD = 0.3
 SPAN_MARGINAL = 0.5
+FAINT = 0.1
 BLOCK = 64
 
 
@@ -111,7 +112,11 @@ class Model:
 
 
 def aggregate(rows: np.ndarray, p: np.ndarray, n: int) -> np.ndarray:
-    """Of each document: constant, log of the expected toxic words, log-odds of any."""
+    """Of each document: constant, log of the expected toxic words, log-odds of any.
+
+    Marginals below ``FAINT`` count as none, so that very many of them, in a very long
+    text, do not add up to a toxic word."""
+    p = np.where(p >= FAINT, p, 0.0)
     total = np.bincount(rows, p, n)
     none = np.bincount(rows, np.log1p(-np.clip(p, 0, 1 - 1e-6)), n)
     anything = np.clip(-np.expm1(none), 1e-6, 1 - 1e-6)
