@@ -18,7 +18,7 @@ def item_score(kind: Column, value: Column, correct: Column) -> Column:
     number = value.try_cast("double")
     chosen = F.exists(correct, lambda k: F.upper(k) == F.upper(F.trim(value)))
     scenario = F.when(number.isNotNull(), F.when(number >= HIGH, HIGH).otherwise(LOW)).otherwise(F.when(chosen, HIGH).when(F.trim(value) != "", LOW))
-    return F.when(kind == "scenario", scenario).when(kind == "ladder", 1 + (number - 1) * 4 / 3).otherwise(F.least(F.lit(HIGH), F.greatest(F.lit(LOW), number)))
+    return F.when(kind == "scenario", scenario).when(kind == "ladder", 1 + (number - 1) * 4 / 3).when(number.isNotNull(), F.least(F.lit(HIGH), F.greatest(F.lit(LOW), number)))
 
 
 def scored_items(responses: DataFrame, items: DataFrame) -> DataFrame:

@@ -433,9 +433,10 @@ def peer_benchmark(spark, sf_dir):
 
 
 @query("""with o as (select * from supplier where s_nationkey = 3), p as (select s_acctbal as x from supplier where s_nationkey <> 3),
-f as (select count(*) as n, floor(round(quantile_cont(x, 0.25) * 100, 6) + 0.5) / 100 as p25, floor(round(quantile_cont(x, 0.5) * 100, 6) + 0.5) / 100 as p50, floor(round(quantile_cont(x, 0.75) * 100, 6) + 0.5) / 100 as p75 from p)
-select s_suppkey, (select count(*) from supplier) as rank_of, n as peer_count, 'band' as disclosure,
-cast(floor(((select count(*) from p where x < s_acctbal) + (select count(*) from p where x = s_acctbal) / 2) / n * 100 + 0.5) as int) as percentile_rank, p25, p50, p75 from o, f""")
+f as (select count(*) as n, case when count(*) < 5 then 'none' when count(*) < 11 or min(x) = max(x) then 'rank_only' else 'band' end as disclosure, floor(round(quantile_cont(x, 0.25) * 100, 6) + 0.5) / 100 as q1, floor(round(quantile_cont(x, 0.5) * 100, 6) + 0.5) / 100 as q2, floor(round(quantile_cont(x, 0.75) * 100, 6) + 0.5) / 100 as q3 from p)
+select s_suppkey, (select count(*) from supplier) as rank_of, n as peer_count, disclosure,
+cast(case when disclosure <> 'none' then floor(((select count(*) from p where x < s_acctbal) + (select count(*) from p where x = s_acctbal) / 2) / n * 100 + 0.5) end as int) as percentile_rank,
+case when disclosure = 'band' then q1 end as p25, case when disclosure = 'band' then q2 end as p50, case when disclosure = 'band' then q3 end as p75 from o, f""")
 def org_summary(spark, sf_dir):
     """One organisation's rows among all others."""
     s = _read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_suppkey").cast("string").alias("ccn"), "s_acctbal", "s_nationkey")
@@ -449,7 +450,7 @@ DIMENSIONS = [("D1", "individual", 0.4, 3), ("D2", "individual", 0.3, 2), ("D4",
 _ANSWERS_SQL = """(select user_id as respondent, event_type as item, cast(floor(arg_max(value, event_id)) as bigint) % 6 as v from events group by 1, 2)"""
 _SCORES_SQL = f"""(with i(item, dimension, kind, objective) as (values ('click', 'D1', 'likert', false), ('view', 'D2', 'ladder', false), ('purchase', 'D4', 'scenario', true), ('signup', 'D4', 'likert', false), ('error', 'D6', 'likert', false)),
 a as (select p.respondent, i.*, nullif(x.v, 0) as v from (select distinct respondent from {_ANSWERS_SQL}) p cross join i left join {_ANSWERS_SQL} x on x.respondent = p.respondent and x.item = i.item),
-s as (select *, case kind when 'scenario' then case when v >= 5 then 5.0 when v is not null then 1.0 end when 'ladder' then 1 + (v - 1) * 4 / 3.0 else least(5.0, greatest(1.0, v)) end as score from a),
+s as (select *, case kind when 'scenario' then case when v >= 5 then 5.0 when v is not null then 1.0 end when 'ladder' then 1 + (v - 1) * 4 / 3.0 when 'likert' then case when v is not null then least(5.0, greatest(1.0, v)) end end as score from a),
 d as (select respondent, dimension, avg(score) filter (not objective) as own, avg(score) filter (objective) as facts, count(score) as answered, count(*) as total from s group by 1, 2),
 r as (select *, round(case when own is not null and facts is not null then 0.7 * own + 0.3 * facts else coalesce(own, facts) end, 6) as raw from d)
 select respondent, dimension, raw, cast(floor(round((raw - 1) / 4 * 100, 6) + 0.5) as int) as score, answered = 0 or total - answered > total / 2 as insufficient, answered, total from r)"""

@@ -44,6 +44,8 @@ ALIASES = {
 RATE_FIELDS = ("negotiated_dollar", "negotiated_percentage", "negotiated_algorithm", "methodology")
 METRIC_FIELDS = ("median_amount", "10th_percentile", "90th_percentile", "count", "additional_payer_notes")
 PAYER_IN_NAME = r"(?i)^payer negotiated charge:\s*(.+?)\s*\(plan:\s*(.+?)\)\s*$"
+#: The characters 0x80 to 0x9F as Latin-1 and as Windows-1252 has them.
+WESTERN = tuple("".join(s) for s in zip(*((chr(k), bytes([k]).decode("cp1252")) for k in range(0x80, 0xA0) if k not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)), strict=True))
 #: Most ``code|n`` columns that are looked for.
 MAX_CODES = 30
 
@@ -104,8 +106,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     parts = []
     for encoding, delimiter, paths, n in found:
         schema = ", ".join(f"_c{k} string" for k in range(n))
-        raw = spark.read.schema(schema).options(sep=delimiter, encoding=encoding, multiLine=True, escape='"', mode="PERMISSIVE").csv(paths)
-        fields = [F.regexp_replace(F.coalesce(f"_c{k}", F.lit("")), "^﻿", "") for k in range(n)]
+        western = encoding == "windows-1252"  # Spark reads Latin-1; its control characters are Windows' signs
+        raw = spark.read.schema(schema).options(sep=delimiter, encoding="ISO-8859-1" if western else encoding, multiLine=True, escape='"', mode="PERMISSIVE").csv(paths)
+        fields = [F.regexp_replace(F.coalesce(f"_c{k}", F.lit("")), "^\ufeff", "") for k in range(n)]
+        if western:
+            fields = [F.translate(c, *WESTERN) for c in fields]
         parts.append(raw.select(source_name(F.col("_metadata.file_name")).alias("source_file"), F.monotonically_increasing_id().alias("line"), F.array(*fields).alias("row")))
     out = parts[0] if parts else spark.createDataFrame([], "source_file string, line long, row array<string>")
     for part in parts[1:]:
