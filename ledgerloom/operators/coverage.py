@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import beside
 from ..functions.text import word_start
 
 
@@ -58,7 +59,7 @@ def diagnosis(classes: DataFrame, hospitals: DataFrame) -> DataFrame:
         .when(F.expr("covered < hospitals"), "partly")
         .otherwise("all")
     )
-    return f.crossJoin(h).withColumn("diagnosis", state)  # one row each
+    return beside(f, h).withColumn("diagnosis", state)
 
 
 def coverage(hospitals: DataFrame, sources: DataFrame, pattern: str, state: str | None = None, limit: int = 200) -> dict[str, DataFrame]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import beside
 from ..functions.names import canonical_name, has_counter
 from ..functions.text import share
 
@@ -35,7 +36,7 @@ def totals(sources: DataFrame) -> DataFrame:
     redundant = groups(sources).agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("redundant_files"), F.coalesce(F.sum("redundant_rows"), F.lit(0)).alias("redundant_rows"))
     again = keepers(sources).where("not keep").agg(F.count("*").alias("redownload_files"), F.coalesce(F.sum("charge_count"), F.lit(0)).alias("redownload_rows"))
     loaded = sources.agg(F.coalesce(F.sum("charge_count"), F.lit(0)).alias("loaded_rows"))
-    out = redundant.crossJoin(again).crossJoin(loaded)  # one row each
+    out = beside(redundant, again, loaded)
     return out.withColumn("per_facility_rows", F.col("redundant_rows") - F.col("redownload_rows")).withColumn("redundant_share", share(F.col("redundant_rows"), F.col("loaded_rows")))
 
 

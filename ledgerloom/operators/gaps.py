@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import beside
 from ..functions.names import search_url, source_state, system_key
 from ..functions.text import share
 from .linkage import by_name, probable
@@ -71,12 +72,12 @@ def gap_report(hospitals: DataFrame, sources: DataFrame, min_size: int = 2) -> d
     lost = unattributed(sources, hospitals)
     matches = probable(lost, gaps)
     recoverable = matches.dropDuplicates(["source_file"]).agg(F.coalesce(F.sum("charge_count"), F.lit(0)).alias("recoverable_rows"))
-    totals = states.agg(F.sum("total").alias("hospitals"), F.sum("covered").alias("covered"), F.sum("remaining").alias("remaining"), F.count_if("not_started").alias("states_not_started")).crossJoin(recoverable)
+    facts = states.agg(F.sum("total").alias("hospitals"), F.sum("covered").alias("covered"), F.sum("remaining").alias("remaining"), F.count_if("not_started").alias("states_not_started"))
     return {
         "systems": clusters.orderBy(F.desc("already_publishing"), F.desc("remaining"), "system"),
         "independents": independents(gaps, clusters).withColumn("search", search_url(F.col("name"), F.col("city"), F.col("state"))).orderBy("state", "name", "ccn"),
         "coverage": states.orderBy("pct", "state"),
         "unattributed": lost.orderBy(F.desc("charge_count"), "source_file"),
         "probable": matches.orderBy(F.desc("charge_count"), F.desc("score"), "source_file", "ccn"),
-        "totals": totals,
+        "totals": beside(facts, recoverable),
     }

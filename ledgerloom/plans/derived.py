@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import community, cost_reports, discovery, gaps, store, strategies
+from ..operators import community, cost_reports, discovery, duplicates, gaps, store, strategies
 from ..sources import charges, cost_files, roster
 from . import catalog
 from .catalog import _read, query
@@ -304,4 +304,71 @@ def gap_totals(spark, sf_dir):
     return gaps.gap_report(parts, sources)["totals"].drop("states_not_started")
 
 
+# --- maintenance ------------------------------------------------------------------------
+
+
+@query("""with f as (select o_orderkey, o_custkey, case when o_orderkey % 2 = 0 then ' (1)' else '' end as c from orders where o_orderkey % 3 < 2)
+select o_orderkey from (select *, row_number() over (partition by o_custkey, o_orderkey // 6 order by c, o_orderkey) as k from f) where k = 1 or o_orderkey % 6 = 4""")
+def pruned_sources(spark, sf_dir):
+    """M1: sources without re-downloads; other copies stay."""
+    o = _read(spark, sf_dir, "orders").where("o_orderkey % 3 < 2")
+    name = F.concat(F.lit("d"), F.lpad("o_orderkey", 12, "0"), F.lit("/"), F.when(F.col("o_orderkey") % 6 == 4, "other").otherwise("file"), F.when(F.col("o_orderkey") % 2 == 0, " (1)").otherwise(""), F.lit(".csv"))
+    rows = o.select("o_orderkey", name.alias("source_file"), F.concat_ws("-", F.col("o_custkey"), F.floor(F.col("o_orderkey") / 6)).alias("ein"), F.lit(None).cast("string").alias("primary_npi"), F.lit(9).cast("long").alias("charge_count"))
+    return duplicates.prune(rows, rows.select("source_file"))[0].select("o_orderkey")
+
+
+@query("""select o_orderkey, case when o_orderkey % 4 = 0 then '1' || lpad(cast(o_custkey as varchar), 9, '0') when o_orderkey % 4 = 1 then '2000000000' end as primary_npi from orders""")
+def backfilled_npis(spark, sf_dir):
+    """M3: NPIs of file names where a source has none."""
+    k = F.col("o_orderkey") % 4
+    name = F.concat(F.when(k == 3, "x").otherwise(F.concat(F.lit("1"), F.lpad("o_custkey", 9, "0"))), F.lit("_"), F.col("o_orderkey"), F.lit(".csv"))
+    npis = F.when(k == 2, F.array(F.lit("1999999999")))
+    rows = _read(spark, sf_dir, "orders").select(name.alias("source_file"), F.lit("1").alias("ein"), F.when(k == 1, "2000000000").alias("primary_npi"), npis.alias("npis"))
+    return store.with_file_npis(rows).select(F.regexp_extract("source_file", r"_(\d+)\.csv", 1).cast("long").alias("o_orderkey"), "primary_npi")
+
+
+@query(f"""with k as (select upper(state) as state, {catalog._KEY} as key, count(distinct ccn) as n, min(ccn) as ccn from v_parts group by 1, 2),
+d as (select p_partkey, p_name as name, case when p_partkey % 3 = 0 then 'Nowhere' else p_brand end as state from part), e as (select *, {catalog._KEY} as key from d)
+select p_partkey, case when n = 1 then k.ccn end as ccn, case when n = 1 then 'loaded' when n > 1 then 'ambiguous' else 'unattributed' end as status from e left join k on e.key = k.key and upper(e.state) = k.state""")
+def attributed_documents(spark, sf_dir):
+    """The one hospital of each document, if there is one."""
+    from . import contract
+
+    heads = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("source_file"), F.col("p_name").alias("hospital_name"), F.when(F.col("p_partkey") % 3 == 0, "Nowhere").otherwise(F.col("p_brand")).alias("state"))
+    return community.attribute(heads, contract.view(spark, sf_dir, "v_parts")).select(F.col("source_file").alias("p_partkey"), "ccn", "status")
+
+
+@query("""with w as (select distinct o_custkey, o_orderkey % 50 as ccn from orders)
+select o_custkey, ccn, case when o_custkey % 5 = 0 then 'unknown_document' when ccn >= 40 then 'unknown_ccn' when o_custkey % 5 = 1 and ccn = 7 then 'already_covered' end as reason from w""")
+def covered_documents(spark, sf_dir):
+    """Documents that cover several hospitals; what is refused, and why."""
+    o = _read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("source_file"), (F.col("o_orderkey") % 50).cast("string").alias("ccn"))
+    known = o.where("cast(source_file as int) % 5 <> 0").select("source_file").distinct()
+    have = known.where("cast(source_file as int) % 5 = 1").select("source_file", F.lit("7").alias("ccn"))
+    new, refused = community.cover(have, o, known, o.where("cast(ccn as int) < 40").select("ccn").distinct())
+    rows = new.withColumn("reason", F.lit(None).cast("string")).unionByName(refused)
+    return rows.select(F.col("source_file").cast("long").alias("o_custkey"), F.col("ccn").cast("long").alias("ccn"), "reason")
+
+
+@query("""select ccn, zip5, suppressed from v_area where cast(ccn as int) % 3 = 0""")
+def known_cells(spark, sf_dir):
+    """Service-area cells of hospitals in the roster only."""
+    from . import contract
+
+    known = contract.view(spark, sf_dir, "v_hospitals").where("cast(ccn as int) % 3 = 0")
+    return roster.known_only(contract.view(spark, sf_dir, "v_area"), known).select("ccn", "zip5", "suppressed")
+
+
+@query("""select cast(l_suppkey as varchar) as source_file, count(distinct l_linenumber) as rows, count(distinct l_linenumber) filter (l_linenumber % 2 = 0) as recovered_rows from lineitem where l_linenumber < 6 group by 1""")
+def recovered_needs(spark, sf_dir):
+    """Rows of ranked needs that were letter-spaced."""
+    i = _read(spark, sf_dir, "lineitem").where("l_linenumber < 6").select("l_suppkey", "l_linenumber").distinct()
+    n = F.col("l_linenumber")
+    spaced = F.concat(n.cast("string"), F.lit("H o m e  C a r e "), F.lit("7 6 . 5 % 7 7 %"))
+    rows = i.withColumn("text", F.when(n % 2 == 0, spaced).otherwise(F.concat(n.cast("string"), F.lit(" Food 21 19.4% 19%"))))
+    docs = _joined(rows, "l_suppkey", "l_linenumber", [F.lit("Town Hall - 04/04/24 (Attendees 27 / 108 Total Votes)")])
+    needed = community.needs(docs)
+    return needed.groupBy("source_file").agg(F.count("*").alias("rows")).join(community.recovered_counts(needed), "source_file")
+
+
 QUERIES, SQL = catalog.QUERIES, catalog.SQL
