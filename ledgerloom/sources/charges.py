@@ -75,7 +75,9 @@ def detect_delimiter(line: str) -> str:
 def profiles(spark: SparkSession, path: str) -> DataFrame:
     """``(path, encoding, delimiter, columns)`` of every CSV below ``path``.
 
-    Only heads reach Python; ``columns`` bounds the number of fields of a row."""
+    Only the first 256 KB are looked at; ``columns`` is the most fields of a line there.
+    Spark's binary source holds a file as one value, so files of over 2 GB are left out:
+    give their profile to ``read_lines`` instead."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*").load(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,15 +96,18 @@ def profiles(spark: SparkSession, path: str) -> DataFrame:
                 rows.append((name, encoding, sep, max(x.count(sep) for x in lines) + 1))
             yield pd.DataFrame(rows, columns=["path", "encoding", "delimiter", "columns"])
 
-    return files.select("path", "content").mapInPandas(run, "path string, encoding string, delimiter string, columns int")
+    small = files.where("length < 2000000000").select("path", F.when(F.col("path").rlike(r"(?i)\.gz$"), F.col("content")).otherwise(F.substring("content", 1, HEAD_BYTES)).alias("content"))
+    return small.mapInPandas(run, "path string, encoding string, delimiter string, columns int")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, profile: DataFrame | None = None) -> DataFrame:
     """``(source_file, line, row)`` of all CSVs: fields as an array, in file order.
 
+    ``profile`` has the columns of ``profiles``, for files whose profile is known.
+
     There is one scan for each distinct (encoding, delimiter), however many files; a file
     is one partition, so its line numbers are in order."""
-    found = profiles(spark, path).groupBy("encoding", "delimiter").agg(F.collect_list("path").alias("paths"), F.max("columns").alias("n")).collect()
+    found = (profiles(spark, path) if profile is None else profile).groupBy("encoding", "delimiter").agg(F.collect_list("path").alias("paths"), F.max("columns").alias("n")).collect()
     parts = []
     for encoding, delimiter, paths, n in found:
         schema = ", ".join(f"_c{k} string" for k in range(n))
