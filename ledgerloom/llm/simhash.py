@@ -242,13 +242,14 @@ def near_copies(docs: DataFrame, among: DataFrame, words: int = COPY_WORDS, simi
     lead = keyed.groupBy("key").agg(F.array(F.min(entry), F.max(entry)).alias("l"), F.count("*").alias("n")).where("n > 1")
     lead = lead.select("key", F.explode("l").alias("l")).select("key", "l.leader", "l.leader_fp")
     close = F.bit_count(F.col("fp").bitwiseXOR(F.col("leader_fp"))) <= COPY_RADIUS
-    pairs = keyed.join(lead, "key").where((F.col("doc_id") != F.col("leader")) & close).select("leader", "doc_id").distinct()
-    pairs = cut(pairs, "pairs")
+    pairs = keyed.join(lead, "key").where((F.col("doc_id") != F.col("leader")) & close)
+    pairs = cut(pairs.select(F.least("leader", "doc_id").alias("leader"), F.greatest("leader", "doc_id").alias("doc_id")).distinct(), "pairs")
     wanted = pairs.select(F.col("leader").alias("doc_id")).unionByName(pairs.select("doc_id")).distinct()
-    texts = with_defaults(docs, doc_id="long", text="string").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = with_defaults(docs, doc_id="long", text="string").join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     texts = cut(texts, "texts")
     side = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
-    both = pairs.join(side("leader"), "leader").join(side("doc_id"), "doc_id")
+    # ids and texts grow with the input, so these joins never broadcast, at any size
+    both = pairs.join(side("leader").hint("merge"), "leader").join(side("doc_id").hint("merge"), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[int | None, set[bytes]] = (None, set())
