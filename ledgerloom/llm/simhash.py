@@ -193,8 +193,6 @@ COPY_WORDS = 5
 SIMILARITY = 0.8
 #: MinHash bands of two rows: at the similarity above all are missed with 4e-5.
 BANDS = 10
-#: Bits in which fingerprints of such copies may differ: 9.7 on average, 2.9 the deviation.
-COPY_RADIUS = 22
 
 
 def shingle_set(text: bytes, words: int = COPY_WORDS) -> set[bytes]:
@@ -231,8 +229,7 @@ def near_copies(docs: DataFrame, among: DataFrame, words: int = COPY_WORDS, simi
     similarity; only rows of classes of two or more come back.
 
     ``docs(doc_id, text)``; ``among(doc_id)`` says which of them to compare, one of each
-    group of equal fingerprints.  A document is compared, by bit counts and then exactly,
-    with the two leaders of each of its bands, chosen by a hash that differs from band to
+    group of equal fingerprints.  A document is compared exactly with the two leaders of each of its bands, chosen by a hash that differs from band to
     band.  So a band with n documents costs 2 n comparisons at most, and very large groups
     grow with their rows alone.
     """
@@ -241,8 +238,7 @@ def near_copies(docs: DataFrame, among: DataFrame, words: int = COPY_WORDS, simi
     entry = F.struct(F.xxhash64("doc_id", "key").alias("h"), F.col("doc_id").alias("leader"), F.col("fp").alias("leader_fp"))
     lead = keyed.groupBy("key").agg(F.array(F.min(entry), F.max(entry)).alias("l"), F.count("*").alias("n")).where("n > 1")
     lead = lead.select("key", F.explode("l").alias("l")).select("key", "l.leader", "l.leader_fp")
-    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("leader_fp"))) <= COPY_RADIUS
-    pairs = keyed.join(lead, "key").where((F.col("doc_id") != F.col("leader")) & close)
+    pairs = keyed.join(lead, "key").where(F.col("doc_id") != F.col("leader"))
     pairs = cut(pairs.select(F.least("leader", "doc_id").alias("leader"), F.greatest("leader", "doc_id").alias("doc_id")).distinct(), "pairs")
     wanted = pairs.select(F.col("leader").alias("doc_id")).unionByName(pairs.select("doc_id")).distinct()
     texts = with_defaults(docs, doc_id="long", text="string").join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])

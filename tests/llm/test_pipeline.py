@@ -1,5 +1,6 @@
 """The pipeline stage by stage, and that the rest of the library does without it."""
 
+import random
 import subprocess
 import sys
 
@@ -56,3 +57,34 @@ def test_the_rest_does_without(tmp_path):
     code = "import sys; sys.modules['ledgerloom.llm'] = None; import __spark_entry__ as e; n = e.queries(); assert 'price_spread' in n and 'pipeline' not in n; print(len(n))"
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr
+
+
+def brute_classes(rows):
+    sets = {k: simhash.shingle_set(t.encode()) for k, t in rows}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) > 0:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {k: find(k) for k in sets if sum(find(o) == find(k) for o in sets) > 1}
+
+
+def test_copies_that_repeat_lines(spark):
+    """The same shingles, repeated or not, are a copy, though fingerprints differ."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(40):
+        words = [f"w{k}x{j}" for j in range(200)]
+        for j, at in enumerate(rng.sample(range(0, 160), 2)):
+            rows.append((2 * k + j, " ".join(words + (words[at : at + 14] + ["end"]) * 30)))
+    want = brute_classes(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_copies(df, df).collect()
+    assert {r.doc_id: r.class_id for r in found} == want and len(want) == 80
