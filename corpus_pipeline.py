@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, langid, packing, simhash, toxicity
-from ledgerloom.llm.shared import cut
+from ledgerloom.llm.shared import components, cut
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +33,17 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group stays: of documents with near equal fingerprints
-    first, then of those whose five-word shingles are at least 0.8 alike.
+    """The smallest id of each group stays; a group is all that links of near equal
+    fingerprints and links of five-word shingles at least 0.8 alike reach together.
 
     Rows that repeat a doc_id are one document, so one of them stays."""
-    found = simhash.near_duplicates(docs)
-    first = cut(found.where("doc_id <=> component_id").select("doc_id").distinct(), "first")
-    copies = simhash.near_copies(docs, first).where("doc_id <> class_id").select("doc_id")
-    keep = first.join(copies, "doc_id", "left_anti")
+    found = cut(simhash.near_duplicates(docs), "duplicates")
+    first = found.where("doc_id <=> component_id").select("doc_id").distinct()
+    edges = found.selectExpr("component_id as a", "doc_id as b").unionByName(simhash.near_copies(docs).selectExpr("class_id as a", "doc_id as b"))
+    groups = cut(components(edges), "groups")
+    low = groups.groupBy("root").agg(F.min("node").alias("low"))
+    later = groups.join(low, "root").where("node <> low").select(F.col("node").alias("doc_id"))
+    keep = first.join(later, "doc_id", "left_anti")
     keep = keep.hint("merge")  # it grows with the input, so it is never broadcast
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 

@@ -99,16 +99,16 @@ def links(groups: DataFrame, radius: int = RADIUS) -> DataFrame:
     grown = groups.repartition("grp").sortWithinPartitions("grp", "tile")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tiles, fps in _runs(batches):
-            a, b = spanning(fps.view(np.uint64), tiles, radius)
+        for group in _runs(batches):
+            a, b = spanning(group.column("fp").to_numpy().view(np.uint64), group.column("tile").to_numpy(), radius)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     return grown.mapInArrow(run, "a long, b long")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(tiles, fingerprints) of each group of a partition sorted by group."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group of a partition sorted by group."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -129,9 +129,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
         yield _group(held)
 
 
-def _group(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    one = pa.Table.from_batches(held).combine_chunks()
-    return one.column("tile").to_numpy(), one.column("fp").to_numpy()
+def _group(held: list[pa.RecordBatch]) -> pa.Table:
+    return pa.Table.from_batches(held).combine_chunks()
 
 
 def spanning(fps: np.ndarray, tiles: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,8 +147,13 @@ def spanning(fps: np.ndarray, tiles: np.ndarray, radius: int) -> tuple[np.ndarra
         near |= near.T
     else:
         near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius
-    seen, a, b = np.zeros(len(fps), bool), [], []
-    for root in np.flatnonzero(near.sum(axis=1) > (0 if cross else 1)):
+    return forest(near, fps)
+
+
+def forest(near: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of a symmetric matrix of links between nodes."""
+    seen, a, b = np.zeros(len(nodes), bool), [], []
+    for root in np.flatnonzero(near.sum(axis=1) > near.diagonal()):
         if seen[root]:
             continue
         seen[root] = True
@@ -157,9 +161,9 @@ def spanning(fps: np.ndarray, tiles: np.ndarray, radius: int) -> tuple[np.ndarra
         while len(front):
             front = np.flatnonzero(near[front].any(axis=0) & ~seen)
             seen[front] = True
-            a.append(np.full(len(front), fps[root]))
-            b.append(fps[front])
-    return (np.concatenate(a), np.concatenate(b)) if a else (fps[:0], fps[:0])
+            a.append(np.full(len(front), nodes[root]))
+            b.append(nodes[front])
+    return (np.concatenate(a), np.concatenate(b)) if a else (nodes[:0], nodes[:0])
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
@@ -193,6 +197,8 @@ COPY_WORDS = 5
 SIMILARITY = 0.8
 #: MinHash bands of two rows: at the similarity above all are missed with 4e-5.
 BANDS = 10
+#: Shingles that a tile of a large band may hold, about: 8 bytes each.
+TILE_SHINGLES = 1 << 21
 
 
 def shingle_set(text: bytes, words: int = COPY_WORDS) -> set[bytes]:
@@ -203,62 +209,160 @@ def shingle_set(text: bytes, words: int = COPY_WORDS) -> set[bytes]:
 
 
 def signatures(docs: DataFrame, words: int = COPY_WORDS, bands: int = BANDS) -> DataFrame:
-    """``(doc_id, fp, keys)``: the fingerprint and the band keys of every text with words."""
+    """``(doc_id, same, size, keys)`` of every text: a digest of its distinct shingles
+    (null without words), their number, and the band keys."""
     seeds = np.random.default_rng(11).integers(1, 1 << 63, 2 * bands, dtype=np.uint64) | np.uint64(1)
     salt = np.arange(bands, dtype=np.uint64) << np.uint64(56)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
         for batch in batches:
-            fps, keys = np.zeros(batch.num_rows, np.uint64), []
-            for k, text in enumerate(map(_bytes, batch.column("text"))):
-                h = shingle_hashes(text, words)
+            same, size, keys = [], [], []
+            for text in map(_bytes, batch.column("text")):
+                h = np.unique(shingle_hashes(text, words))
+                size.append(len(h))
                 if not len(h):
+                    same.append(None)
                     keys.append([])
                     continue
-                bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-                fps[k] = np.packbits(2 * bits > len(h), bitorder="little").view(np.uint64)[0]
+                same.append(xxh3_128_digest(h.tobytes()))
                 lows = np.array([(h * s ^ (h >> np.uint64(29)) * s).min() for s in seeds]).reshape(bands, 2)
                 keys.append((((lows[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ lows[:, 1]) ^ salt).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "fp", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(same, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "same", "size", "keys"])
 
-    return with_defaults(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, fp long, keys array<long>")
+    return with_defaults(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, same binary, size long, keys array<long>")
 
 
-def near_copies(docs: DataFrame, among: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def shingles(texts: DataFrame, words: int = COPY_WORDS) -> DataFrame:
+    """``(doc_id, shingles)``: the sorted distinct shingle hashes of ``texts(doc_id, text)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in map(_bytes, batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+
+
+def _lists(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    at, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[lo:hi] for lo, hi in zip(at, at[1:], strict=False)]
+
+
+def shared_counts(sets: list[np.ndarray], split: int, most: int = 1 << 22) -> np.ndarray:
+    """Elements that each of the first ``split`` sets shares with each of the others; of
+    all sets with each other where ``split`` is 0."""
+    left, right = (slice(None), slice(None)) if not split else (slice(split), slice(split, None))
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # an element of one set only is shared with none; the own counts are the sizes
+    column, owner = (np.cumsum(times > 1) - 1)[column][times[column] > 1], owner[times[column] > 1]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    total = np.zeros((len(sets), len(sets)), np.int64)[left, right]
+    step = max(256, most // len(sets))
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        i, j = np.searchsorted(column, [lo, lo + step])
+        block = np.zeros((len(sets), step), np.float32)
+        block[owner[i:j], column[i:j] - lo] = 1
+        total += (block[left] @ block[right].T).astype(np.int64)
+    if not split:
+        np.fill_diagonal(total, sizes)
+    return total
+
+
+def alike(sets: list[np.ndarray], tiles: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs of sets have this Jaccard similarity; of two tiles only pairs across."""
+    split = int(np.argmax(tiles != tiles[0]))
+    sizes = np.array([len(x) for x in sets])
+    shared = shared_counts(sets, split)
+    if not split:
+        return (shared >= similarity * (sizes[:, None] + sizes[None, :] - shared)) & (shared > 0)
+    near = np.zeros((len(sets), len(sets)), bool)
+    near[:split, split:] = (shared >= similarity * (sizes[:split, None] + sizes[None, split:] - shared)) & (shared > 0)
+    return near | near.T
+
+
+def band_groups(members: DataFrame, least_tile: int = LEAST_TILE, most_shingles: int = TILE_SHINGLES) -> DataFrame:
+    """``(grp, tile, doc_id)`` of ``members(key, doc_id, size, comp)``: every two of a key
+    share a group unless both are known to be of one component.
+
+    The key's largest component has tiles of its own, which meet only the other tiles."""
+    per = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    keys = per.groupBy("key").agg(
+        F.max_by("comp", F.struct("n", "comp")).alias("most"), F.max("n").alias("n_most"), F.max_by("size", F.struct("n", "comp")).alias("size_most"),
+        F.sum("n").alias("n"), F.sum("size").alias("all_size"), F.count("*").alias("comps"),
+    )
+    rows = members.join(cut(keys.where("comps > 1"), "bands"), "key").withColumn("side", F.greatest(F.lit(least_tile), F.ceil(2 * F.sqrt("n"))))
+    small = (F.col("n") <= F.col("side")) & (F.col("all_size") <= most_shingles)
+    tiles_of = lambda n, size: F.ceil(F.greatest(n / F.col("side"), size / most_shingles)).cast("int")
+    rows = rows.withColumn("p", tiles_of(F.col("n_most"), F.col("size_most"))).withColumn("q", tiles_of(F.col("n") - F.col("n_most"), F.col("all_size") - F.col("size_most")))
+    whole = rows.where(small).select(F.col("key").cast("string").alias("grp"), F.lit("0").alias("tile"), "doc_id")
+    large = rows.where(~small).withColumn("main", F.col("comp") == F.col("most"))
+    name = lambda kind, salt: F.format_string("%s%08d", F.lit(kind), salt)
+    salt = lambda n: F.pmod(F.xxhash64("doc_id", F.lit("tile")), F.col(n)).cast("int")
+    names = lambda kind, n: F.transform(F.sequence(F.lit(0), F.col(n) - 1), lambda k: name(kind, k))
+    own = F.when(F.col("main"), name("m", salt("p"))).otherwise(name("a", salt("q")))
+    others = F.when(F.col("main"), names("a", "q")).otherwise(F.concat(names("a", "q"), names("m", "p")))
+    large = large.select("key", "doc_id", own.alias("tile"), F.explode(others).alias("other"))
+    return whole.unionByName(large.select(F.concat_ws(":", F.col("key").cast("string"), F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "tile", "doc_id"))
+
+
+def near_copies(docs: DataFrame, among: DataFrame | None = None, words: int = COPY_WORDS, similarity: float = SIMILARITY, least_tile: int = LEAST_TILE) -> DataFrame:
     """``(doc_id, class_id)`` of documents whose word shingles are a copy's, by Jaccard
     similarity; only rows of classes of two or more come back.
 
-    ``docs(doc_id, text)``; ``among(doc_id)`` says which of them to compare, one of each
-    group of equal fingerprints.  A document is compared exactly with the two leaders of each of its bands, chosen by a hash that differs from band to
-    band.  So a band with n documents costs 2 n comparisons at most, and very large groups
-    grow with their rows alone.
+    ``docs(doc_id, text)``; ``among(doc_id)`` says which of them to compare, all where it
+    is not given.  Documents with equal shingles count as one.  Each is first compared with
+    two leaders of each of its bands, chosen by a hash that differs from band to band.
+    Then every pair of a band that those links leave apart is compared, tile by tile, so a
+    group is bounded and no pair of a band is lost.  All comparisons are exact, on 64-bit
+    hashes of the shingles.
     """
-    own = cut(signatures(docs, words).join(among.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "signatures")
-    keyed = own.select(F.explode("keys").alias("key"), "doc_id", "fp")
-    entry = F.struct(F.xxhash64("doc_id", "key").alias("h"), F.col("doc_id").alias("leader"), F.col("fp").alias("leader_fp"))
-    lead = keyed.groupBy("key").agg(F.array(F.min(entry), F.max(entry)).alias("l"), F.count("*").alias("n")).where("n > 1")
-    lead = lead.select("key", F.explode("l").alias("l")).select("key", "l.leader", "l.leader_fp")
+    own = signatures(docs, words)
+    if among is not None:
+        own = own.join(among.select("doc_id").distinct(), "doc_id", "left_semi")
+    own = cut(own.where("doc_id is not null and same is not null").dropDuplicates(["doc_id"]), "signatures")
+    sets = cut(own.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("keys").alias("keys")), "sets")
+    equal = own.join(sets.select("same", F.col("doc_id").alias("a")), "same").where("a <> doc_id").selectExpr("a", "doc_id as b")
+    keyed = sets.select(F.explode("keys").alias("key"), "doc_id", "size")
+    entry = F.struct(F.xxhash64("doc_id", "key").alias("h"), F.col("doc_id").alias("leader"))
+    bands = cut(keyed.groupBy("key").agg(F.array(F.min(entry), F.max(entry)).alias("l"), F.count("*").alias("n")).where("n > 1"), "shared")
+    lead = bands.select("key", F.explode("l.leader").alias("leader"))
     pairs = keyed.join(lead, "key").where(F.col("doc_id") != F.col("leader"))
     pairs = cut(pairs.select(F.least("leader", "doc_id").alias("leader"), F.greatest("leader", "doc_id").alias("doc_id")).distinct(), "pairs")
     wanted = pairs.select(F.col("leader").alias("doc_id")).unionByName(pairs.select("doc_id")).distinct()
     texts = with_defaults(docs, doc_id="long", text="string").join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = cut(texts, "texts")
-    side = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"text_{name}"))
-    # ids and texts grow with the input, so these joins never broadcast, at any size
+    known = cut(shingles(texts, words), "shingles")
+    side = lambda name: known.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"of_{name}"))
+    # ids and shingles grow with the input, so these joins never broadcast, at any size
     both = pairs.join(side("leader").hint("merge"), "leader").join(side("doc_id").hint("merge"), "doc_id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int | None, set[bytes]] = (None, set())
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for a, x, y in zip(batch.column("leader").to_pylist(), batch.column("text_leader"), batch.column("text_doc_id"), strict=True):
-                if held[0] != a:
-                    held = (a, shingle_set(_bytes(x), words))
-                other = shingle_set(_bytes(y), words)
-                shared = len(held[1] & other)
-                keep.append(shared >= similarity * (len(held[1]) + len(other) - shared) and shared > 0)
+            for x, y in zip(_lists(batch.column("of_leader")), _lists(batch.column("of_doc_id")), strict=True):
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(shared >= similarity * (len(x) + len(y) - shared) and shared > 0)
             yield pa.RecordBatch.from_arrays([batch.column("leader"), batch.column("doc_id")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    found = components(both.mapInArrow(run, "a long, b long"))
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches):
+            a, b = forest(alike(_lists(group.column("shingles")), group.column("tile").to_numpy(), similarity), group.column("doc_id").to_numpy())
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    led = cut(components(both.mapInArrow(verify, "a long, b long")), "led")
+    # of up to three documents the leaders' comparisons are all
+    members = keyed.join(bands.where("n > 3").select("key"), "key").join(led.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    members = cut(members.select("key", "doc_id", "size", F.coalesce("root", "doc_id").alias("comp")), "members")
+    groups = cut(band_groups(members, least_tile), "groups")
+    grown = groups.join(known.hint("merge"), "doc_id").repartition("grp").sortWithinPartitions("grp", "tile")
+    rest = grown.mapInArrow(compare, "a long, b long")
+    found = components(equal.unionByName(led.selectExpr("root as a", "node as b")).unionByName(rest))
     low = found.groupBy("root").agg(F.min("node").alias("class_id"))
     return found.join(low, "root").select(F.col("node").alias("doc_id"), "class_id")

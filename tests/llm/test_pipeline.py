@@ -59,6 +59,17 @@ def test_the_rest_does_without(tmp_path):
     assert out.returncode == 0, out.stderr
 
 
+def edits(rng, words, n, changes):
+    """``n`` texts, each with ``changes`` words of ``words`` replaced by words of its own."""
+    out = []
+    for k in range(n):
+        text = list(words)
+        for j, at in enumerate(rng.sample(range(0, len(words), 6), changes)):
+            text[at] = f"own{k}x{j}"
+        out.append(" ".join(text))
+    return out
+
+
 def brute_classes(rows):
     sets = {k: simhash.shingle_set(t.encode()) for k, t in rows}
     root = {k: k for k in sets}
@@ -76,6 +87,20 @@ def brute_classes(rows):
     return {k: find(k) for k in sets if sum(find(o) == find(k) for o in sets) > 1}
 
 
+@pytest.mark.parametrize("least_tile", [8, 128])
+def test_star_of_copies(spark, least_tile):
+    """Copies that are like their original, not like each other, meet it in full bands."""
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(240)]
+    rows = [(0, " ".join(words))] + list(enumerate(edits(rng, words, 160, 5), 1))
+    other = [f"z{k}" for k in range(240)]
+    rows += list(enumerate([" ".join(other), *edits(rng, other, 5, 4)], 500)) + [(600, "alone " * 50)]
+    want = brute_classes(rows)
+    assert all(want[k] == 0 for k in range(161))
+    found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), least_tile=least_tile).collect()
+    assert {r.doc_id: r.class_id for r in found} == want
+
+
 def test_copies_that_repeat_lines(spark):
     """The same shingles, repeated or not, are a copy, though fingerprints differ."""
     rng = random.Random(5)
