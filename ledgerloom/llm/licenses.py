@@ -132,7 +132,7 @@ class Templates:
         at = np.arange(len(starts) - n + 1)
         h = Rolling(Rolling(data).spans(starts, ends)).spans(at, at + n)
         whole = rows[at] == rows[at + n - 1]
-        best: dict[tuple[int, str], tuple[float, int, int, str]] = {}
+        seen: set[tuple[int, str, float, int, int, str]] = set()
         checked: set[tuple[int, int]] = set()
         for band in range(len(self.seeds)):
             base = self.permuted(h, band)
@@ -145,36 +145,51 @@ class Templates:
                     for k in lookup[band][int(lows[w])]:
                         if (w * c.stride, k) not in checked:
                             checked.add((w * c.stride, k))
-                            self._verify(data, starts, ends, rows, whole, w * c.stride, c.width, k, best)
-        return self._strongest(best)
+                            self._verify(data, starts, ends, rows, whole, w * c.stride, c.width, k, seen)
+        return self._strongest(seen)
 
     @staticmethod
-    def _strongest(best: dict) -> dict:
-        """Without matches that overlap a stronger match of another license: notices that
-        differ in a word or a version contain most of each other's shingles."""
-        kept: dict = {}
+    def _strongest(seen: set) -> dict:
+        """The best occurrence of each license in each row, of those that no stronger one
+        overlaps: notices that differ in a word or a version contain most of each other's
+        shingles."""
+        best: dict = {}
         by_row: dict[int, list] = {}
-        for (row, name), m in sorted(best.items(), key=lambda x: -x[1][0]):
-            if not any(o[0] > m[0] and o[1] < m[2] and m[1] < o[2] for o in by_row.get(row, ())):
-                by_row.setdefault(row, []).append(m)
-                kept[row, name] = m
-        return kept
+        for row, name, share, start, end, kind in sorted(seen, key=lambda m: (-m[2], *m)):
+            if not any(o[0] > share and o[1] < end and start < o[2] for o in by_row.get(row, ())):
+                by_row.setdefault(row, []).append((share, start, end))
+                best.setdefault((row, name), (share, start, end, kind))
+        return best
 
-    def _verify(self, data, starts, ends, rows, whole, first: int, width: int, k: int, best: dict) -> None:
+    def _verify(self, data, starts, ends, rows, whole, first: int, width: int, k: int, seen: set) -> None:
         n, hits = self.words, {}
         for s in range(first, min(first + width, len(whole))):
             if whole[s]:
                 key = b" ".join(data[a:b].tobytes() for a, b in zip(starts[s : s + n], ends[s : s + n], strict=True))
                 if key in self.sets[k]:
-                    hits.setdefault(int(rows[s]), {}).setdefault(key, s)
+                    hits.setdefault(int(rows[s]), []).append((s, key))
         for row, found in hits.items():
-            share = len(found) / len(self.sets[k])
+            kinds = len({key for _, key in found})
+            share = kinds / len(self.sets[k])
             if share >= self.containment - 1e-9:
-                name, kind = self.names[k]
-                start, end = int(starts[min(found.values())]), int(ends[max(found.values()) + n - 1])
-                old = best.get((row, name))
-                if old is None or (-share, start, end) < (-old[0], old[1], old[2]):
-                    best[row, name] = (share, start, end, kind)
+                for lo, hi in _tight(found, kinds):
+                    name, kind = self.names[k]
+                    seen.add((row, name, share, int(starts[lo]), int(ends[hi + n - 1]), kind))
+
+
+def _tight(found: list[tuple[int, bytes]], kinds: int) -> Iterator[tuple[int, int]]:
+    """First and last position of each shortest run of ``found`` with this many keys."""
+    held: dict[bytes, int] = {}
+    lo, last = 0, -1
+    for s, key in found:
+        held[key] = held.get(key, 0) + 1
+        whole = len(held) == kinds
+        while held[found[lo][1]] > 1:
+            held[found[lo][1]] -= 1
+            lo += 1
+        if whole and lo != last:
+            yield found[lo][0], s
+            last = lo
 
 
 def _window_minima(x: np.ndarray, width: int) -> np.ndarray:
@@ -193,7 +208,8 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, words: int = SHINGLE_WOR
     license in each row of ``docs(doc_id, text)``.
 
     ``containment`` is the share of a template's distinct word shingles that lie in one
-    window; a match that overlaps a stronger one of another license is left out;
+    window; an occurrence that overlaps a stronger one is left out, others of its license
+    are not;
     ``start`` and ``end`` are UTF-8 byte offsets (end exclusive).  Rows without a
     match, null and empty texts give nothing; repeated rows give repeated matches; an
     empty table gives none.  Windows are laid over whole texts.  A match's shingles must

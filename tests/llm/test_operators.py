@@ -233,6 +233,21 @@ def test_licenses(spark, odd):
         licenses.scan_licenses(odd, templates=[("X", "y", "two words")])
 
 
+def test_license_beside_a_stronger_sibling(spark):
+    by_name = {}
+    for name, _, notice in licenses.TEMPLATES:
+        by_name.setdefault(name, []).append(notice)
+    filler = " ".join(f"w{k}" for k in range(200))
+    weak = "under the GNU General Public License, version 2."
+    strong = next(t for t in by_name["GPL-3.0"] if "General Public License" in t)
+    texts = {1: f"{strong} {filler} {weak}", 2: f"{weak} {filler} {strong}", 3: f"{filler} {weak}"}
+    found = licenses.scan_licenses(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = {(r.doc_id, r.license): r for r in found}
+    assert {(1, "GPL-3.0"), (1, "GPL-2.0"), (2, "GPL-3.0"), (2, "GPL-2.0"), (3, "GPL-2.0")} == set(got)
+    for k in (1, 2, 3):
+        assert abs(got[k, "GPL-2.0"].start - texts[k].index(weak)) < 10 and got[k, "GPL-2.0"].containment < 1
+
+
 def test_band_guarantee():
     for j in (0.2, 0.5, 0.9):
         assert (1 - j) ** licenses.bands_needed(j, 1e-4) <= 1e-4
