@@ -72,12 +72,23 @@ def detect_delimiter(line: str) -> str:
     return best if line.count(best) > line.count(",") else ","
 
 
+def _head(spark: SparkSession, path: str, most: int = 2 * HEAD_BYTES) -> bytes:
+    """The first bytes of a file; of a compressed one enough for ``HEAD_BYTES`` of text."""
+    jvm = spark._jvm  # Hadoop's file systems, so any store that Spark reads will do
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, most))
+    finally:
+        stream.close()
+
+
 def profiles(spark: SparkSession, path: str) -> DataFrame:
     """``(path, encoding, delimiter, columns)`` of every CSV below ``path``.
 
     Only the first 256 KB are looked at; ``columns`` is the most fields of a line there.
-    Spark's binary source holds a file as one value, so files of over 2 GB are left out:
-    give their profile to ``read_lines`` instead."""
+    Spark's binary source holds a file as one value, so the heads of files of 2 GB or more
+    are read by the driver, one by one."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*").load(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,6 +108,9 @@ def profiles(spark: SparkSession, path: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "encoding", "delimiter", "columns"])
 
     small = files.where("length < 2000000000").select("path", F.when(F.col("path").rlike(r"(?i)\.gz$"), F.col("content")).otherwise(F.substring("content", 1, HEAD_BYTES)).alias("content"))
+    large = [(r.path, _head(spark, r.path)) for r in files.where("length >= 2000000000").select("path").collect()]
+    if large:
+        small = small.unionByName(spark.createDataFrame(large, "path string, content binary"))
     return small.mapInPandas(run, "path string, encoding string, delimiter string, columns int")
 
 

@@ -56,6 +56,16 @@ def test_delimited_files(spark, tmp_path):
     assert status["other.csv"] == "failed" and status["ray.csv"] == "skipped" and status["wide.csv"] == "loaded"
 
 
+def test_profile_of_a_very_large_file(spark, tmp_path):
+    (tmp_path / "small.csv").write_text("a;b\n1;2\n")
+    with open(tmp_path / "large.csv", "wb") as f:
+        f.write(b"a\tb\tc\n" + b"1\t2\t3\n" * 200_000)
+        f.truncate(2_000_000_001)  # a hole, which takes no disk
+    got = {r.path.rsplit("/", 1)[1]: (r.encoding, r.delimiter, r.columns) for r in charges.profiles(spark, str(tmp_path)).collect()}
+    (tmp_path / "large.csv").unlink()
+    assert got == {"small.csv": ("UTF-8", ";", 2), "large.csv": ("UTF-8", "\t", 3)}
+
+
 def test_encodings():
     assert charges.detect_encoding("h".encode("utf-16")) == "UTF-16"
     assert charges.detect_encoding("hello there".encode("utf-16-le")) == "UTF-16LE"
