@@ -15,6 +15,9 @@ NOT_AVAILABLE = ("N/A", "NA", "NONE")
 SUPPRESSED_MARKERS = ("*", "**", ".", "-", "na", "n/a", "suppressed", "")
 YES_MARKERS = ("y", "yes", "1", "x", "true", "t", "ok")
 
+BARE = r"^[0-9]+(\.[0-9]+)?$"
+#: What may need cleaning: a sign that is not plain ASCII, blanks together or at an end.
+UNCLEAN = r"[^!-~ ]|  |^ | $"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -34,6 +37,12 @@ def clean_str(c: Column | str) -> Column:
     return empty_to_null(F.trim(F.substring(x, 1, MAX_FIELD_CHARS)))
 
 
+def clean_cell(c: Column) -> Column:
+    """As ``clean_str``, for a plain reference to a cell, which it repeats: one look tells
+    most cells, which need no cleaning."""
+    return F.when(c.rlike(UNCLEAN) | (F.length(c) > MAX_FIELD_CHARS), clean_str(c)).otherwise(empty_to_null(c))
+
+
 def clean_text(c: Column | str) -> Column:
     """As ``clean_str``; a marker such as N/A is null too."""
     x = clean_str(c)
@@ -47,10 +56,16 @@ def to_double(c: Column | str) -> Column:
 
 
 def to_decimal(c: Column | str, kind: str = "decimal(14,2)") -> Column:
+    """A plain number, with or without ``$`` and ``,``, else null."""
     x = F.trim(F.translate(clean_str(c), "$,", ""))
     return F.when(x.rlike(NUMBER), x.try_cast(kind))
 
 
+def cell_decimal(c: Column, kind: str = "decimal(14,2)") -> Column:
+    """As ``to_decimal``, for a plain reference to a cell: most are empty or bare digits."""
+    return F.when(c == "", None).when(c.rlike(BARE), c.try_cast(kind)).otherwise(to_decimal(c, kind))
+
+
 def to_int(c: Column | str) -> Column:
     """Truncated toward zero; thousands separators are dropped."""
     return to_double(F.translate(column(c).cast("string"), ",", "")).try_cast("int")

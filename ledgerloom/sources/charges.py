@@ -7,9 +7,11 @@ then plain projections, and wide ones one ``explode_outer``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import or_
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,13 +43,15 @@ ALIASES = {
     "minimum negotiated charge": "standard_charge|min",
     "maximum negotiated charge": "standard_charge|max",
 }
+#: Every row that names data columns has one of these somewhere.
+TELLING = (*STRONG, *WEAK[1:], "standard_charge|", "payer negotiated charge:", *(k for k, v in ALIASES.items() if v in STRONG))
 RATE_FIELDS = ("negotiated_dollar", "negotiated_percentage", "negotiated_algorithm", "methodology")
 METRIC_FIELDS = ("median_amount", "10th_percentile", "90th_percentile", "count", "additional_payer_notes")
 PAYER_IN_NAME = r"(?i)^payer negotiated charge:\s*(.+?)\s*\(plan:\s*(.+?)\)\s*$"
 #: The characters 0x80 to 0x9F as Latin-1 and as Windows-1252 has them.
 WESTERN = tuple("".join(s) for s in zip(*((chr(k), bytes([k]).decode("cp1252")) for k in range(0x80, 0xA0) if k not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)), strict=True))
-#: Most ``code|n`` columns that are looked for.
-MAX_CODES = 30
+#: Heads that are read at once; most fields of a record (Spark's CSV reader wants a bound).
+HEADS_AT_ONCE, MOST_FIELDS = 16, 200_000
 
 
 def detect_encoding(sample: bytes) -> str:
@@ -72,46 +76,46 @@ def detect_delimiter(line: str) -> str:
     return best if line.count(best) > line.count(",") else ","
 
 
-def _head(spark: SparkSession, path: str, most: int = 2 * HEAD_BYTES) -> bytes:
-    """The first bytes of a file; of a compressed one enough for ``HEAD_BYTES`` of text."""
+def _head(spark: SparkSession, path: str) -> bytes:
+    """The first ``HEAD_BYTES`` of a file's text, whatever its size; only they are read."""
     jvm = spark._jvm  # Hadoop's file systems, so any store that Spark reads will do
     at = jvm.org.apache.hadoop.fs.Path(path)
     stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
     try:
-        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, most))
+        if path.lower().endswith(".gz"):
+            stream = jvm.java.util.zip.GZIPInputStream(stream)
+        return bytes(stream.readNBytes(HEAD_BYTES))
     finally:
         stream.close()
 
 
+def profile(head: bytes) -> tuple[str, str, int]:
+    """(encoding, delimiter, most fields of a line) of a file's first bytes."""
+    encoding = detect_encoding(head)
+    lines = head.decode(encoding, "ignore").lstrip("\ufeff").splitlines() or [""]
+    sep = detect_delimiter(lines[0])
+    return encoding, sep, max(x.count(sep) for x in lines) + 1
+
+
 def profiles(spark: SparkSession, path: str) -> DataFrame:
     """``(path, encoding, delimiter, columns)`` of every CSV below ``path``.
 
-    Only the first 256 KB are looked at; ``columns`` is the most fields of a line there.
-    Spark's binary source holds a file as one value, so the heads of files of 2 GB or more
-    are read by the driver, one by one."""
+    The heads are read through Hadoop's streams, several at a time, and only what they say
+    is kept; a file's size does not matter.  ``columns`` is the most fields of a line of
+    the head: rows with more are read all the same (``read_lines``)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*").load(path)
+    paths = [r[0] for r in files.select("path").collect()]  # names only: no content is read
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        rows = list(pool.map(lambda p: (p, *profile(_head(spark, p))), paths))
+    return spark.createDataFrame(rows, "path string, encoding string, delimiter string, columns int")
+
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import gzip
-        import io
-
-        for batch in batches:
-            rows = []
-            for name, content in zip(batch["path"], batch["content"], strict=True):
-                head = bytes(content[:HEAD_BYTES])
-                if name.lower().endswith(".gz"):
-                    head = gzip.GzipFile(fileobj=io.BytesIO(bytes(content))).read(HEAD_BYTES)
-                encoding = detect_encoding(head)
-                lines = head.decode(encoding, "ignore").lstrip("﻿").splitlines() or [""]
-                sep = detect_delimiter(lines[0])
-                rows.append((name, encoding, sep, max(x.count(sep) for x in lines) + 1))
-            yield pd.DataFrame(rows, columns=["path", "encoding", "delimiter", "columns"])
-
-    small = files.where("length < 2000000000").select("path", F.when(F.col("path").rlike(r"(?i)\.gz$"), F.col("content")).otherwise(F.substring("content", 1, HEAD_BYTES)).alias("content"))
-    large = [(r.path, _head(spark, r.path)) for r in files.where("length >= 2000000000").select("path").collect()]
-    if large:
-        small = small.unionByName(spark.createDataFrame(large, "path string, content binary"))
-    return small.mapInPandas(run, "path string, encoding string, delimiter string, columns int")
+def _fields_of(record: Column, delimiter: str) -> Column:
+    """All fields of a raw record, for the few that have more than the schema."""
+    sep = "\\" + delimiter
+    quoted, plain = rf'"[^"]*+(?:""[^"]*+)*+"[^{sep}]*', rf"[^{sep}]*"
+    fields = F.regexp_extract_all(F.concat(F.lit(delimiter), record), F.lit(f"{sep}({quoted}|{plain})"), F.lit(1))
+    return F.transform(fields, lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, r'(?s)^"(.*)"[^"]*$', "$1"), F.lit('""'), F.lit('"'))).otherwise(c))
 
 
 def read_lines(spark: SparkSession, path: str, profile: DataFrame | None = None) -> DataFrame:
@@ -120,17 +124,23 @@ def read_lines(spark: SparkSession, path: str, profile: DataFrame | None = None)
     ``profile`` has the columns of ``profiles``, for files whose profile is known.
 
     There is one scan for each distinct (encoding, delimiter), however many files; a file
-    is one partition, so its line numbers are in order."""
+    is one partition, so its line numbers are in order.  Spark cuts a record at the
+    schema's width, but keeps its raw text: such records are split anew, so no field is
+    lost, wherever in a file the widest row is."""
     found = (profiles(spark, path) if profile is None else profile).groupBy("encoding", "delimiter").agg(F.collect_list("path").alias("paths"), F.max("columns").alias("n")).collect()
     parts = []
     for encoding, delimiter, paths, n in found:
-        schema = ", ".join(f"_c{k} string" for k in range(n))
+        schema = ", ".join(f"_c{k} string" for k in range(n)) + ", _raw string"
         western = encoding == "windows-1252"  # Spark reads Latin-1; its control characters are Windows' signs
-        raw = spark.read.schema(schema).options(sep=delimiter, encoding="ISO-8859-1" if western else encoding, multiLine=True, escape='"', mode="PERMISSIVE").csv(paths)
-        fields = [F.regexp_replace(F.coalesce(f"_c{k}", F.lit("")), "^\ufeff", "") for k in range(n)]
+        raw = spark.read.schema(schema).options(sep=delimiter, encoding="ISO-8859-1" if western else encoding, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_raw", maxColumns=MOST_FIELDS).csv(paths)
+        fields = F.array(*[F.coalesce(f"_c{k}", F.lit("")) for k in range(n)])
+        # a raw text is kept for shorter records too; only as many signs can make a longer one
+        longer = F.col("_raw").isNotNull() & (F.length("_raw") - F.length(F.replace("_raw", F.lit(delimiter))) >= n)
+        row = F.when(longer, _fields_of(F.col("_raw"), delimiter)).otherwise(fields)
         if western:
-            fields = [F.translate(c, *WESTERN) for c in fields]
-        parts.append(raw.select(source_name(F.col("_metadata.file_name")).alias("source_file"), F.monotonically_increasing_id().alias("line"), F.array(*fields).alias("row")))
+            row = F.transform(row, lambda c: F.translate(c, *WESTERN))
+        marked = F.when(F.col("_c0").startswith("\ufeff"), F.transform(row, lambda c, k: F.when(k == 0, F.substring(c, F.lit(2), F.length(c))).otherwise(c))).otherwise(row)
+        parts.append(raw.select(source_name(F.col("_metadata.file_name")).alias("source_file"), F.monotonically_increasing_id().alias("line"), marked.alias("row")))
     out = parts[0] if parts else spark.createDataFrame([], "source_file string, line long, row array<string>")
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -164,20 +174,39 @@ def headers(lines: DataFrame) -> DataFrame:
     """One row for each file with a data header: its line, names, layout, positions and
     payer groups, and the metadata from the two rows above it.
 
-    Only the first rows of each file with any content are looked at."""
-    filled = lines.where(F.exists("row", lambda c: T.clean_str(c).isNotNull()))
-    w = Window.partitionBy("source_file").orderBy("line")
-    head = filled.withColumn("n", F.row_number().over(w)).where(F.col("n") <= MAX_PREAMBLE + 1).withColumn("is_header", is_data_header(F.col("row")))
-    first = head.where("is_header").groupBy("source_file").agg(F.min("n").alias("at"), F.min("line").alias("header_line"), F.min_by("row", "n").alias("raw"))
-    above = head.join(first.select("source_file", "at"), "source_file").where("n < at")
-    meta = above.groupBy("source_file").agg(F.max_by("row", F.when(F.col("n") == F.col("at") - 2, F.col("n"))).alias("meta_header"), F.max_by("row", F.when(F.col("n") == F.col("at") - 1, F.col("n"))).alias("meta_values"), F.count("*").alias("above"))
+    The header is the first row that names data columns, and at most 8 rows with any
+    content stand above it.  One look at the joined cells tells almost all data rows, so
+    the evidence is weighed for a few rows only and no file is put in order."""
+    joined = F.lower(F.array_join("row", "\n"))
+    may_be = reduce(or_, (F.contains(joined, F.lit(w)) for w in TELLING))
+    able = lines.where(F.when(may_be, is_data_header(F.col("row"))))  # weighed in no other row
+    first = able.groupBy("source_file").agg(F.min("line").alias("header_line"), F.min_by("row", "line").alias("raw"))
+    filled = F.array_join("row", "").rlike(r"(?U)[^\s\x00-\x1f\x7f]")
+    above = lines.join(first.select("source_file", "header_line"), "source_file").where(F.col("line") < F.col("header_line")).where(filled)
+    # of more than 8 rows the file has no header; the last two are the metadata
+    meta = above.groupBy("source_file").agg(F.max_by(F.struct("line", "row"), "line").alias("last"), F.count("*").alias("above"))
+    before = above.join(meta.select("source_file", F.col("last.line").alias("last_line")), "source_file").where(F.col("line") < F.col("last_line"))
+    names_row = before.groupBy("source_file").agg(F.max_by("row", "line").alias("meta_header"))
+    meta = meta.join(names_row, "source_file", "left")
     names = canonical_header(F.col("raw"))
     lowered = F.transform("header", lambda c: F.lower(F.trim(c)))
-    out = first.select("source_file", "header_line", names.alias("header")).join(meta, "source_file", "left")
+    out = first.join(meta, "source_file", "left").where(F.coalesce("above", F.lit(0)) <= MAX_PREAMBLE)
+    out = out.select("source_file", "header_line", names.alias("header"), "meta_header", F.when(F.col("meta_header").isNotNull(), F.col("last.row")).alias("meta_values"))
     wide = F.exists(lowered, lambda c: c.startswith("standard_charge|") & (F.size(F.split(c, r"\|")) == 4))
     layout = F.when(F.array_contains(lowered, "payer_name"), "tall").when(wide, "wide").otherwise("tall")
     index = F.map_from_entries(F.transform(lowered, lambda c, k: F.struct(c.alias("k"), k.alias("v"))))
-    return out.select("source_file", "header_line", "header", layout.alias("layout"), index.alias("idx"), code_positions(index).alias("codes"), payer_groups(F.col("header")).alias("groups"), F.when(F.col("above") >= 2, F.col("meta_header")).alias("meta_header"), F.when(F.col("above") >= 2, F.col("meta_values")).alias("meta_values"))
+    out = out.withColumns({"layout": layout, "idx": index})
+    groups = F.when(F.col("layout") == "tall", tall_group(F.col("idx"))).otherwise(payer_groups(F.col("header")))
+    return out.select("source_file", "header_line", "header", "layout", "idx", code_positions(F.col("idx")).alias("codes"), groups.alias("groups"), "meta_header", "meta_values")
+
+
+def tall_group(index: Column) -> Column:
+    """The columns of a tall header that name and price a payer, as the one group it has."""
+    place = lambda name: F.try_element_at(index, F.lit(name))
+    known = [*((f, f"standard_charge|{f}") for f in RATE_FIELDS), *((f, f) for f in METRIC_FIELDS[:-1]), ("payer_name", "payer_name"), ("plan_name", "plan_name")]
+    cols = F.map_from_entries(F.array(*[F.struct(F.lit(field).alias("k"), place(name).alias("v")) for field, name in known]))
+    none = F.lit(None).cast("string")
+    return F.array(F.struct(none.alias("payer"), none.alias("plan"), cols.alias("cols")))
 
 
 def payer_groups(header: Column) -> Column:
@@ -220,62 +249,55 @@ def _cell(name: str, idx: str = "idx") -> Column:
 def code_positions(index: Column) -> Column:
     """``array<struct<at, type_at>>`` of ``code|1``, ``code|2`` ... up to the first that is
     missing.  Worked out once for a header, so rows look at their own codes only."""
-    numbers = F.sequence(F.lit(1), F.lit(MAX_CODES))
+    numbers = F.sequence(F.lit(1), F.size(index) + 1)  # one more than there can be
     name = lambda k: F.concat(F.lit("code|"), k.cast("string"))
     missing = F.array_position(F.transform(numbers, lambda k: F.try_element_at(index, name(k)).isNull()), True)
-    upto = F.when(missing == 0, F.lit(MAX_CODES)).otherwise(missing - 1)
-    return F.transform(F.filter(numbers, lambda k: k <= upto), lambda k: F.struct(F.try_element_at(index, name(k)).alias("at"), F.try_element_at(index, F.concat(name(k), F.lit("|type"))).alias("type_at")))
+    return F.transform(F.slice(numbers, F.lit(1), (missing - 1).cast("int")), lambda k: F.struct(F.try_element_at(index, name(k)).alias("at"), F.try_element_at(index, F.concat(name(k), F.lit("|type"))).alias("type_at")))
 
 
 def _codes() -> dict[str, Column]:
     """The first code that is given, its type, and the others as ``type:code;...``."""
-    get = lambda at: T.clean_str(F.get("row", at))
+    get = lambda at: T.clean_cell(F.get("row", at))
     each = F.transform("codes", lambda x: F.struct(get(x["at"]).alias("code"), F.coalesce(get(x["type_at"]), F.lit("")).alias("type")))
     return {"_given": F.filter(each, lambda x: x["code"].isNotNull())}
 
 
 def _code_columns() -> dict[str, Column]:
     given = F.col("_given")
-    rest = F.array_join(F.transform(F.slice(given, 2, MAX_CODES), lambda x: F.concat(x["type"], F.lit(":"), x["code"])), ";")
+    rest = F.array_join(F.transform(F.slice(given, F.lit(2), F.size(given)), lambda x: F.concat(x["type"], F.lit(":"), x["code"])), ";")
     return {"code": F.get(given, F.lit(0))["code"], "code_type": T.empty_to_null(F.get(given, F.lit(0))["type"]), "additional_codes": T.empty_to_null(rest)}
 
 
 def charges(lines: DataFrame, heads: DataFrame, limit: int | None = None) -> DataFrame:
-    """Charge rows of all files.  ``limit`` is a number of items of each file, for trials.
+    """Charge rows of all files, in one pass.  ``limit`` is a number of items of each file,
+    for trials.
 
-    The header table has one row a file; Spark decides by its size whether to broadcast."""
+    The header table has one row a file; Spark decides by its size whether to broadcast.
+    A tall row has one group of payer columns, a wide row those that state a rate; an item
+    without any keeps one row, which ``explode_outer`` gives by itself."""
     rows = lines.join(heads.select("source_file", "header_line", "layout", "idx", "codes", "groups"), "source_file").where("line > header_line")
     if limit is not None:
         rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("source_file").orderBy("line"))).where(F.col("_n") <= limit).drop("_n")
     clean = ("description", "billing_class", "setting", "drug_unit_of_measurement", "drug_type_of_measurement", "modifiers")
-    item = {c: T.clean_str(_cell(c)) for c in clean}
-    item |= {c: T.to_decimal(_cell(f"standard_charge|{n}")) for c, n in (("gross_charge", "gross"), ("discounted_cash", "discounted_cash"), ("min_charge", "min"), ("max_charge", "max"))}
-    item["generic_notes"] = T.clean_str(_cell("additional_generic_notes"))
+    item = {c: T.clean_cell(_cell(c)) for c in clean}
+    item |= {c: T.cell_decimal(_cell(f"standard_charge|{n}")) for c, n in (("gross_charge", "gross"), ("discounted_cash", "discounted_cash"), ("min_charge", "min"), ("max_charge", "max"))}
+    item["generic_notes"] = T.clean_cell(_cell("additional_generic_notes"))
     rows = rows.withColumns(_codes()).withColumns(item | _code_columns()).where("description is not null or code is not null")
     base = ["source_file", "code", "code_type", "additional_codes", *[c for c in item if c != "generic_notes"]]
-    percent = "decimal(9,4)"
-
-    tall = rows.where("layout = 'tall'").select(
-        *base, T.clean_text(_cell("payer_name")).alias("payer_name"), T.clean_text(_cell("plan_name")).alias("plan_name"),
-        T.to_decimal(_cell("standard_charge|negotiated_dollar")).alias("negotiated_dollar"), T.to_decimal(_cell("standard_charge|negotiated_percentage"), percent).alias("negotiated_percentage"),
-        T.clean_str(_cell("standard_charge|negotiated_algorithm")).alias("negotiated_algorithm"), T.clean_str(_cell("standard_charge|methodology")).alias("methodology"),
-        T.to_decimal(_cell("median_amount")).alias("median_amount"), T.to_decimal(_cell("10th_percentile")).alias("percentile_10"), T.to_decimal(_cell("90th_percentile")).alias("percentile_90"),
-        T.to_int(_cell("count")).alias("count"), F.col("generic_notes").alias("additional_notes"),
-    )
+    percent, tall = "decimal(9,4)", F.col("layout") == "tall"
 
     def has_rate(g: Column) -> Column:
-        at = lambda f: F.get("row", F.try_element_at(g["cols"], F.lit(f)))
-        return T.to_decimal(at("negotiated_dollar")).isNotNull() | T.to_decimal(at("negotiated_percentage"), percent).isNotNull() | T.clean_str(at("negotiated_algorithm")).isNotNull()
+        cell = lambda f: F.get("row", F.try_element_at(g["cols"], F.lit(f)))
+        return T.cell_decimal(cell("negotiated_dollar")).isNotNull() | T.cell_decimal(cell("negotiated_percentage"), percent).isNotNull() | T.clean_cell(cell("negotiated_algorithm")).isNotNull()
 
-    # an item without any rate keeps one row, which explode_outer gives by itself
-    wide = rows.where("layout = 'wide'").withColumn("g", F.explode_outer(F.filter("groups", has_rate)))
+    each = rows.withColumn("g", F.explode_outer(F.when(tall, F.col("groups")).otherwise(F.filter("groups", has_rate))))
     at = lambda f: F.get("row", F.try_element_at("g.cols", F.lit(f)))
-    wide = wide.select(
-        *base, F.col("g.payer").alias("payer_name"), F.col("g.plan").alias("plan_name"), T.to_decimal(at("negotiated_dollar")).alias("negotiated_dollar"), T.to_decimal(at("negotiated_percentage"), percent).alias("negotiated_percentage"),
-        T.clean_str(at("negotiated_algorithm")).alias("negotiated_algorithm"), T.clean_str(at("methodology")).alias("methodology"), T.to_decimal(at("median_amount")).alias("median_amount"),
-        T.to_decimal(at("10th_percentile")).alias("percentile_10"), T.to_decimal(at("90th_percentile")).alias("percentile_90"), T.to_int(at("count")).alias("count"), F.coalesce(T.clean_str(at("additional_payer_notes")), "generic_notes").alias("additional_notes"),
+    return each.select(
+        *base, F.when(tall, T.clean_text(at("payer_name"))).otherwise(F.col("g.payer")).alias("payer_name"), F.when(tall, T.clean_text(at("plan_name"))).otherwise(F.col("g.plan")).alias("plan_name"),
+        T.cell_decimal(at("negotiated_dollar")).alias("negotiated_dollar"), T.cell_decimal(at("negotiated_percentage"), percent).alias("negotiated_percentage"),
+        T.clean_cell(at("negotiated_algorithm")).alias("negotiated_algorithm"), T.clean_cell(at("methodology")).alias("methodology"), T.cell_decimal(at("median_amount")).alias("median_amount"),
+        T.cell_decimal(at("10th_percentile")).alias("percentile_10"), T.cell_decimal(at("90th_percentile")).alias("percentile_90"), T.to_int(at("count")).alias("count"), F.coalesce(T.clean_cell(at("additional_payer_notes")), "generic_notes").alias("additional_notes"),
     )
-    return tall.unionByName(wide)
 
 
 def with_identifiers(rows: DataFrame, sources: DataFrame) -> DataFrame:
@@ -317,7 +339,7 @@ def json_charges(raw: DataFrame, limit: int | None = None) -> DataFrame:
     rows = raw.where(is_charge_file()).select("source_file", F.explode(items).alias("i"))
     rows = rows.select("source_file", "i", F.explode("i.standard_charges").alias("c")).select("source_file", "i", "c", F.explode_outer("c.payers_information").alias("p"))
     codes = F.filter("i.code_information", lambda x: x["code"] != "")
-    extra = F.array_join(F.transform(F.slice(codes, 2, 1000), lambda x: F.concat(F.coalesce(x["type"], F.lit("")), F.lit(":"), x["code"])), ";")
+    extra = F.array_join(F.transform(F.slice(codes, F.lit(2), F.size(codes)), lambda x: F.concat(F.coalesce(x["type"], F.lit("")), F.lit(":"), x["code"])), ";")
     return rows.select(
         "source_file", T.clean_str("i.description").alias("description"), T.clean_str("c.billing_class").alias("billing_class"), T.clean_str("c.setting").alias("setting"),
         T.clean_str("i.drug_information.unit").alias("drug_unit_of_measurement"), T.clean_str("i.drug_information.type").alias("drug_type_of_measurement"), T.clean_str(F.array_join("c.modifiers", ";")).alias("modifiers"),
