@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import round_half_up
+from . import ranks
 
 MIN_COHORT, MIN_COHORT_FOR_QUARTILES, PRECISION = 5, 11, 2
 #: The only cohorts that may be asked for, so that overlapping ones cannot isolate a hospital.
@@ -29,29 +30,29 @@ def _left_out(table: str, place: Column, n: Column, q: float) -> Column:
     return a + (at - low) * (F.coalesce(pick(low + 1), a) - a)
 
 
+def _percent(share: Column) -> Column:
+    return F.floor(share * 100 + 0.5).cast("int")
+
+
 def peer_benchmark(rows: DataFrame, by: tuple[str, ...], value: str = "value", min_cohort: int = MIN_COHORT, min_quartiles: int = MIN_COHORT_FOR_QUARTILES, precision: int = PRECISION) -> DataFrame:
     """Each row against the other rows of its cohort.
 
     Equal values count half in the rank.  Quartiles leave the row itself out: its place in
     the cohort's order tells which of a few order statistics they interpolate, so no
-    cohort is gathered into one value.  Fewer than ``min_cohort`` peers give nothing;
+    cohort is gathered or sorted in one task.  Fewer than ``min_cohort`` peers give nothing;
     fewer than ``min_quartiles`` peers, or peers that are all equal, give a rank only.
     """
-    x = F.col(value).cast("double")
     keys = list(by)
+    x = F.col(value).cast("double")
     known = rows.where(x.isNotNull() & ~F.isnan(x)).withColumn("_x", x)
-    order = Window.partitionBy(*keys).orderBy("_x")
-    counts = known.groupBy(*keys, "_x").agg(F.count("*").alias("_same"))
-    # places come from the distinct values, whose counts were summed before the shuffle
-    placed = counts.withColumn("_below", F.coalesce(F.sum("_same").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sizes = counts.groupBy(*keys).agg(F.sum("_same").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"), F.count("*").alias("_kinds"))
-    near = placed.join(sizes, keys)
-    wanted = F.array(*[F.floor((F.col("_n") - 2) * F.lit(q)).cast("int") + k for q in (0.25, 0.5, 0.75) for k in (0, 1, 2)])
-    inside = F.filter(F.array_distinct(wanted), lambda k: (k >= F.col("_below")) & (k < F.col("_below") + F.col("_same")))
-    marks = near.select(*keys, "_x", F.explode(inside).alias("_k")).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_at"))
-    out = known.join(placed, [*keys, "_x"]).join(sizes, keys).join(marks, keys, "left")
+    counts = ranks.counted(known, keys, F.col("_x"))
+    places = ranks.placed(counts, keys).select(*keys, F.col("x").alias("_x"), F.col("same").alias("_same"), F.col("below").alias("_below"))
+    sizes = counts.groupBy(*keys).agg(F.sum("same").alias("_n"), F.count("*").alias("_kinds"))
+    wanted = F.array(*[F.floor((F.col("n") - 2) * F.lit(q)) + k for q in (0.25, 0.5, 0.75) for k in (0, 1, 2)])
+    marks = ranks.at_places(counts, keys, wanted).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.col("place").cast("int"), "x"))).alias("_at"))
+    out = ranks.joined(ranks.joined(known, places, [*keys, "_x"]), ranks.joined(sizes, marks, keys, "left"), keys)
     peers = F.col("_n") - 1
-    rank = round_half_up((F.col("_below") + (F.col("_same") - 1) / 2) / F.nullif(peers, F.lit(0)) * 100).cast("int")
+    rank = _percent((F.col("_below") + (F.col("_same") - 1) / 2) / F.nullif(peers, F.lit(0)))
     place = F.col("_below").cast("int")
     # without the row itself all peers are equal: one value, or two of which the row is one alone
     uniform = (F.col("_kinds") == 1) | ((F.col("_kinds") == 2) & (F.col("_same") == 1))
@@ -79,20 +80,17 @@ def org_summary(rows: DataFrame, orgs: DataFrame, org: str, value: str = "value"
     own = owners(orgs).where(F.col("org") == org).select("ccn").distinct()
     mine, others = rows.join(own, "ccn", "left_semi"), rows.join(own, "ccn", "left_anti")
     x = F.col(value).cast("double")
-    peers = others.where(x.isNotNull() & ~F.isnan(x)).select(x.alias("_p"))
-    # one row of facts, and the distinct values of one organisation, are plain literals
-    facts = peers.agg(F.count("*"), F.min("_p"), F.max("_p"), *[F.percentile("_p", F.lit(q)) for q in (0.25, 0.5, 0.75)]).first()
+    # one table of values: peers weigh one, own values nothing, so both get their places
+    both = others.select(x.alias("v"), F.lit(1).alias("w")).unionByName(mine.select(x.alias("v"), F.lit(0).alias("w"))).withColumn("all", F.lit(True))
+    counts = ranks.counted(both, ["all"], F.col("v"), F.col("w"))
+    peers = counts.where("same > 0")
+    facts = peers.agg(F.coalesce(F.sum("same"), F.lit(0)), F.min("x"), F.max("x")).first()
+    quartiles = ranks.quantiles(peers, ["all"], {"p25": 0.25, "p50": 0.5, "p75": 0.75}).first() or {}
     n, total = facts[0], rows.count()
-    own_values = sorted(r[0] for r in mine.where(x.isNotNull()).select(x).distinct().collect())
-    less = {}
-    for lo in range(0, len(own_values), 100):
-        part = own_values[lo : lo + 100]
-        sums = peers.agg(*[F.sum(F.when(F.col("_p") < v, 1.0).when(F.col("_p") == v, 0.5).otherwise(0.0)) for v in part]).first()
-        less.update(zip(part, sums, strict=True))
-    pairs = [F.lit(y) for v, s in less.items() for y in (v, s or 0.0)]
-    share = F.try_element_at(F.create_map(*pairs), x) / max(n, 1) if pairs else F.lit(None).cast("double")
     level = "none" if n < MIN_COHORT else "rank_only" if n < MIN_COHORT_FOR_QUARTILES or facts[1] == facts[2] else "band"
-    state = F.when(x.isNull(), "none").otherwise(level)
-    band = lambda k: F.when(state == "band", round_half_up(F.lit(facts[3 + k]).cast("double"), PRECISION))
-    rank = F.when(state != "none", round_half_up(share * 100).cast("int"))
-    return mine.select(*rows.columns, F.lit(total).cast("long").alias("rank_of"), F.lit(n).cast("long").alias("peer_count"), state.alias("disclosure"), rank.alias("percentile_rank"), band(0).alias("p25"), band(1).alias("p50"), band(2).alias("p75"))
+    places = ranks.placed(counts, ["all"]).select(F.col("x").alias("_place"), F.col("same").alias("_same"), F.col("below").alias("_below"))
+    found = mine.withColumn("_x", x).join(places, F.col("_x") == F.col("_place"), "left")
+    state = F.when(F.col("_same").isNull(), "none").otherwise(level)
+    rank = F.when(state != "none", _percent((F.col("_below") + F.col("_same") / 2) / max(n, 1)))
+    band = lambda k: F.when(state == "band", round_half_up(F.lit(quartiles[k] if quartiles else None).cast("double"), PRECISION))
+    return found.select(*rows.columns, F.lit(total).cast("long").alias("rank_of"), F.lit(n).cast("long").alias("peer_count"), state.alias("disclosure"), rank.alias("percentile_rank"), band("p25").alias("p25"), band("p50").alias("p50"), band("p75").alias("p75"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import beside
 from ..functions.text import empty_to_null
+from . import ranks
 
 UNNAMED = "(unnamed)"
 MEASURES = ("gross", "cash", "negotiated")
@@ -34,22 +36,41 @@ def positive(c: Column | str) -> Column:
     return F.when(x > 0, x.cast("double"))
 
 
+QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+
+
 def spread(rows: DataFrame, *by: str) -> DataFrame:
-    """Rows, hospitals, and count, quartiles and extremes of each measure, in one pass."""
-    aggs = [F.count("*").alias("charge_rows"), F.count_distinct(F.coalesce("ccn", "source_file")).alias("hospitals")]
-    for name, c in zip(MEASURES, ("gross_charge", "discounted_cash", "negotiated_dollar"), strict=True):
-        x = positive(c)
-        aggs.append(F.count(x).alias(f"{name}_count"))
-        aggs += [F.round(F.percentile(x, F.lit(p)), 4).alias(f"{name}_{label}") for p, label in ((0.25, "p25"), (0.5, "median"), (0.75, "p75"))]
-        aggs += [F.min(x).alias(f"{name}_min"), F.max(x).alias(f"{name}_max")]
-    return rows.groupBy(*by).agg(*aggs)
+    """Rows, hospitals, and count, quartiles and extremes of each measure.
+
+    Quartiles come from counts of equal prices, so a code with very many prices is not
+    gathered in one task."""
+    measures = dict(zip(MEASURES, ("gross_charge", "discounted_cash", "negotiated_dollar"), strict=True))
+    total = rows.groupBy(*by).agg(F.count("*").alias("charge_rows"), F.count_distinct(F.coalesce("ccn", "source_file")).alias("hospitals"))
+    keys = list(by)
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("measure"), positive(c).alias("v")) for name, c in measures.items()]))
+    prices = rows.select(*keys, each.alias("e")).select(*keys, "e.measure", "e.v")
+    found = ranks.quantiles(ranks.counted(prices, [*keys, "measure"], F.col("v")), [*keys, "measure"], QUARTILES)
+    of = lambda name, c: F.max(F.when(F.col("measure") == name, F.col(c)))
+    wide = found.groupBy(*keys).agg(
+        *[F.coalesce(of(name, "n"), F.lit(0)).alias(f"{name}_count") for name in measures], *[F.round(of(name, q), 4).alias(f"{name}_{q}") for name in measures for q in QUARTILES],
+        *[of(name, c).alias(f"{name}_{c}") for name in measures for c in ("min", "max")],
+    )
+    out = together(total, wide, keys)
+    return out.withColumns({f"{name}_count": F.coalesce(f"{name}_count", F.lit(0)) for name in measures})
+
+
+def together(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of two tables of groups side by side; without keys both have one row."""
+    return ranks.joined(left, right, keys, "left") if keys else beside(left, right)
 
 
 def by_payer(rows: DataFrame, *by: str) -> DataFrame:
     """Count and median of the negotiated prices of each payer."""
     payer = F.coalesce(empty_to_null(F.trim("payer_name")), F.lit(UNNAMED)).alias("payer")
-    x = positive("negotiated_dollar")
-    return rows.where(x.isNotNull()).groupBy(*by, payer).agg(F.count("*").alias("prices"), F.round(F.percentile(x, F.lit(0.5)), 4).alias("median"))
+    keys = [*by, "payer"]
+    counts = ranks.counted(rows.select(*by, payer, positive("negotiated_dollar").alias("v")), keys, F.col("v"))
+    found = ranks.quantiles(counts, keys, {"median": 0.5})
+    return found.select(*keys, F.col("n").alias("prices"), F.round("median", 4).alias("median"))
 
 
 def top_payers(rows: DataFrame, n: int = 10) -> DataFrame:
