@@ -30,10 +30,12 @@ def by_stamp(sources: DataFrame, hospitals: DataFrame) -> DataFrame:
 
 
 def by_npi(sources: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """The first NPI of a source, in order and the primary last, that the crosswalk knows."""
+    """The first NPI of a source, in order and the primary last, that the crosswalk knows.
+
+    A stored crosswalk has one CCN for each NPI; of several the smallest counts."""
     listed = F.array_compact(F.concat(F.coalesce("npis", F.array().cast("array<string>")), F.array("primary_npi")))
     each = sources.select("source_file", F.posexplode(listed).alias("pos", "npi"))
-    hits = each.join(crosswalk.select("npi", F.col("ccn").alias("npi_ccn")).dropDuplicates(["npi"]), "npi")
+    hits = each.join(crosswalk.groupBy("npi").agg(F.min("ccn").alias("npi_ccn")), "npi")
     return hits.groupBy("source_file").agg(F.min_by("npi_ccn", "pos").alias("ccn"))
 
 
@@ -66,7 +68,9 @@ def probable(unlinked: DataFrame, gaps: DataFrame, floor: float = MATCH_FLOOR, p
     ``unlinked(source_file, hospital_name, state, charge_count)``, ``gaps(ccn, name,
     state)``.  Both the name inside a file and the file's own name are tried.  Candidates
     share a telling word, and the state where the file has one.  Names are compared once
-    for each distinct (name, state), so repeated names make no pairs.
+    for each distinct (name, state), so repeated names make no pairs.  Two sets of words
+    that are alike share one of the rarest words of each, so each set is looked up by its
+    rarest words only, as many as the floor needs; the frequent ones pair nothing.
     """
     state = F.coalesce(F.upper("state"), F.lit(""))
     texts = F.array(F.coalesce("hospital_name", F.lit("")), readable_name("source_file"))
@@ -74,7 +78,14 @@ def probable(unlinked: DataFrame, gaps: DataFrame, floor: float = MATCH_FLOOR, p
     left = sides.select("src_state", "words").distinct()
     known = gaps.select("ccn", "name", "state", F.upper("state").alias("gap_state"), F.array_sort(significant_tokens("name")).alias("gap_words"))
     right = known.select("gap_state", "gap_words").distinct()
-    pairs = left.withColumn("word", F.explode("words")).join(right.withColumn("word", F.explode("gap_words")), "word").where("src_state in ('', gap_state)")
+    each = right.select("gap_state", "gap_words", F.explode("gap_words").alias("word"))
+    frequency = left.select(F.explode("words").alias("word")).unionByName(each.select("word")).groupBy("word").agg(F.count("*").alias("n"))
+    left_keys = _rarest(left, ["src_state", "words"], "words", frequency, floor)
+    right_keys = _rarest(right, ["gap_state", "gap_words"], "gap_words", frequency, floor)
+    # the state is part of the key where the file has one
+    stated = left_keys.where("src_state <> ''").join(right_keys.withColumn("src_state", F.col("gap_state")), ["word", "src_state"])
+    anywhere = left_keys.where("src_state = ''").join(right_keys, "word")
+    pairs = stated.unionByName(anywhere)
     scored = pairs.drop("word").distinct().withColumn("score", jaccard(F.col("words"), F.col("gap_words"))).where(F.col("score") >= floor)
     # of hospitals that score alike, the first by CCN count, so a name needs no more than these
     same = Window.partitionBy("gap_state", "gap_words").orderBy("ccn")
@@ -89,6 +100,16 @@ def probable(unlinked: DataFrame, gaps: DataFrame, floor: float = MATCH_FLOOR, p
     return out.select("source_file", "place", "ccn", "hospital", "state", F.round("score", 3).alias("score"), (F.col("src_state") != "").alias("same_state"), "file_hospital_name", "charge_count")
 
 
+def _rarest(classes: DataFrame, key: list[str], words: str, frequency: DataFrame, floor: float) -> DataFrame:
+    """Each class with the rarest of its n words, n - ceil(floor * n) + 1 of them: sets with
+    a Jaccard similarity of at least ``floor`` share one of both sides' rarest words."""
+    rows = classes.select(*key, F.explode(words).alias("word")).join(frequency, "word")
+    order = F.array_sort(F.collect_list(F.struct("n", "word")))
+    kept = F.size("o") - F.ceil(F.lit(floor) * F.size("o")) + 1
+    ranked = rows.groupBy(*key).agg(order.alias("o"))
+    return ranked.select(*key, F.explode(F.slice("o", F.lit(1), kept.cast("int"))).alias("e")).select(*key, F.col("e.word").alias("word"))
+
+
 def suggestions(matches: DataFrame, limit: int | None = None) -> DataFrame:
     """The review sheet of probable matches, largest files first."""
     out = matches.orderBy(F.desc("charge_count"), F.desc("score"), "source_file", "ccn")

@@ -10,6 +10,8 @@ from ..functions.text import round_half_up
 LOW, HIGH = 1.0, 5.0
 SELF_WEIGHT, OBJECTIVE_WEIGHT = 0.7, 0.3
 GATE_DIMENSION, GATE_SCORE, TARGETS = "D4", 50, 2
+#: Items of a questionnaire, which is a parameter: more is an error.
+MOST_ITEMS = 1000
 
 
 def item_score(kind: Column, value: Column, correct: Column) -> Column:
@@ -25,10 +27,13 @@ def scored_items(responses: DataFrame, items: DataFrame) -> DataFrame:
     """Every item of every respondent with its score, null where N/A or unanswered.
 
     ``responses(respondent, item, value string, na boolean)``; ``items(item, dimension,
-    kind, objective boolean, correct array<string>)``, a small table.
+    kind, objective boolean, correct array<string>)``, at most ``MOST_ITEMS``.
     """
+    listed = [r[0] for r in items.select("item").distinct().orderBy("item").limit(MOST_ITEMS + 1).collect()]
+    if len(listed) > MOST_ITEMS:
+        raise ValueError(f"a questionnaire has at most {MOST_ITEMS} items")
     people = responses.select("respondent").distinct()
-    asked = people.select("respondent", F.explode(F.array(*[F.lit(r[0]) for r in items.select("item").orderBy("item").collect()])).alias("item")) if items.columns else people
+    asked = people.select("respondent", F.explode(F.array(*map(F.lit, listed)).cast("array<string>")).alias("item"))
     said = responses.select("respondent", "item", "value", "na")
     rows = asked.join(said, ["respondent", "item"], "left").join(items, "item")
     value = F.when(F.coalesce("na", F.lit(False)), F.lit(None)).otherwise(F.col("value"))

@@ -47,12 +47,15 @@ def competitors_of(cells: DataFrame, hospitals: DataFrame, ccn: str, n: int = 15
     return ranked.join(hospitals.select("ccn", "name", "state"), "ccn", "left").orderBy(F.desc("overlap_cases"), "ccn").limit(n)
 
 
-def competitors(cells: DataFrame) -> DataFrame:
-    """Every (hospital, rival) with the rival's cases in shared ZIPs.
+def competitors(cells: DataFrame, subjects: DataFrame, n: int = 15) -> DataFrame:
+    """The ``n`` largest rivals of each hospital of ``subjects(ccn)``, by the cases they
+    take in its ZIPs.
 
-    The pairs are the result itself; a hospital meets a rival once for each shared ZIP.
-    """
-    subject = cells.where(~F.col("suppressed")).select("ccn", "zip5").distinct()
+    ``subjects`` is the question, so all its pairs with rivals are counted, partly before
+    the shuffle; only the largest come back."""
+    asked = cells.where(~F.col("suppressed")).join(subjects.select("ccn").distinct(), "ccn", "left_semi").select("ccn", "zip5").distinct()
     rival = published(cells).select(F.col("ccn").alias("rival"), "zip5", "cases")
-    both = subject.join(rival, "zip5").where("ccn <> rival")
-    return both.groupBy("ccn", "rival").agg(F.sum("cases").alias("overlap_cases"), F.count("*").alias("shared_zips"))
+    both = asked.join(rival, "zip5").where("ccn <> rival")
+    ranked = both.groupBy("ccn", "rival").agg(F.sum("cases").alias("overlap_cases"), F.count("*").alias("shared_zips"))
+    order = Window.partitionBy("ccn").orderBy(F.desc("overlap_cases"), "rival")
+    return ranked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)

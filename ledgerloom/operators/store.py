@@ -9,19 +9,27 @@ from datetime import datetime, timezone
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import file_ein, file_npi
+
 
 def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row for each key: the last by ``order``; a partial maximum, not a window."""
+    """One row for each key: the last by ``order``; a partial maximum, not a window.
+
+    ``order`` should tell the rows of a key apart; of rows that are last together any one
+    counts."""
     rest = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r")).select(*keys, "_r.*").select(rows.columns)
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """Incoming rows replace stored rows of the same key; others stay."""
-    new = latest(incoming, keys, order) if order else incoming.dropDuplicates(keys)
+    """Incoming rows replace stored rows of the same key; others stay.
+
+    Of incoming rows of one key the last by ``order`` counts; without it, the last as they
+    are read, so ``incoming`` should then be a scan."""
+    new = latest(incoming, keys, order) if order else latest(incoming.withColumn("_seq", F.monotonically_increasing_id()), keys, "_seq")
     return stored.join(new.select(*keys), keys, "left_anti").unionByName(new.select(stored.columns))
 
 
@@ -93,8 +101,9 @@ def read_current(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_sheet(df: DataFrame, path: str) -> None:
-    """A worklist as one CSV with a header and no nulls."""
-    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]).coalesce(1).write.option("header", True).csv(path)
+    """A worklist as CSV with a header and no nulls, in as many part files as it has
+    partitions; ``read_sheet`` reads them as one."""
+    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns]).write.option("header", True).csv(path)
 
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
@@ -113,22 +122,21 @@ def counts_by(df: DataFrame, *by: str) -> DataFrame:
 
 def repair_identifiers(sources: DataFrame) -> DataFrame:
     """Sources whose stored EIN or NPI disagrees with the file name, with what it says."""
-    from ..functions.names import file_ein, file_npi
-
     out = sources.select("source_file", "ein", "primary_npi", "charge_count", file_ein("source_file").alias("file_ein"), file_npi("source_file").alias("file_npi"))
     return out.where(~F.col("ein").eqNullSafe(F.col("file_ein")))
 
 
 def repaired(sources: DataFrame) -> DataFrame:
     """Sources with EINs as their file names say, and NPIs filled where there were none."""
-    from ..functions.names import file_ein, file_npi
+    return sources.withColumns({"ein": file_ein("source_file")} | _filled_npis())
+
 
+def _filled_npis() -> dict[str, Column]:
     none = (F.size(F.coalesce("npis", F.array().cast("array<string>"))) == 0) & F.col("primary_npi").isNull()
     npi = file_npi("source_file")
-    return sources.withColumns({"ein": file_ein("source_file"), "primary_npi": F.when(none, npi).otherwise(F.col("primary_npi")), "npis": F.when(none & npi.isNotNull(), F.array(npi)).otherwise(F.col("npis"))})
+    return {"primary_npi": F.when(none, npi).otherwise(F.col("primary_npi")), "npis": F.when(none & npi.isNotNull(), F.array(npi)).otherwise(F.col("npis"))}
 
 
 def with_file_npis(sources: DataFrame) -> DataFrame:
     """Sources that lack every NPI get the one of their file name; others stay."""
-    fixed = repaired(sources)
-    return fixed.withColumn("_e", F.lit(None)).drop("_e", "ein").join(sources.select("source_file", "ein"), "source_file").select(sources.columns)
+    return sources.withColumns(_filled_npis())

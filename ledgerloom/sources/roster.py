@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.states import EVERYWHERE, ccn_state, resolve_state
+from ..operators.store import latest
 from .columns import pick, read_strings, resolve
 
 # Codes of the provider roster.
@@ -33,13 +34,14 @@ AREA_SPELLINGS = {
 }
 
 
-def hospitals(raw: DataFrame) -> DataFrame:
-    """Normalized rows of raw roster records."""
+def hospitals(raw: DataFrame, *keep: str) -> DataFrame:
+    """Normalized rows of raw roster records, with the raw columns to ``keep``."""
     get = lambda name: pick(raw, [name], required=False)
     ccn, subtype = T.ccn(get("PRVDR_NUM")), F.coalesce(T.clean_str(get("PRVDR_CTGRY_SBTYP_CD")), F.lit(""))
     ownership, ended = T.clean_str(get("GNRL_CNTL_TYPE_CD")), T.clean_str(get("PGM_TRMNTN_CD"))
     blank = F.lit("")
     return raw.select(
+        *keep,
         F.coalesce(ccn, blank).alias("ccn"),
         F.coalesce(T.clean_str(get("FAC_NAME")), blank).alias("name"),
         F.coalesce(T.clean_str(get("PRVDR_CTGRY_CD")), blank).alias("provider_category_code"),
@@ -67,11 +69,15 @@ def in_state(rows: DataFrame, state: str) -> DataFrame:
     return rows if state.strip().upper() in EVERYWHERE else rows.where(F.col("state") == resolve_state(state))
 
 
-def ingest(raw: DataFrame, state: str = "ALL", active_only: bool = True) -> DataFrame:
-    """Hospitals of raw roster records: category 01, with a CCN, the last row of each."""
-    rows = in_state(hospitals(raw).where((F.col("provider_category_code") == HOSPITAL_CATEGORY) & (F.col("ccn") != "")), state)
+def ingest(raw: DataFrame, state: str = "ALL", active_only: bool = True, order: Column | None = None) -> DataFrame:
+    """Hospitals of raw roster records: category 01, with a CCN, the last row of each.
+
+    ``order`` says which row is the last; without it, their order in the file does."""
+    marked = raw.withColumn("_SEQ", order if order is not None else F.monotonically_increasing_id())
+    rows = hospitals(marked, "_SEQ").where((F.col("provider_category_code") == HOSPITAL_CATEGORY) & (F.col("ccn") != ""))
+    rows = in_state(rows, state)
     rows = rows.where("is_active") if active_only else rows
-    return rows.dropDuplicates(["ccn"])
+    return latest(rows, ["ccn"], "_SEQ").drop("_SEQ")
 
 
 def load_statistics(raw: DataFrame, state: str = "ALL") -> DataFrame:
