@@ -104,11 +104,14 @@ def service_draw_of_one(spark, sf_dir):
     return service_area.draw_of(contract.view(spark, sf_dir, "v_area"), "000003", 10).drop("ccn")
 
 
-@query(f"""select a.ccn, b.ccn as rival, cast(sum(b.cases) as bigint) as overlap_cases, count(*) as shared_zips
-from (select distinct ccn, zip5 from v_area where not suppressed) a join ({_PUBLISHED}) b on a.zip5 = b.zip5 and a.ccn <> b.ccn group by 1, 2""")
+@query(f"""with r as (select a.ccn, b.ccn as rival, cast(sum(b.cases) as bigint) as overlap_cases, count(*) as shared_zips
+from (select distinct ccn, zip5 from v_area where not suppressed and cast(ccn as int) % 100 = 0) a join ({_PUBLISHED}) b on a.zip5 = b.zip5 and a.ccn <> b.ccn group by 1, 2)
+select * from (select *, cast(row_number() over (partition by ccn order by overlap_cases desc, rival) as int) as place from r) where place <= 15""")
 def service_competitors(spark, sf_dir):
-    """Cases of every rival in shared ZIPs."""
-    return service_area.competitors(contract.view(spark, sf_dir, "v_area"))
+    """The largest rivals in shared ZIPs, asked for every hospital whose number is
+    divisible by 100 and counted over all cells."""
+    cells = contract.view(spark, sf_dir, "v_area")
+    return service_area.competitors(cells, cells.select("ccn").where("cast(ccn as int) % 100 = 0"))
 
 
 @query(f"""select b.ccn, cast(sum(b.cases) as bigint) as overlap_cases, count(*) as shared_zips, any_value(h.name) as name, any_value(h.state) as state from ({_PUBLISHED}) b left join v_hospitals h on b.ccn = h.ccn
@@ -242,14 +245,14 @@ def _tokens(c: str) -> str:
 
 
 @query(f"""with t as (select ccn, name, state, {_tokens('name')} as t from v_parts),
-f as (select ccn as file, state, {_tokens('name')} as t, cast(ccn as int) % 50 as charge_count from v_parts where cast(ccn as int) % 5 = 0),
+f as (select ccn as file, state, {_tokens('name')} as t, cast(ccn as int) % 50 as charge_count from v_parts),
 c as (select distinct f.file, t.ccn, len(list_intersect(f.t, t.t)) / len(list_distinct(list_concat(f.t, t.t))) as score from f join t on f.state = t.state and list_has_any(f.t, t.t)),
 r as (select *, row_number() over (partition by file order by score desc, ccn) as place from c where score >= 0.3)
 select file, cast(place as int) as place, ccn, round(score, 3) as score from r where place <= 3""")
 def probable_matches(spark, sf_dir):
     """The three likeliest hospitals of files without one."""
     parts = contract.view(spark, sf_dir, "v_parts")
-    files = parts.where(F.col("ccn").cast("int") % 5 == 0).select(F.col("ccn").alias("source_file"), F.col("name").alias("hospital_name"), "state", (F.col("ccn").cast("int") % 50).cast("long").alias("charge_count"))
+    files = parts.select(F.col("ccn").alias("source_file"), F.col("name").alias("hospital_name"), "state", (F.col("ccn").cast("int") % 50).cast("long").alias("charge_count"))
     found = linkage.probable(files.withColumn("source_file", F.concat(F.lit("z"), F.col("source_file"))), parts)
     return found.select(F.substring("source_file", 2, 6).alias("file"), "place", "ccn", "score")
 
@@ -383,19 +386,19 @@ def replace_groups(spark, sf_dir):
     return store.replace_groups(o, o.where("o_orderstatus = 'F'").withColumn("edition", F.lit(2)), ["o_orderstatus"]).drop("o_orderstatus")
 
 
-@query("""select s_suppkey, count(l_orderkey) as charge_count from supplier left join (select * from lineitem where l_quantity > 49) on s_suppkey = l_suppkey group by 1""")
+@query("""select s_suppkey, count(l_orderkey) as charge_count from supplier left join lineitem on s_suppkey = l_suppkey group by 1""")
 def charge_counts(spark, sf_dir):
     """Row counts of every source, 0 where it has none."""
     s = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("source_file"), F.lit(0).cast("long").alias("charge_count"))
-    f = _read(spark, sf_dir, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("source_file"))
+    f = _read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("source_file"))
     return store.with_charge_counts(s, f).withColumnRenamed("source_file", "s_suppkey")
 
 
 @query("""select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 30)""")
 def not_loaded(spark, sf_dir):
-    """Files without loaded rows are tried again."""
+    """Files without loaded rows are tried again; lines of large quantity are loaded."""
     o = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("source_file"))
-    done = _read(spark, sf_dir, "lineitem").where("l_quantity > 30").groupBy(F.col("l_orderkey").alias("source_file")).agg(F.count("*").alias("charge_count"))
+    done = _read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("source_file")).agg(F.count_if(F.col("l_quantity") > 30).alias("charge_count"))
     return store.not_loaded(o, done).withColumnRenamed("source_file", "o_orderkey")
 
 

@@ -18,7 +18,7 @@ VIEWS: dict[str, str] = {
         count(*) as charge_count from lineitem group by l_suppkey""",
     "v_charges": """select concat('file-', lpad(cast(l_suppkey as string), 6, '0'), '.csv') as source_file, lpad(cast(l_suppkey as string), 6, '0') as ccn,
         cast(s_nationkey as string) as state, p_brand as code, p_name as description, l_extendedprice as gross_charge,
-        round(l_extendedprice * (1 - l_discount), 2) as discounted_cash, case when l_returnflag <> 'R' then round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 2) end as negotiated_dollar,
+        floor(l_extendedprice * (1 - l_discount) * 100 + 0.5) / 100 as discounted_cash, case when l_returnflag <> 'R' then floor(l_extendedprice * (1 - l_discount) * (1 + l_tax) * 100 + 0.5) / 100 end as negotiated_dollar,
         c_mktsegment as payer_name from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey""",
     "v_area": """select lpad(cast(l_suppkey as string), 6, '0') as ccn, lpad(cast(c_nationkey as string), 5, '0') as zip5,
         cast(case when count(*) >= 20 then count(*) end as int) as cases, count(*) < 20 as suppressed

@@ -61,7 +61,7 @@ def charge_metadata(spark, sf_dir):
 WIDE = ("CDM Item Number", "Service Description", "Gross Charge", "standard_charge|Acme|PPO|negotiated_dollar", "median_amount|Acme|PPO", "Payer Negotiated Charge: Best Co (Plan: HMO)", "additional_generic_notes")
 
 
-@query("""with i as (select l_suppkey, l_orderkey, l_linenumber, l_extendedprice as x, concat('i', l_partkey) as code from lineitem where l_linenumber < 5),
+@query("""with i as (select l_suppkey, l_orderkey, l_linenumber, l_extendedprice as x, concat('i', l_partkey) as code from lineitem),
 a as (select l_suppkey, l_orderkey, l_linenumber, code, 'Acme' as payer_name, 'PPO' as plan_name, round(x, 2) as d, l_linenumber * 1.5 as m from i where l_linenumber % 2 = 0 union all
 select l_suppkey, l_orderkey, l_linenumber, code, 'Best Co', 'HMO', round(x, 2), null from i where l_linenumber % 3 = 0 union all
 select l_suppkey, l_orderkey, l_linenumber, code, null, null, null, null from i where l_linenumber % 2 <> 0 and l_linenumber % 3 <> 0)
@@ -69,7 +69,7 @@ select concat('ccn-', lpad(cast(l_suppkey as varchar), 6, '0'), '_x.csv') as sou
 def charge_rows_wide(spark, sf_dir):
     """Wide files unpivoted by payer; items without a rate keep one row."""
     s = _read(spark, sf_dir, "supplier").select(_file("s_suppkey").alias("source_file"), F.lit(0).cast("long").alias("line"), F.array(*map(F.lit, WIDE)).alias("row"))
-    i = _read(spark, sf_dir, "lineitem").where("l_linenumber < 5")
+    i = _read(spark, sf_dir, "lineitem")
     x, n = F.col("l_extendedprice"), F.col("l_linenumber")
     money = lambda c: F.format_string("%.2f", F.round(c, 2))
     row = _array(F.concat(F.lit("i"), "l_partkey"), F.lit("item"), money(x), F.when(n % 2 == 0, money(x)).otherwise(""), F.when(n % 2 == 0, F.format_string("%.1f", n * 1.5)).otherwise(""), F.when(n % 3 == 0, money(x)).otherwise("NA"), F.lit("note"))
@@ -92,11 +92,11 @@ def charge_rows_json(spark, sf_dir):
     return found.select("source_file", "code", F.col("gross_charge").cast("double").alias("gross_charge"), "payer_name", F.col("negotiated_dollar").cast("double").alias("negotiated_dollar"))
 
 
-@query("""select 'f' || s_suppkey as source_file, case when s_suppkey % 3 = 0 then 'failed' when s_suppkey % 3 = 1 and s_suppkey % 2 = 0 then 'skipped' when l_suppkey is null then 'empty' else 'loaded' end as status, coalesce(n, 0) as rows from supplier left join (select l_suppkey, count(*) as n from lineitem where l_quantity > 48 group by 1) on s_suppkey = l_suppkey""")
+@query("""select 'f' || s_suppkey as source_file, case when s_suppkey % 3 = 0 then 'failed' when s_suppkey % 3 = 1 and s_suppkey % 2 = 0 then 'skipped' when l_suppkey is null then 'empty' else 'loaded' end as status, coalesce(n, 0) as rows from supplier left join (select l_suppkey, count(*) as n from lineitem group by 1) on s_suppkey = l_suppkey""")
 def load_outcomes(spark, sf_dir):
     """What became of each file of a batch."""
     s, key = _read(spark, sf_dir, "supplier"), lambda c: F.concat(F.lit("f"), c).alias("source_file")
-    rows = _read(spark, sf_dir, "lineitem").where("l_quantity > 48").select(key("l_suppkey"))
+    rows = _read(spark, sf_dir, "lineitem").select(key("l_suppkey"))
     loaded = s.where("s_suppkey % 3 = 1 and s_suppkey % 2 = 0").select(key("s_suppkey"), F.lit(1).alias("charge_count"))
     return store.outcomes(s.select(key("s_suppkey")), s.where("s_suppkey % 3 <> 0").select(key("s_suppkey")), rows, loaded).drop("reason")
 
@@ -126,16 +126,16 @@ def _roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         F.concat(F.lit("17"), F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0")).alias("PRVDR_NUM"), F.when(F.col("c_custkey") % 10 < 8, "01").otherwise("03").alias("PRVDR_CTGRY_CD"), F.lpad((F.col("c_nationkey") % 12).cast("string"), 2, "0").alias("PRVDR_CTGRY_SBTYP_CD"),
         F.concat(F.lit("  "), "c_name", F.lit("  x")).alias("FAC_NAME"), F.lit("1 Main").alias("ST_ADR"), F.lit("Town").alias("CITY_NAME"), F.when(F.col("c_custkey") % 3 == 0, "mo").alias("STATE_CD"), F.concat(F.lpad(F.col("c_custkey").cast("string"), 5, "0"), F.lit("-1234")).alias("ZIP_CD"),
-        F.lit("(316) 555-0100").alias("TEL_NUM"), F.when(F.col("c_acctbal") >= 0, "00").otherwise("08").alias("PGM_TRMNTN_CD"), F.lit("19990701").alias("CRTFCTN_DT"), F.lit("04").alias("GNRL_CNTL_TYPE_CD"), F.lit("12.7").alias("CRTFD_BED_CNT"), F.lit(None).cast("string").alias("SSA_STATE_CD"), F.lit("20").alias("FIPS_STATE_CD"),
+        F.lit("(316) 555-0100").alias("TEL_NUM"), F.when(F.col("c_acctbal") >= 0, "00").otherwise("08").alias("PGM_TRMNTN_CD"), F.lit("19990701").alias("CRTFCTN_DT"), F.lit("04").alias("GNRL_CNTL_TYPE_CD"), F.lit("12.7").alias("CRTFD_BED_CNT"), F.lit(None).cast("string").alias("SSA_STATE_CD"), F.lit("20").alias("FIPS_STATE_CD"), F.col("c_custkey").alias("SEQ"),
     )
 
 
-@query("""select '17' || lpad(cast(c_custkey % 10000 as varchar), 4, '0') as ccn, min(c_name || ' x') as name, min(case when c_custkey % 3 = 0 then 'MO' else 'KS' end) as state, min(lpad(cast(c_custkey as varchar), 5, '0')) as zip5, '3165550100' as phone, 12 as certified_bed_count, '1999-07-01' as certification_date, 'Proprietary - Individual' as ownership_type
+@query("""select '17' || lpad(cast(c_custkey % 10000 as varchar), 4, '0') as ccn, arg_max(c_name || ' x', c_custkey) as name, arg_max(case when c_custkey % 3 = 0 then 'MO' else 'KS' end, c_custkey) as state, arg_max(lpad(cast(c_custkey as varchar), 5, '0'), c_custkey) as zip5, '3165550100' as phone, 12 as certified_bed_count, '1999-07-01' as certification_date, 'Proprietary - Individual' as ownership_type
 from customer where c_custkey % 10 < 8 and c_acctbal >= 0 group by 1""")
 def roster_ingest(spark, sf_dir):
     """Active hospitals of raw roster records."""
-    found = roster.ingest(_roster(spark, sf_dir))
-    return found.groupBy("ccn").agg(*[F.min(F.col(c).cast("string") if c == "certification_date" else c).alias(c) for c in ("name", "state", "zip5", "phone", "certified_bed_count", "certification_date", "ownership_type")])
+    found = roster.ingest(_roster(spark, sf_dir), order=F.col("SEQ"))
+    return found.select("ccn", "name", "state", "zip5", "phone", "certified_bed_count", F.col("certification_date").cast("string").alias("certification_date"), "ownership_type")
 
 
 @query("""select count(*) as read, count(*) filter (c_custkey % 10 < 8) as hospitals, count(*) filter (c_custkey % 10 < 8 and c_custkey % 3 = 0) as matched, count(*) filter (c_custkey % 10 < 8 and c_custkey % 3 = 0 and c_acctbal >= 0) as active from customer""")
@@ -211,7 +211,10 @@ def _need_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(n.cast("string"), F.lit(" "), "label", F.when(n % 2 == 0, F.lit(" plus")).otherwise(""), sep, F.when(n % 2 == 0, F.lit("more ")).otherwise(""), F.col("votes").cast("string"), F.lit(" "), F.format_string("%.1f", n * 2.5), F.lit("% "), (n * 3).cast("string"), F.lit("%"))
     trend = F.concat(F.lit("\n"), n.cast("string"), F.lit(" Ongoing "), "label", F.lit(" "), F.col("votes").cast("string"), F.lit(" "), F.format_string("%.1f", n * 2.5), F.lit("% "), (n + 1).cast("string"))
     rows = rows.withColumn("text", F.concat(text, trend))
-    top = [F.lit("Prepared for x by VVV Consultants"), F.lit("Barton Co, KS"), F.lit("CHNA Round #5 2024"), F.lit("Town Hall - 04/04/24  (Attendees 27 / 108 Total Votes)"), F.lit("C o m m u n i t y  N e e d s")]
+    k = F.col("l_suppkey")
+    maker = F.when(k % 3 == 0, F.concat(F.lit("Prepared by: Group "), k, F.lit(" of"))).when(k % 3 == 1, "Prepared for x by VVV Consultants").otherwise("No maker is named")
+    people = F.concat(F.lit("Town Hall - 04/0"), k % 9 + 1, F.lit("/24  (Attendees "), k % 40 + 10, F.lit(" / "), k % 90 + 100, F.lit(" Total Votes)"))
+    top = [maker, F.when(k % 2 == 0, "Barton Co, KS").otherwise("Harper County, OK"), F.concat(F.lit("CHNA Round #"), k % 7 + 1, F.lit(" 20"), k % 15 + 10), people, F.lit("C o m m u n i t y  N e e d s")]
     return _joined(rows, "l_suppkey", "l_linenumber", top)
 
 
@@ -222,13 +225,14 @@ def community_needs(spark, sf_dir):
     return community.need_rows(_need_documents(spark, sf_dir)).drop("recovered")
 
 
-@query("""select cast(l_suppkey as varchar) as source_file, 'vvv' as consultant, 'Barton' as county, 'KS' as state, 'Round #5' as cycle_label, 2024 as year, '04/04/24' as townhall_date, 27 as attendees, 108 as total_votes from lineitem group by 1""")
+@query("""select cast(k as varchar) as source_file, case when k % 3 = 1 then 'vvv' end as consultant, case when k % 3 = 0 then 'Group ' || k || ' of' end as consultant_hint, case when k % 2 = 0 then 'Barton' else 'Harper' end as county, case when k % 2 = 0 then 'KS' else 'OK' end as state,
+'Round #' || (k % 7 + 1) as cycle_label, cast(2000 + k % 15 + 10 as int) as year, '04/0' || (k % 9 + 1) || '/24' as townhall_date, cast(k % 40 + 10 as int) as attendees, cast(k % 90 + 100 as int) as total_votes from (select distinct l_suppkey as k from lineitem)""")
 def community_headers(spark, sf_dir):
     """Header facts of documents."""
-    return community.header(_need_documents(spark, sf_dir)).select("source_file", "consultant", "county", "state", "cycle_label", "year", "townhall_date", "attendees", "total_votes")
+    return community.header(_need_documents(spark, sf_dir)).select("source_file", "consultant", "consultant_hint", "county", "state", "cycle_label", "year", "townhall_date", "attendees", "total_votes")
 
 
-@query("""select 'template' as kind, 'vvv' as producer, count(distinct l_suppkey) as documents from lineitem""")
+@query("""select case k % 3 when 0 then 'hint' when 1 then 'template' else 'unidentified' end as kind, case k % 3 when 0 then 'Group ' || k || ' of' when 1 then 'vvv' else '' end as producer, count(*) as documents from (select distinct l_suppkey as k from lineitem) group by 1, 2""")
 def community_survey(spark, sf_dir):
     """Documents by who made them."""
     return community.survey(community.header(_need_documents(spark, sf_dir)))
@@ -307,11 +311,11 @@ def gap_totals(spark, sf_dir):
 # --- maintenance ------------------------------------------------------------------------
 
 
-@query("""with f as (select o_orderkey, o_custkey, case when o_orderkey % 2 = 0 then ' (1)' else '' end as c from orders where o_orderkey % 3 < 2)
-select o_orderkey from (select *, row_number() over (partition by o_custkey, o_orderkey // 6 order by c, o_orderkey) as k from f) where k = 1 or o_orderkey % 6 = 4""")
+@query("""with f as (select o_orderkey, o_custkey, case when o_orderkey % 2 = 0 then ' (1)' else '' end as c from orders)
+select o_orderkey from (select *, row_number() over (partition by o_custkey, o_orderkey // 6, o_orderkey % 6 = 4 order by c, o_orderkey) as k from f) where k = 1""")
 def pruned_sources(spark, sf_dir):
     """M1: sources without re-downloads; other copies stay."""
-    o = _read(spark, sf_dir, "orders").where("o_orderkey % 3 < 2")
+    o = _read(spark, sf_dir, "orders")
     name = F.concat(F.lit("d"), F.lpad("o_orderkey", 12, "0"), F.lit("/"), F.when(F.col("o_orderkey") % 6 == 4, "other").otherwise("file"), F.when(F.col("o_orderkey") % 2 == 0, " (1)").otherwise(""), F.lit(".csv"))
     rows = o.select("o_orderkey", name.alias("source_file"), F.concat_ws("-", F.col("o_custkey"), F.floor(F.col("o_orderkey") / 6)).alias("ein"), F.lit(None).cast("string").alias("primary_npi"), F.lit(9).cast("long").alias("charge_count"))
     return duplicates.prune(rows, rows.select("source_file"))[0].select("o_orderkey")
