@@ -9,6 +9,7 @@ hashed features of each word, so it also tags words it has not seen.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,8 @@ from .textbytes import LOWER, Rolling, buffers, chunks, word_spans
 #: Training texts of each label, chosen by hash; longer texts teach nothing.
 TRAIN_PER_LABEL = 1200
 TRAIN_TEXT_BYTES = 1 << 18
+#: Bytes of training texts of each label; texts beyond teach nothing.
+TRAIN_BYTES = 12 << 20
 #: Hashed feature weights.
 WEIGHTS = 1 << 18
 #: Bytes from the start or the end of a word that are features beside the word itself.
@@ -30,6 +33,9 @@ PREFIXES, SUFFIXES = (3, 4, 5, 6), (3, 4)
 THRESHOLD = 0.3
 SPAN_MARGINAL = 0.5
 FAINT = 0.1
+#: A feature tells if its rate in clean texts is at most this share of that in toxic ones,
+#: and is frequent if it occurs in this share of those.
+TELLING, FREQUENT = 0.01, 0.01
 BLOCK = 64
 
 
@@ -124,25 +130,29 @@ def aggregate(rows: np.ndarray, p: np.ndarray, n: int) -> np.ndarray:
 
 
 def label_tokens(hashes: np.ndarray, rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Token labels from document labels, by a greedy cover of the toxic documents."""
+    """Token labels from document labels: words that are frequent in toxic texts and hardly
+    occur in others, and a greedy cover of the toxic texts that they leave unexplained."""
     n_toxic = int((toxic == 1).sum())
     n_clean = max(1, int((toxic == 0).sum()))
-    names, codes, docs, length = [], [], [], []
+    names, codes, docs, length, surely = [], [], [], [], []
     for k in range(1 + len(PREFIXES)):  # one kind at a time, and only features that may do
         found, code = np.unique(hashes[:, k], return_inverse=True)
         pair = np.unique(code.astype(np.int64) * len(toxic) + rows)
         code, doc = pair // len(toxic), pair % len(toxic)
         a = np.bincount(code[toxic[doc] == 1], minlength=len(found))
         b = np.bincount(code[toxic[doc] == 0], minlength=len(found))
-        able = (a >= max(3, 0.002 * n_toxic)) & (b * max(1, n_toxic) <= 0.01 * a * n_clean)
+        able = (a >= max(3, 0.002 * n_toxic)) & (b * max(1, n_toxic) <= TELLING * a * n_clean)
+        sure = a >= max(5, FREQUENT * n_toxic)
         use = able[code] & (toxic[doc] == 1)
         index = np.cumsum(able) - 1 + sum(map(len, names))
         names.append(found[able])
+        surely.append(sure[able] & (k == 0))
         length.append(np.full(able.sum(), (7, *PREFIXES)[k]))  # the longer of features that explain alike
         codes.append(index[code[use]])
         docs.append(doc[use])
-    names, code, doc, length = map(np.concatenate, (names, codes, docs, length))
-    open_, chosen = toxic == 1, np.zeros(len(names), bool)
+    names, code, doc, length, surely = map(np.concatenate, (names, codes, docs, length, surely))
+    open_, chosen = toxic == 1, surely  # frequent telling words count, whether the cover needs them or not
+    open_[doc[chosen[code]]] = False
     while len(code):
         gain = np.where(chosen, 0, np.bincount(code[open_[doc]], minlength=len(names)) * 16 + length)
         best = int(gain.argmax())
@@ -224,25 +234,42 @@ def fit(texts: list[str], labels: list[int], prior: float, epochs: int = 6, rate
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_PER_LABEL, text_bytes: int = TRAIN_TEXT_BYTES) -> Model:
-    """Fit on a bounded sample: the ``per_label`` rows of each label with the smallest
-    hash of doc_id, of at most ``text_bytes`` bytes each.
+def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_PER_LABEL, text_bytes: int = TRAIN_TEXT_BYTES, train_bytes: int = TRAIN_BYTES) -> Model:
+    """Fit on a bounded sample: of each label the ``per_label`` doc_ids with the smallest
+    hash, their texts of at most ``text_bytes`` bytes each, and of these as many in that
+    order as fit ``train_bytes``.
 
-    ``labels(doc_id, toxic)``; a doc_id with several labels counts as toxic if one does.
+    ``labels(doc_id, toxic)``; a doc_id with several labels counts as toxic if one does,
+    one with several texts teaches the smallest by bytes, null texts teach nothing.  The
+    fit runs in one task; the driver gets the ids and the model, no text.  Without texts
+    of both labels the model knows only how frequent toxic ones are.
     """
     marks = with_defaults(labels, doc_id="long", toxic="int").where("toxic in (0, 1) and doc_id is not null")
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r[0]: r[1] for r in marks.groupBy("toxic").count().collect()}
-    ids = {}
-    for y in (0, 1):
-        ids |= {r[0]: y for r in marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id", F.lit("toxicity")), "doc_id").limit(per_label).collect()}
+    prior = sizes.get(1, 0) / max(1, sum(sizes.values())) if sizes else 0.1
+    order = F.xxhash64("doc_id", F.lit("toxicity"))
+    ids = [(r[0], y, k) for y in (0, 1) for k, r in enumerate(marks.where(F.col("toxic") == y).orderBy(order, "doc_id").limit(per_label).collect())]
     if not ids:
-        return fit([], [], 0.1)
-    wanted = docs.sparkSession.createDataFrame(list(ids.items()), "doc_id long, toxic int")
+        return fit([], [], prior)
+    wanted = docs.sparkSession.createDataFrame(ids, "doc_id long, toxic int, place int")  # at most 2 * per_label rows
     rows = with_defaults(docs, doc_id="long", text="string").where(F.octet_length("text") <= text_bytes)
-    found = rows.join(F.broadcast(wanted), "doc_id").select("doc_id", "text", "toxic").collect()  # at most 2 * per_label rows
-    found.sort(key=lambda r: (r[0], r[1]))
-    return fit([r[1] for r in found], [r[2] for r in found], sizes.get(1, 0) / max(1, sum(sizes.values())))
+    one = rows.join(F.broadcast(wanted), "doc_id").groupBy("doc_id", "toxic", "place").agg(F.min("text").alias("text"))
+    sample = one.repartition(1).sortWithinPartitions("place", "toxic")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, texts = {0: train_bytes, 1: train_bytes}, []
+        for batch in batches:
+            for doc_id, toxic, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "toxic", "text")), strict=True):
+                left[toxic] -= len(text.encode())
+                if left[toxic] >= 0:
+                    texts.append((doc_id, text, toxic))
+        texts.sort()
+        model = fit([t for _, t, _ in texts], [y for _, _, y in texts], prior)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    found = sample.mapInArrow(run, "model binary").collect()
+    return pickle.loads(found[0][0]) if found else fit([], [], prior)
 
 
 def score(docs: DataFrame, model: Model, carry: bool = False) -> DataFrame:
