@@ -20,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
     spark.conf.set("spark.checkpoint.dir", root)

@@ -2,8 +2,8 @@
 
 Fingerprints that differ in at most ``radius`` bits agree on one of ``radius + 1`` blocks
 of bits (pigeonhole), so only fingerprints that share a block are dealt to one tile.
-Within tiles numpy compares all pairs by exclusive-or and bit counts and skips tile
-pairs whose population counts differ beyond the radius.  Large blocks are split into
+Within tiles numpy compares pairs by exclusive-or and bit counts; rows and tiles whose
+population counts differ beyond the radius are skipped.  Large blocks are split into
 many tiles and every pair of their tiles is a group of its own, so a group is bounded
 and no pair is lost.  Only spanning links leave a tile, never all its pairs.
 """
@@ -14,20 +14,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import components, cut, with_defaults
 
 SHINGLE_WORDS = 3
 RADIUS = 2
-#: Fingerprints of a tile: at least this many, and about the root of a large block's size.
-LEAST_TILE = 128
+#: Fingerprints of a tile: at least this many, about the root of a large block's size, and
+#: at most this many, so two tiles and their comparison fit in memory whatever the block.
+LEAST_TILE, MOST_TILE = 128, 4096
+#: Fingerprints that are compared at once: rows of the tile with the rest of it.
+AT_ONCE = 256
 
 
 def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
     """64-bit SimHash of one text (UTF-8): bit set if set in over half the shingle hashes."""
-    h = shingle_hashes(text, words)
+    return fingerprint_of(shingle_hashes(text, words))
+
+
+def fingerprint_of(h: np.ndarray) -> int:
     if not len(h):
         return 0
     bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -40,9 +46,12 @@ def shingle_hashes(text: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
 
     Words are separated by ASCII white space; A-Z count as lower case.
     """
+    return word_shingles(text.lower().split(), words)  # of bytes: ASCII letters and ASCII white space only
+
+
+def word_shingles(found: list[bytes], words: int) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
-    found = text.lower().split()  # of bytes: ASCII letters and ASCII white space only
     if not found:
         return np.zeros(0, np.uint64)
     runs = zip(*(found[k:] for k in range(words)), strict=False) if len(found) >= words else [found]
@@ -79,7 +88,7 @@ def tile_groups(fps: DataFrame, radius: int = RADIUS, least_tile: int = LEAST_TI
     counts = dealt.groupBy("no", "bits", "pop").count()
     per_block = counts.groupBy("no", "bits").agg(F.sum("count").alias("n"), F.map_from_entries(F.collect_list(F.struct("pop", "count"))).alias("pops")).where("n > 1")
     per_block = cut(per_block, "blocks")  # one row for each shared block, at most 65 entries in its map
-    side = F.greatest(F.lit(least_tile), F.ceil(2 * F.sqrt("n"))).cast("int")
+    side = F.least(F.lit(MOST_TILE), F.greatest(F.lit(least_tile), F.ceil(2 * F.sqrt("n")))).cast("int")
     rows = dealt.join(per_block, ["no", "bits"]).withColumn("side", side)
     block = F.concat_ws(":", "no", "bits")
     small = rows.where("n <= side").select(block.alias("grp"), F.lit("0").alias("tile"), "fp")
@@ -134,20 +143,43 @@ def _group(held: list[pa.RecordBatch]) -> pa.Table:
 
 
 def spanning(fps: np.ndarray, tiles: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links within one tile or between two tiles."""
-    cross = tiles[0] != tiles[-1]
-    split = int(np.argmax(tiles != tiles[0]))
-    pops = np.bitwise_count(fps)
-    if cross:
-        left, right = pops[:split].astype(int), pops[split:].astype(int)
-        if left.min() > right.max() + radius or right.min() > left.max() + radius:
-            return fps[:0], fps[:0]
-        near = np.zeros((len(fps), len(fps)), bool)
-        near[:split, split:] = np.bitwise_count(fps[:split, None] ^ fps[None, split:]) <= radius
-        near |= near.T
-    else:
-        near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius
-    return forest(near, fps)
+    """A spanning forest of the links within one tile or between two tiles.
+
+    Rows are put in order of their population counts and compared a few at a time, with
+    the others of near counts only."""
+    split = int(np.argmax(tiles != tiles[0]))  # 0: all of one tile
+    pops = np.bitwise_count(fps).astype(np.int64)
+    left = np.arange(split) if split else np.arange(len(fps))
+    right = np.arange(split, len(fps)) if split else left
+    left, right = left[np.argsort(pops[left], kind="stable")], right[np.argsort(pops[right], kind="stable")]
+    heads, tails = [], []
+    for lo in range(0, len(left), AT_ONCE):
+        rows = left[lo : lo + AT_ONCE]
+        i, j = np.searchsorted(pops[right], [pops[rows[0]] - radius, pops[rows[-1]] + radius + 1])
+        if i == j:
+            continue
+        a, b = np.nonzero(np.bitwise_count(fps[rows][:, None] ^ fps[right[i:j]][None, :]) <= radius)
+        a, b = rows[a], right[i:j][b]
+        heads.append(a[a != b])
+        tails.append(b[a != b])
+    if not heads:
+        return fps[:0], fps[:0]
+    return spanning_forest(np.concatenate(heads), np.concatenate(tails), fps)
+
+
+def spanning_forest(a: np.ndarray, b: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links ``(smallest place, place)`` of each component of the links between places."""
+    label = np.arange(len(nodes))
+    while True:  # each round a place takes the least label around it, then its label's label
+        low = label.copy()
+        np.minimum.at(low, a, label[b])
+        np.minimum.at(low, b, label[a])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[label[moved]], nodes[moved]
 
 
 def forest(near: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,9 +240,11 @@ def shingle_set(text: bytes, words: int = COPY_WORDS) -> set[bytes]:
     return {b" ".join(run) for run in zip(*(found[k:] for k in range(words)), strict=False)}
 
 
-def signatures(docs: DataFrame, words: int = COPY_WORDS, bands: int = BANDS) -> DataFrame:
-    """``(doc_id, same, size, keys)`` of every text: a digest of its distinct shingles
-    (null without words), their number, and the band keys."""
+def signatures(docs: DataFrame, words: int = COPY_WORDS, bands: int = BANDS, fp_words: int = SHINGLE_WORDS) -> DataFrame:
+    """``(doc_id, version, fp, same, size, keys)`` of every row, in one look at its text: a
+    hash of the text, the SimHash fingerprint, a digest of its distinct shingles (null
+    without words), their number, and the band keys.  Rows that share a doc_id are one
+    document, the row whose text has the smallest hash."""
     seeds = np.random.default_rng(11).integers(1, 1 << 63, 2 * bands, dtype=np.uint64) | np.uint64(1)
     salt = np.arange(bands, dtype=np.uint64) << np.uint64(56)
 
@@ -218,9 +252,11 @@ def signatures(docs: DataFrame, words: int = COPY_WORDS, bands: int = BANDS) ->
         from xxhash import xxh3_128_digest
 
         for batch in batches:
-            same, size, keys = [], [], []
+            fps, same, size, keys = [], [], [], []
             for text in map(_bytes, batch.column("text")):
-                h = np.unique(shingle_hashes(text, words))
+                found = text.lower().split()
+                fps.append(fingerprint_of(word_shingles(found, fp_words)))
+                h = np.unique(word_shingles(found, words))
                 size.append(len(h))
                 if not len(h):
                     same.append(None)
@@ -229,9 +265,25 @@ def signatures(docs: DataFrame, words: int = COPY_WORDS, bands: int = BANDS) ->
                 same.append(xxh3_128_digest(h.tobytes()))
                 lows = np.array([(h * s ^ (h >> np.uint64(29)) * s).min() for s in seeds]).reshape(bands, 2)
                 keys.append((((lows[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ lows[:, 1]) ^ salt).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(same, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "same", "size", "keys"])
+            columns = [batch.column("doc_id"), batch.column("version"), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(same, pa.binary()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "fp", "same", "size", "keys"])
+
+    rows = versions(docs).mapInArrow(run, "doc_id long, version long, fp long, same binary, size long, keys array<long>")
+    return rows.groupBy("doc_id").agg(F.min_by(F.struct("version", "fp", "same", "size", "keys"), "version").alias("r")).select("doc_id", "r.*")
 
-    return with_defaults(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, same binary, size long, keys array<long>")
+
+def versions(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, version)``: a null doc_id is the smallest long, so it has a place."""
+    rows = with_defaults(docs, doc_id="long", text="string")
+    return rows.select(node().alias("doc_id"), "text", version().alias("version"))
+
+
+def node() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+
+
+def version() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def shingles(texts: DataFrame, words: int = COPY_WORDS) -> DataFrame:
@@ -317,18 +369,43 @@ def near_copies(docs: DataFrame, among: DataFrame | None = None, words: int = CO
     similarity; only rows of classes of two or more come back.
 
     ``docs(doc_id, text)``; ``among(doc_id)`` says which of them to compare, all where it
-    is not given.  Documents with equal shingles count as one.  Each is first compared with
-    two leaders of each of its bands, chosen by a hash that differs from band to band.
-    Then every pair of a band that those links leave apart is compared, tile by tile, so a
-    group is bounded and no pair of a band is lost.  All comparisons are exact, on 64-bit
-    hashes of the shingles.
+    is not given.  Documents with equal shingles count as one, texts without words have no
+    copies, and rows without a doc_id are left out.  Every pair of a band is compared
+    (``copy_links``); comparisons are exact, on 64-bit hashes of the shingles.
     """
     own = signatures(docs, words)
     if among is not None:
         own = own.join(among.select("doc_id").distinct(), "doc_id", "left_semi")
-    own = cut(own.where("doc_id is not null and same is not null").dropDuplicates(["doc_id"]), "signatures")
-    sets = cut(own.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("keys").alias("keys")), "sets")
-    equal = own.join(sets.select("same", F.col("doc_id").alias("a")), "same").where("a <> doc_id").selectExpr("a", "doc_id as b")
+    own = cut(own.where(F.col("doc_id") > -(1 << 63)), "signatures")
+    found = components(same_links(own, "same").unionByName(copy_links(docs, own, words, similarity, least_tile)))
+    low = found.groupBy("root").agg(F.min("node").alias("class_id"))
+    return found.join(low, "root").select(F.col("node").alias("doc_id"), "class_id")
+
+
+def same_links(own: DataFrame, key: str) -> DataFrame:
+    """Links of rows of equal ``key`` to the smallest of them, by a partial minimum."""
+    first = own.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("doc_id").alias("a"))
+    return own.join(first, key).where("a <> doc_id").selectExpr("a", "doc_id as b")
+
+
+def fingerprint_links(own: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Links of documents whose fingerprints differ in at most ``radius`` bits, enough of
+    them to reach whatever all links reach."""
+    first = cut(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "first")
+    found = links(tile_groups(first.select("fp"), radius), radius)
+    side = lambda fp, name: first.select(F.col("fp").alias(fp), F.col("first").alias(name))
+    near = found.select(F.col("a").alias("fa"), F.col("b").alias("fb")).join(side("fa", "a"), "fa").join(side("fb", "b"), "fb").select("a", "b")
+    return near.unionByName(same_links(own, "fp"))
+
+
+def copy_links(docs: DataFrame, own: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY, least_tile: int = LEAST_TILE) -> DataFrame:
+    """Links ``(a, b)`` of documents of ``own`` (``signatures``, written) that share a band
+    and are alike, enough of them to reach whatever all such links reach.
+
+    Each set of shingles is first compared with two leaders of each of its bands, chosen
+    by a hash that differs from band to band.  Then every pair of a band that those links
+    leave apart is compared, tile by tile, so a group is bounded and no pair is lost."""
+    sets = cut(own.where("same is not null").groupBy("same").agg(F.min(F.struct("doc_id", "version", "size", "keys")).alias("r")).select("r.*"), "sets")
     keyed = sets.select(F.explode("keys").alias("key"), "doc_id", "size")
     entry = F.struct(F.xxhash64("doc_id", "key").alias("h"), F.col("doc_id").alias("leader"))
     bands = cut(keyed.groupBy("key").agg(F.array(F.min(entry), F.max(entry)).alias("l"), F.count("*").alias("n")).where("n > 1"), "shared")
@@ -336,10 +413,11 @@ def near_copies(docs: DataFrame, among: DataFrame | None = None, words: int = CO
     pairs = keyed.join(lead, "key").where(F.col("doc_id") != F.col("leader"))
     pairs = cut(pairs.select(F.least("leader", "doc_id").alias("leader"), F.greatest("leader", "doc_id").alias("doc_id")).distinct(), "pairs")
     wanted = pairs.select(F.col("leader").alias("doc_id")).unionByName(pairs.select("doc_id")).distinct()
-    texts = with_defaults(docs, doc_id="long", text="string").join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    wanted = sets.select("doc_id", "version").join(wanted, "doc_id", "left_semi")
+    # ids and shingles grow with the input, so these joins never broadcast, at any size
+    texts = versions(docs).join(wanted.hint("merge"), ["doc_id", "version"], "left_semi").dropDuplicates(["doc_id", "version"])
     known = cut(shingles(texts, words), "shingles")
     side = lambda name: known.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"of_{name}"))
-    # ids and shingles grow with the input, so these joins never broadcast, at any size
     both = pairs.join(side("leader").hint("merge"), "leader").join(side("doc_id").hint("merge"), "doc_id")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,13 +434,40 @@ def near_copies(docs: DataFrame, among: DataFrame | None = None, words: int = CO
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    led = cut(components(both.mapInArrow(verify, "a long, b long")), "led")
+    led = cut(both.mapInArrow(verify, "a long, b long"), "led")
     # of up to three documents the leaders' comparisons are all
-    members = keyed.join(bands.where("n > 3").select("key"), "key").join(led.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    members = cut(members.select("key", "doc_id", "size", F.coalesce("root", "doc_id").alias("comp")), "members")
+    members = keyed.join(bands.where("n > 3").select("key"), "key").join(known_parts(led), "doc_id", "left")
+    members = cut(members.select("key", "doc_id", "size", F.coalesce("part", "doc_id").alias("comp")), "members")
     groups = cut(band_groups(members, least_tile), "groups")
     grown = groups.join(known.hint("merge"), "doc_id").repartition("grp").sortWithinPartitions("grp", "tile")
-    rest = grown.mapInArrow(compare, "a long, b long")
-    found = components(equal.unionByName(led.selectExpr("root as a", "node as b")).unionByName(rest))
-    low = found.groupBy("root").agg(F.min("node").alias("class_id"))
-    return found.join(low, "root").select(F.col("node").alias("doc_id"), "class_id")
+    return led.unionByName(grown.mapInArrow(compare, "a long, b long"))
+
+
+def known_parts(edges: DataFrame, rounds: int = 3) -> DataFrame:
+    """``(doc_id, part)``: documents of one part are linked.  The least id travels a few
+    links far, which joins most of a group whose leaders know each other; documents of
+    several parts may be linked as well, so they are compared."""
+    both = edges.selectExpr("a as doc_id", "b as other").unionByName(edges.selectExpr("b as doc_id", "a as other"))
+    part = both.groupBy("doc_id").agg(F.least(F.min("other"), F.col("doc_id")).alias("part"))
+    for _ in range(rounds - 1):
+        near = both.join(part.withColumnRenamed("doc_id", "other"), "other").select("doc_id", "part")
+        part = near.unionByName(part).groupBy("doc_id").agg(F.min("part").alias("part"))
+    return part
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group: the one with the smallest doc_id.
+
+    A group is all that links of near equal fingerprints and links of five-word shingles
+    at least 0.8 alike reach together; texts without words are one group, since their
+    fingerprints are equal.  Rows that share a doc_id are one document, of which one row
+    comes back, with the text that stands for it.  A null doc_id counts as the smallest.
+    Other columns pass through; an empty table gives none."""
+    own = cut(signatures(docs), "signatures")
+    found = components(fingerprint_links(own).unionByName(same_links(own, "same")).unionByName(copy_links(docs, own)))
+    low = found.groupBy("root").agg(F.min("node").alias("low"))
+    later = found.join(low, "root").where("node <> low").select(F.col("node").alias("doc_id"))
+    keep = own.select("doc_id", "version").join(later, "doc_id", "left_anti").selectExpr("doc_id as _node", "version as _version")
+    rows = docs.withColumns({"_node": node(), "_version": version()})
+    kept = rows.join(keep.hint("merge"), ["_node", "_version"], "left_semi")  # it grows with the input, so it is never broadcast
+    return kept.dropDuplicates(["_node", "_version"]).select(docs.columns)
