@@ -17,43 +17,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, langid, packing, simhash, toxicity
-from ledgerloom.llm.shared import components, cut
+from ledgerloom.llm.shared import cut
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.3 by a model of the labels that are not held out.
+
+    Null and empty texts have no toxic word, so they stay; repeated rows all stay or all
+    go; without labels nothing goes."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out())
     scored = toxicity.score(docs, toxicity.train(docs, labels), carry=True)
     return scored.where(F.col("score") < toxicity.THRESHOLD).select("whole.*")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the documents themselves are labelled with.
+
+    Null texts and texts without letters go; if no document has a language, all go."""
     prototypes = langid.train(docs.where(~langid.held_out()))
     found = langid.predict(docs, prototypes, carry=True)
     return found.where(F.col("lang_pred") != langid.UNKNOWN).select("whole.*")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group stays; a group is all that links of near equal
-    fingerprints and links of five-word shingles at least 0.8 alike reach together.
-
-    Rows that repeat a doc_id are one document, so one of them stays."""
-    found = cut(simhash.near_duplicates(docs), "duplicates")
-    first = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    edges = found.selectExpr("component_id as a", "doc_id as b").unionByName(simhash.near_copies(docs).selectExpr("class_id as a", "doc_id as b"))
-    groups = cut(components(edges), "groups")
-    low = groups.groupBy("root").agg(F.min("node").alias("low"))
-    later = groups.join(low, "root").where("node <> low").select(F.col("node").alias("doc_id"))
-    keep = first.join(later, "doc_id", "left_anti")
-    keep = keep.hint("merge")  # it grows with the input, so it is never broadcast
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each group of near copies, the one with the smallest doc_id: see
+    ``simhash.one_of_each``, which also says what becomes of nulls and repeated rows."""
+    return simhash.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages, or with less than one word in twenty in them.
+
+    Null and empty texts stay; an empty benchmark drops nothing; repeated rows all stay or
+    all go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.scan(docs, benchmark, carry=True).where(~decontaminate.contaminated()).select("whole.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of power-of-two length of every document, with a checksum of their ids.
+
+    A null or empty text is its end token alone; repeated rows are packed each; other
+    columns are left behind; an empty table gives no piece."""
     packed = packing.pack_documents(docs)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
