@@ -5,95 +5,142 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import carried, cut, passed_on, with_defaults
 from .textbytes import LOWER, Rolling, buffers, chunks, one_row_windows, word_spans
 
 WINDOW_WORDS = 13
-#: A benchmark of at most this many bytes of text is broadcast; a larger one is joined.
-BROADCAST_BYTES = 64 << 20
+#: A window set of at most this many bytes, as built, is broadcast; a larger one is joined.
+#: Bytes that a word takes in it.
+BROADCAST_BYTES, WORD_BYTES = 128 << 20, 48
 #: Hit words of a contaminated document: at least one in this many.
 SHARE = 20
 
 
 class WindowSet:
-    """The windows of all benchmark items: hashes for the lookup, words for the proof."""
+    """The windows of all benchmark items as sorted hashes, each with the places where it
+    occurs, and the items' words, by which a hit is proved.  All are numpy arrays, about
+    ``WORD_BYTES`` a word, so they are built once and broadcast as they are."""
 
     def __init__(self, items: list[tuple[int, str | None]], window: int = WINDOW_WORDS):
-        column = pa.array([t for _, t in items], pa.string())
-        data, offsets = buffers(column)
-        data = LOWER[data]
-        starts, ends, rows = word_spans(data, offsets)
-        raw = data.tobytes()
-        words = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-        self.items: dict[tuple[bytes, ...], tuple[int, ...]] = {}
-        edges = np.searchsorted(rows, np.arange(len(items) + 1))
-        for k, (item, _) in enumerate(items):
-            own = words[edges[k] : edges[k + 1]]
-            n = min(window, len(own))
-            for at in range(len(own) - n + 1) if own else ():
-                key = tuple(own[at : at + n])
-                self.items[key] = tuple(sorted({*self.items.get(key, ()), item}))
-        by_length: dict[int, list[tuple[bytes, ...]]] = {}
-        for key in self.items:
-            by_length.setdefault(len(key), []).append(key)
-        self.hashes = {n: np.unique(self._hash(keys)) for n, keys in by_length.items()}
-        self.maybe = {n: self._filter(h) for n, h in self.hashes.items()}
-
-    @staticmethod
-    def _hash(keys: list[tuple[bytes, ...]]) -> np.ndarray:
-        n = len(keys[0])
-        column = pa.array([b" ".join(k) for k in keys], pa.binary()).cast(pa.string())
-        data, offsets = buffers(column)
-        starts, ends, rows = word_spans(data, offsets)
-        at = np.searchsorted(rows, np.arange(len(keys)))
-        return Rolling(Rolling(data).spans(starts, ends)).spans(at, at + n)
-
-    @staticmethod
-    def _filter(hashes: np.ndarray) -> np.ndarray:
-        bits = np.zeros(1 << 20, bool)
-        bits[hashes >> np.uint64(44)] = True
-        return bits
+        data, offsets = buffers(pa.array([t for _, t in items], pa.string()))
+        self.data = LOWER[data]
+        starts, ends, rows, hashes = hashed_words(self.data, offsets)
+        self.starts, self.ends, self.rows = starts.astype(np.int32), ends.astype(np.int32), rows.astype(np.int32)
+        self.ids = np.array([k for k, _ in items], np.int64)
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n, at, h in item_windows(hashes, rows, len(items), window):
+            order = np.argsort(h, kind="stable")
+            hashes, first = np.unique(h[order], return_index=True)
+            self.windows[n] = hashes, np.append(first, len(h)).astype(np.int32), at[order].astype(np.int32)
+        self.known: dict[tuple[int, int], dict[bytes, tuple[int, ...]]] = {}
+
+    def maybe(self, n: int) -> np.ndarray:
+        """Whether any window of n words has a hash that begins with these 20 bits."""
+        if ("maybe", n) not in self.known:
+            bits = np.zeros(1 << 20, bool)
+            bits[self.windows[n][0] >> np.uint64(44)] = True
+            self.known["maybe", n] = bits
+        return self.known["maybe", n]
+
+    def items_of(self, n: int, place: int, words: bytes) -> tuple[int, ...]:
+        """The items with a window of these very words, whose hash has this place.
+
+        What a hash stands for is worked out at its first hit and remembered."""
+        found = self.known.get((n, place))
+        if found is None:
+            _, edges, at = self.windows[n]
+            texts: dict[bytes, set[int]] = {}
+            for k in at[edges[place] : edges[place + 1]].tolist():
+                texts.setdefault(joined(self.data, self.starts, self.ends, k, n), set()).add(int(self.ids[self.rows[k]]))
+            found = self.known[n, place] = {t: tuple(sorted(x)) for t, x in texts.items()}
+        return found.get(words, ())
 
     def hits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, tuple[int, ...]]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Words and hit words of each row, and the verified (first word, words, items)."""
         data = LOWER[data]
         starts, ends, rows = word_spans(data, offsets)
-        n_rows = len(offsets) - 1
-        n_words = np.bincount(rows, minlength=n_rows)
         found: list[tuple[int, int, tuple[int, ...]]] = []
-        step = np.zeros(len(starts) + 1, np.int64)
-        if len(starts) and self.hashes:
+        if len(starts) and self.windows:
             roll = Rolling(Rolling(data).spans(starts, ends))
-            for n, hashes in self.hashes.items():
+            for n, (hashes, _, _) in self.windows.items():
                 at = one_row_windows(rows, n)
                 h = roll.spans(at, at + n)
-                keep = self.maybe[n][h >> np.uint64(44)]
+                keep = self.maybe(n)[h >> np.uint64(44)]
                 at, h = at[keep], h[keep]
-                for k in at[np.isin(h, hashes)].tolist():
-                    key = tuple(data[s:e].tobytes() for s, e in zip(starts[k : k + n].tolist(), ends[k : k + n].tolist(), strict=True))
-                    items = self.items.get(key)
+                place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                same = hashes[place] == h
+                for k, at_hash in zip(at[same].tolist(), place[same].tolist(), strict=True):
+                    items = self.items_of(n, at_hash, joined(data, starts, ends, k, n))
                     if items:
                         found.append((k, n, items))
-                        step[k] += 1
-                        step[k + n] -= 1
-        hit = np.cumsum(step[:-1]) > 0
-        return n_words, np.bincount(rows[hit], minlength=n_rows), found, (starts, ends, rows)
+        return np.bincount(rows, minlength=len(offsets) - 1), hit_words(found, rows, len(offsets) - 1), found, (starts, ends, rows)
+
+
+def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end, row and hash of every word, worked out a stretch of rows at a time."""
+    parts = []
+    for lo, hi in chunks(offsets):
+        part = data[offsets[lo] : offsets[hi]]
+        starts, ends, rows = word_spans(part, offsets[lo : hi + 1] - offsets[lo])
+        parts.append((starts + offsets[lo], ends + offsets[lo], rows + lo, Rolling(part).spans(starts, ends)))
+    none = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)]
+    return tuple(np.concatenate(c) for c in zip(*(parts or none), strict=True))
+
+
+def item_windows(words: np.ndarray, rows: np.ndarray, n_items: int, window: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, first words, hashes) of the windows of items, by their number of words."""
+    if not len(words):
+        return
+    roll = Rolling(words)
+    edges = np.searchsorted(rows, np.arange(n_items + 1))
+    counts = np.diff(edges)
+    for n in np.unique(np.minimum(counts[counts > 0], window)).tolist():
+        at = one_row_windows(rows, n) if n == window else edges[:-1][counts == n]
+        yield n, at, roll.spans(at, at + n)
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: int, n: int) -> bytes:
+    return b" ".join(data[s:e].tobytes() for s, e in zip(starts[first : first + n].tolist(), ends[first : first + n].tolist(), strict=True))
+
+
+def hit_words(found: list, rows: np.ndarray, n_rows: int) -> np.ndarray:
+    """Of each row the words that lie in any found window."""
+    step = np.zeros(len(rows) + 1, np.int64)
+    for k, n, *_ in found:
+        step[k] += 1
+        step[k + n] -= 1
+    return np.bincount(rows[np.cumsum(step[:-1]) > 0], minlength=n_rows)
+
+
+def hit_spans(found: list, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, edges: np.ndarray) -> dict[int, list[dict]]:
+    """By row, the found windows merged to runs, as byte offsets in the row's text."""
+    spans_of: dict[int, list[dict]] = {}
+    for k, n, *_ in sorted(found, key=lambda x: x[:2]):
+        row = int(rows[k])
+        spans, base = spans_of.setdefault(row, []), int(edges[row])
+        s, e = int(starts[k]) - base, int(ends[k + n - 1]) - base
+        if spans and s <= spans[-1]["end"] + 1:
+            spans[-1]["end"] = max(spans[-1]["end"], e)
+        else:
+            spans.append({"start": s, "end": e})
+    return spans_of
 
 
 def benchmark_items(benchmark: DataFrame, most_bytes: int = BROADCAST_BYTES) -> list[tuple[int, str | None]] | None:
-    """The benchmark's rows, or None if its texts exceed the broadcast bound."""
+    """The benchmark's rows, or None if their window set would exceed the broadcast bound."""
     rows = with_defaults(benchmark, item_id="long", text="string")
-    size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64).cast("long")).first()[0] or 0
+    size = rows.agg(F.sum(F.coalesce(F.octet_length("text") + WORD_BYTES * F.regexp_count("text", F.lit(r"[\w\u0080-\uffff]+")), F.lit(0)) + 64).cast("long")).first()[0] or 0
     return None if size > most_bytes else [tuple(r) for r in rows.collect()]
 
 
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 RESULT = "doc_id long, n_words long, n_hit long, items array<long>, spans array<struct<start:int,end:int>>"
 
 
@@ -103,9 +150,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, most
     A window is ``window`` consecutive words of an item (all of them for a shorter item
     that has any).  ``items`` are the items with a window in the document, ``spans`` the
     hit words merged to character runs (UTF-8 byte offsets, end exclusive).  Null and
-    empty texts have no words.  Repeated rows each come back.  A benchmark beyond
-    ``most_bytes`` is not broadcast: ``scan_by_join`` shuffles windows instead.  With ``carry`` each result
-    holds its whole input row as the struct ``whole``.
+    empty texts have no words, an empty benchmark hits nothing, repeated rows each come
+    back and other columns are ignored.  A window set beyond ``most_bytes`` is not
+    broadcast: ``scan_by_join`` shuffles hashes instead, with the same results.  With
+    ``carry`` each result holds its whole input row as the struct ``whole``.
     """
     items = benchmark_items(benchmark, most_bytes)
     if items is None:
@@ -114,76 +162,86 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, most
 
 
 def _scan_items(docs: DataFrame, items: list[tuple[int, str | None]], window: int, carry: bool) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(items)
-    cache: dict[str, WindowSet] = {}
+    held = docs.sparkSession.sparkContext.broadcast(WindowSet(items, window))  # its size is checked
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = cache.setdefault("set", WindowSet(held.value, window))
+        known = held.value
         for batch in batches:
             data, offsets = buffers(batch.column("text"))
             for lo, hi in chunks(offsets):
                 part, edges = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
                 n_words, n_hit, found, (starts, ends, rows) = known.hits(part, edges)
                 items_of: dict[int, set[int]] = {}
-                spans_of: dict[int, list[list[int]]] = {}
-                for k, n, item_ids in sorted(found):
-                    row = int(rows[k])
-                    items_of.setdefault(row, set()).update(item_ids)
-                    spans, base = spans_of.setdefault(row, []), int(edges[row])
-                    s, e = int(starts[k]) - base, int(ends[k + n - 1]) - base
-                    if spans and s <= spans[-1][1] + 1:
-                        spans[-1][1] = max(spans[-1][1], e)
-                    else:
-                        spans.append([s, e])
-                yield passed_on(
-                    batch,
-                    lo,
-                    hi - lo,
-                    [
-                        batch.column("doc_id").slice(lo, hi - lo),
-                        pa.array(n_words.astype(np.int64)),
-                        pa.array(n_hit.astype(np.int64)),
-                        pa.array([sorted(items_of.get(k, ())) for k in range(hi - lo)], pa.list_(pa.int64())),
-                        pa.array([[{"start": s, "end": e} for s, e in spans_of.get(k, ())] for k in range(hi - lo)], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                    ],
-                    ["doc_id", "n_words", "n_hit", "items", "spans"],
-                )
+                for k, _, item_ids in found:
+                    items_of.setdefault(int(rows[k]), set()).update(item_ids)
+                spans_of = hit_spans(found, starts, ends, rows, edges)
+                columns = [
+                    batch.column("doc_id").slice(lo, hi - lo), pa.array(n_words.astype(np.int64)), pa.array(n_hit.astype(np.int64)),
+                    pa.array([sorted(items_of.get(k, ())) for k in range(hi - lo)], pa.list_(pa.int64())), pa.array([spans_of.get(k, []) for k in range(hi - lo)], SPANS),
+                ]
+                yield passed_on(batch, lo, hi - lo, columns, ["doc_id", "n_words", "n_hit", "items", "spans"])
 
     src = with_defaults(docs, carry, doc_id="long", text="string")
     return src.mapInArrow(run, carried(src, RESULT))
 
 
 def scan_by_join(docs: DataFrame, benchmark: DataFrame, window: int, carry: bool = False) -> DataFrame:
-    """As ``scan`` for a benchmark of any size: word windows meet in a shuffled join.
-
-    Items and documents become rows (id, position, window) with the words themselves as
-    the key, so hits need no further proof.  Spans are not given (null).
-    """
-    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    """As ``scan``, with the same results, for a benchmark of any size.
 
-    def listed(df: DataFrame, key: str) -> DataFrame:
-        low = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-        return df.select(key, F.regexp_extract_all(low, F.lit(word), F.lit(0)).alias("words"))
+    Window hashes of documents and items meet in a shuffled join; hits go back to their
+    documents with the item's words, and are proved there.  Items are looked up by the
+    proved words, so an item list is gathered for a document only, never for a window."""
+    items = with_defaults(benchmark, item_id="long", text="string")
+    lengths = sorted(r[0] for r in items.select(F.least(F.size(F.regexp_extract_all(_low(), F.lit(WORD), F.lit(0))), F.lit(window)).alias("n")).where("n > 0").distinct().collect())  # at most ``window`` values
 
-    def windows(df: DataFrame, key: str, n: int) -> DataFrame:
-        at = F.posexplode(F.expr(f"transform(sequence(0, size(words) - {n}), i -> array_join(slice(words, i + 1, {n}), ' '))"))
-        return df.where(f"size(words) >= {n}").select(key, at.alias("at", "w"))
+    def item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column("text"))
+            data, ids = LOWER[data], batch.column("item_id").to_pylist()
+            starts, ends, rows, hashes = hashed_words(data, offsets)
+            for n, at, h in item_windows(hashes, rows, len(ids), window):
+                words = [joined(data, starts, ends, k, n).decode() for k in at.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([ids[r] for r in rows[at].tolist()], pa.int64()), pa.array([n] * len(at), pa.int32()), pa.array(h.view(np.int64)), pa.array(words, pa.string())], ["item", "n", "h", "w"])
 
-    items = listed(with_defaults(benchmark, item_id="long", text="string"), "item_id").where("size(words) > 0").withColumn("n", F.least(F.size("words"), F.lit(window)))
-    keys = items.select("item_id", F.explode(F.expr("transform(sequence(0, size(words) - n), i -> array_join(slice(words, i + 1, n), ' '))")).alias("w")).distinct()
+    def document_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column("text"))
+            for lo, hi in chunks(offsets):
+                part = LOWER[data[offsets[lo] : offsets[hi]]]
+                starts, ends, rows = word_spans(part, offsets[lo : hi + 1] - offsets[lo])
+                own = batch.column("row").slice(lo, hi - lo).to_numpy()
+                if not len(starts):
+                    continue
+                roll, first = Rolling(Rolling(part).spans(starts, ends)), np.searchsorted(rows, rows)
+                for n in lengths:
+                    at = one_row_windows(rows, n)
+                    yield pa.RecordBatch.from_arrays([pa.array(own[rows[at]]), pa.array(np.full(len(at), n, np.int32)), pa.array((at - first[at]).astype(np.int32)), pa.array(roll.spans(at, at + n).view(np.int64))], ["row", "n", "at", "h"])
+
+    def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, hits in zip(*(batch.column(c) for c in ("row", "text", "hits")), strict=True):
+                data, offsets = buffers(pa.array([text.as_py()], pa.string()))
+                data = LOWER[data]
+                starts, ends, rows = word_spans(data, offsets)
+                found = [(x["at"], x["n"], x["w"]) for x in hits.as_py() if joined(data, starts, ends, x["at"], x["n"]) == x["w"].encode()]
+                spans = hit_spans(found, starts, ends, rows, offsets).get(0, [])
+                yield pa.RecordBatch.from_arrays([pa.array([row.as_py()], pa.int64()), pa.array(hit_words(found, rows, 1), pa.int64()), pa.array([spans], SPANS), pa.array([sorted({w for _, _, w in found})], pa.list_(pa.string()))], ["row", "n_hit", "spans", "words"])
+
+    listed = cut(items.mapInArrow(item_rows, "item long, n int, h long, w string").distinct(), "windows")
     # row numbers are written once, so every use of them sees the same
     base = cut(with_defaults(docs, carry, doc_id="long", text="string").withColumn("row", F.monotonically_increasing_id()), "rows")
-    texts = listed(base, "row")
-    lengths = sorted(r[0] for r in items.select("n").distinct().collect())  # at most ``window`` values
-    parts = [windows(texts, "row", n).withColumn("n", F.lit(n)) for n in lengths]
-    every = reduce(DataFrame.unionByName, parts)
-    hits = every.join(keys.groupBy("w").agg(F.collect_set("item_id").alias("ids")), "w")
-    per_word = hits.select("row", F.explode(F.expr("sequence(at, at + n - 1)")).alias("k")).distinct().groupBy("row").agg(F.count("*").alias("n_hit"))
-    per_item = hits.select("row", F.explode("ids").alias("item")).distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    sized = texts.select("row", F.size("words").cast("long").alias("n_words"))
-    out = base.drop("text").join(sized, "row").join(per_word, "row", "left").join(per_item, "row", "left")
-    none = F.expr("cast(array() as array<long>)")
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none).alias("items"), F.expr("cast(null as array<struct<start:int,end:int>>)").alias("spans"), *(["whole"] if carry else []))
+    every = base.select("row", "text").mapInArrow(document_rows, "row long, n int, at int, h long")
+    hits = every.join(listed.select("n", "h", "w").distinct(), ["n", "h"])
+    of_row = hits.groupBy("row").agg(F.collect_list(F.struct("at", "n", "w")).alias("hits"))  # one document's own windows
+    proved = cut(base.select("row", "text").join(of_row, "row").mapInArrow(prove, "row long, n_hit long, spans array<struct<start:int,end:int>>, words array<string>"), "proved")
+    per_item = proved.select("row", F.explode("words").alias("w")).join(listed.select("w", "item").distinct(), "w").select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    out = base.withColumn("n_words", F.regexp_count(_low(), F.lit(WORD)).cast("long")).drop("text").join(proved.drop("words"), "row", "left").join(per_item, "row", "left")
+    none = lambda kind: F.expr(f"cast(array() as {kind})")
+    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", none("array<long>")).alias("items"), F.coalesce("spans", none("array<struct<start:int,end:int>>")).alias("spans"), *(["whole"] if carry else []))
+
+
+def _low() -> Column:
+    return F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def contaminated(n_hit="n_hit", n_words="n_words", share: int = SHARE):

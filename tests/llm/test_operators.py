@@ -198,6 +198,8 @@ def test_decontamination(spark, odd):
         got = decontaminate.scan(df, b, most_bytes=most).collect()
         assert sorted((r[0] or -1, r[1], r[2], list(r[3])) for r in got) == want
     spans = {r.doc_id: r.spans for r in decontaminate.scan(df, b).collect()}
+    joined = {r.doc_id: r.spans for r in decontaminate.scan(df, b, most_bytes=0).collect()}
+    assert joined == spans
     assert extra[2][1].encode()[spans[22][0].start : spans[22][0].end] == b"one two three one two three one two three"
     none = decontaminate.scan(df, b.where("false")).collect()
     assert all(r.n_hit == 0 for r in none) and len(none) == len(want)
