@@ -24,8 +24,9 @@ SEED = 20_011
 #: Training texts expected of each language (a bounded sample, chosen by hash).
 TRAIN_PER_LANGUAGE = 2000
 UNKNOWN = "und"
-#: Rows and bytes of text that are counted at once; n-gram vectors a worker remembers.
-ROWS_AT_ONCE, BYTES_AT_ONCE, MEMO_NGRAMS = 256, 1 << 20, 1 << 15
+#: Rows, bytes and letters of text that are counted at once, trigrams that are bundled at
+#: once, letter vectors that a worker remembers.
+ROWS_AT_ONCE, BYTES_AT_ONCE, CHARS_AT_ONCE, NGRAMS_AT_ONCE, MEMO_LETTERS = 256, 1 << 20, 1 << 20, 4096, 1 << 15
 
 
 @cache
@@ -35,73 +36,91 @@ def letter_table() -> np.ndarray:
 
 
 class Encoder:
-    """Trigram counts and hypervectors of texts."""
+    """Hypervectors of texts: trigrams are counted, and bound and bundled a block at a time."""
 
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED):
         self.dimensions, self.seed = dimensions, seed
         self.letters: dict[int, np.ndarray] = {}
-        self.memo: dict[int, np.ndarray] = {}
 
     def letter(self, code: int) -> np.ndarray:
         """The random vector of a code point (0: anything that is no letter)."""
-        if code not in self.letters:
-            rng = np.random.default_rng([self.seed, code])
-            self.letters[code] = rng.integers(0, 2, self.dimensions, np.int8) * 2 - 1
-        return self.letters[code]
-
-    def ngram(self, key: int) -> np.ndarray:
-        found = self.memo.get(key)
+        found = self.letters.get(code)
         if found is None:
-            a, b, c = key >> 42, key >> 21 & 0x1FFFFF, key & 0x1FFFFF
-            found = np.roll(self.letter(a), 2) * np.roll(self.letter(b), 1) * self.letter(c)
-            if len(self.memo) >= MEMO_NGRAMS:
-                self.memo.clear()
-            self.memo[key] = found
+            rng = np.random.default_rng([self.seed, code])
+            found = rng.integers(0, 2, self.dimensions, np.int8) * 2 - 1
+            if len(self.letters) >= MEMO_LETTERS:
+                self.letters.clear()
+            self.letters[code] = found
         return found
 
-    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(keys of trigrams, rows x keys counts, letters of each row).
+    def bundle(self, code: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
+        """Sums of the vectors of all trigrams of each row of code points.
 
-        Letters are lower-cased; each run of other characters, and each end, is one space.
-        """
-        rows = [t.lower() for t in texts]
-        joined = " " + " ".join(rows) + " "
-        code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
-        row = np.repeat(np.arange(len(rows)), np.array([len(r) + 1 for r in rows]))
-        row = np.concatenate([[0], row])
-        code = np.where(letter_table()[code], code, 0)
-        keep = np.ones(len(code), bool)
-        keep[1:] = (code[1:] != 0) | (code[:-1] != 0)
-        code, row = code[keep], row[keep]
-        n_letters = np.bincount(row[code != 0], minlength=len(rows))
+        A trigram belongs to the row of its middle letter; one around a space between two
+        rows belongs to none."""
+        out = np.zeros((n_rows, self.dimensions), np.float32)
         if len(code) < 3:
-            return np.zeros(0, np.int64), np.zeros((len(rows), 0), np.float32), n_letters
-        present = np.unique(code)
-        small = np.searchsorted(present, code)
+            return out
+        present, small = np.unique(code, return_inverse=True)
         n = len(present)
         key = (small[:-2] * n + small[1:-1]) * n + small[2:]
         ok = (code[1:-1] != 0) | (row[:-2] == row[2:])
         at = np.where(code[1:-1] != 0, row[1:-1], row[:-2])[ok]
         key = key[ok]
-        if n**3 <= 1 << 24:
-            seen = np.zeros(n**3, bool)
-            seen[key] = True
-            used = np.flatnonzero(seen)
-            index = np.zeros(n**3, np.int32)
-            index[used] = np.arange(len(used))
-            inverse = index[key]
-        else:
-            used, inverse = np.unique(key, return_inverse=True)
-        full = (present[used // (n * n)].astype(np.int64) << 42) | (present[used // n % n].astype(np.int64) << 21) | present[used % n].astype(np.int64)
-        table = np.bincount(at * len(used) + inverse, minlength=len(rows) * len(used))
-        return full, table.reshape(len(rows), len(used)).astype(np.float32), n_letters
+        order = np.argsort(key)
+        key, at = key[order], at[order]
+        used, first = np.unique(key, return_index=True)
+        place = np.repeat(np.arange(len(used)), np.diff(np.append(first, len(key))))
+        base = np.stack([self.letter(c) for c in present.tolist()])
+        once, twice = np.roll(base, 1, axis=1), np.roll(base, 2, axis=1)
+        for lo in range(0, len(used), NGRAMS_AT_ONCE):
+            part = used[lo : lo + NGRAMS_AT_ONCE]
+            i, j = np.searchsorted(place, [lo, lo + len(part)])
+            times = np.bincount(at[i:j] * len(part) + (place[i:j] - lo), minlength=n_rows * len(part)).reshape(n_rows, len(part))
+            grams = twice[part // (n * n)] * once[part // n % n] * base[part % n]
+            out += times.astype(np.float32) @ grams.astype(np.float32)
+        return out
 
     def vectors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Hypervectors (rows x dimensions) and letters of each row."""
-        keys, table, n_letters = self.counts(texts)
-        if not len(keys):
-            return np.zeros((len(texts), self.dimensions), np.float32), n_letters
-        return table @ np.stack([self.ngram(k) for k in keys.tolist()]).astype(np.float32), n_letters
+        """Hypervectors (rows x dimensions) and letters of each row.
+
+        Letters are lower-cased; each run of other characters, and each end, is one space.
+        """
+        if len(texts) == 1 and len(texts[0]) > CHARS_AT_ONCE:
+            return self._long(texts[0])
+        rows = [t.lower() for t in texts]
+        code = _letters(" " + " ".join(rows) + " ")
+        row = np.repeat(np.arange(len(rows)), np.array([len(r) + 1 for r in rows]))
+        row = np.concatenate([[0], row])
+        keep = _single(code)
+        code, row = code[keep], row[keep]
+        return self.bundle(code, row, len(rows)), np.bincount(row[code != 0], minlength=len(rows))
+
+    def _long(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """One long text, a stretch at a time; two letters of each lead into the next."""
+        low, lead = text.lower(), np.zeros(1, np.uint32)
+        total, n_letters = np.zeros((1, self.dimensions), np.float32), 0
+        for lo in range(0, len(low), CHARS_AT_ONCE):
+            new = _letters(low[lo : lo + CHARS_AT_ONCE])
+            n_letters += int((new != 0).sum())
+            code = np.concatenate([lead, new, np.zeros(int(lo + CHARS_AT_ONCE >= len(low)), np.uint32)])
+            code = code[_single(code)]
+            total += self.bundle(code, np.zeros(len(code), np.int64), 1)
+            lead = code[-2:]
+        return total, np.array([n_letters])
+
+
+def _letters(text: str) -> np.ndarray:
+    """Code points, 0 for those that are no letters."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.where(letter_table()[code], code, np.uint32(0))
+
+
+def _single(code: np.ndarray) -> np.ndarray:
+    """Which code points stay, so that no two spaces are together."""
+    keep = np.ones(len(code), bool)
+    keep[1:] = (code[1:] != 0) | (code[:-1] != 0)
+    return keep
 
 
 def _text_groups(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
@@ -157,7 +176,8 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dimensions: int
 
     ``score`` is the cosine with the language's prototype, cut to 0..1; ties go to the
     first language by name.  ``und`` with score 0 where the text is null or has no letter,
-    or where there is nothing to compare with.  Repeated rows each come back.  With
+    or where there is nothing to compare with.  Repeated rows each come back, other
+    columns are ignored, and an empty table gives none.  With
     ``carry`` each result holds its whole input row as the struct ``whole``.
     """
     langs = [k for k in sorted(prototypes) if k]

@@ -332,6 +332,28 @@ def test_hypervectors():
     assert (v == slow).all() and n.tolist() == [2, 4] and not (v == w).all()
 
 
+def test_long_texts_in_a_large_script():
+    """A long text is bundled a stretch at a time, with the same sum, in little memory."""
+    rng = random.Random(7)
+    text = "".join(rng.choice("abcé .,1漢字テ") for _ in range(5000)) + "  . "
+    enc = langid.Encoder()
+    want, n = enc.vectors([text])
+    old, langid.CHARS_AT_ONCE = langid.CHARS_AT_ONCE, 37
+    try:
+        got, m = enc.vectors([text])
+    finally:
+        langid.CHARS_AT_ONCE = old
+    assert (got == want).all() and n.tolist() == m.tolist()
+    import tracemalloc
+
+    large = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(100_000))
+    tracemalloc.start()
+    enc.vectors([large])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+
+
 # --- toxicity ---------------------------------------------------------------------------
 
 
