@@ -17,8 +17,9 @@ RULES = (
     ("block", "net/fr/"),
 )
 DEFAULT_VERDICT = "allow"
-#: Rule lists of at most this many rules are broadcast as a trie; longer ones are joined.
-BROADCAST_RULES = 1_000_000
+#: Rule lists of at most this many rules are broadcast as a trie, which takes one or two
+#: kilobytes a rule in each worker; longer ones are joined, with the same verdicts.
+BROADCAST_RULES = 50_000
 
 HOST = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -45,7 +46,8 @@ class Trie:
             *whole, tail = path.split("/")
             for segment in whole:
                 node = node.setdefault("p", {}).setdefault(segment, {})
-            node.setdefault("t", {})[tail] = (rule, verdict)
+            tails = node.setdefault("t", {})
+            tails[tail] = max(tails.get(tail, (rule, "")), (rule, verdict))
 
     def match(self, host: str, path: str) -> tuple[str, str] | None:
         """(rule, verdict) of the longest rule that fits, the more specific host first."""
@@ -90,8 +92,10 @@ def parts(pages: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, default: str = DEFAULT_VERDICT, most: int = BROADCAST_RULES) -> DataFrame:
     """``(page_id, host, path, rule, verdict)`` of every row of ``pages(page_id, url)``.
 
-    The longest fitting rule decides, else ``default`` with a null rule.  Null urls have
-    no host, so no rule fits.  Repeated rows each come back; other columns are ignored.
+    The longest fitting rule decides, of equally long ones that of the deeper host, else
+    ``default`` with a null rule.  A rule that is listed with several verdicts has the
+    largest by name, so it blocks.  Null urls have no host, so no rule fits.  Repeated
+    rows each come back, other columns are ignored, an empty table gives none.
     """
     if len(rules) > most:
         spark = pages.sparkSession

@@ -439,11 +439,15 @@ def test_urls(spark):
     many = tuple({f"{h}{p}": (rng.choice(["allow", "block"]), f"{h}{p}") for h in ("com", "a.com", "b.a.com", "net") for p in ("/", "/x", "/x/", "/x/y", "/xy/z/")}.values())
     urls = URLS + [f"http://{h}{p}" for h in ("com", "a.com", "c.a.com", "b.a.com", "q.b.a.com", "net") for p in ("", "/", "/x", "/x/", "/xy/z/w", "/x/yz", "/x/y/z", "/w")]
     df = spark.createDataFrame([(k, u, "page", "clash") for k, u in enumerate(urls)] + [(0, urls[0], None, None)], "page_id long, url string, html string, rule string")
-    for rules in (url_filter.RULES, many, ()):
+    twice = (("block", "a.com/x"), ("allow", "a.com/x"), ("allow", "net/"), ("block", "net/"))
+    for rules in (url_filter.RULES, many, twice, ()):
         want = sorted((k, *slow_judge(u, rules)) for k, u in [*enumerate(urls), (0, urls[0])])
         for most in (100, 0) if rules else (100,):
             got = sorted(tuple(r) for r in url_filter.judge(df, rules, most=most).collect())
             assert [tuple(x or "" for x in g) for g in got] == [tuple(x or "" for x in w) for w in want]
+    assert url_filter.judge(df.where("false")).count() == 0
+    long = spark.createDataFrame([(1, "http://" + "a." * 5000 + "com/" + "x/" * 50_000)], "page_id long, url string")
+    assert [url_filter.judge(long, most=m).first().verdict for m in (100, 0)] == ["allow", "allow"]
 
 
 # --- media ------------------------------------------------------------------------------
