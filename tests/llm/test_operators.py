@@ -458,24 +458,68 @@ def test_media(spark):
     vectors = rng.normal(0, 0.13, (120, 64)).astype(np.float32)
     plain = media.draw(vectors)
     rows = [(k, media.encode(plain[k])) for k in range(120)]
-    rows += [(1000 + k, media.encode(media.edited(plain[k], k))) for k in range(0, 120, 3)]  # cropped, other brightness
+    for way in range(len(media.EDITS)):  # every kind of edit, each of a dozen pictures
+        rows += [(1000 + 100 * way + k, media.encode(media.edited(plain[k], len(media.EDITS) * k + way))) for k in range(0, 96, 8)]
     rows += [(2000 + k, media.encode(plain[k])) for k in range(0, 120, 10)] + [(5, media.encode(plain[5]))]  # equal bytes, a repeated row
+    colour = np.repeat(plain[7][:, :, None], 3, axis=2)
+    rows += [(2500, b"P6\n# by hand\n%d %d\n255\n" % plain[7].shape[::-1] + colour.tobytes())]
     rows += [(3000, None), (3001, None), (3002, b"no image"), (3003, b"P5 9 9 255\n" + bytes(81)), (3004, media.encode(np.full((64, 64), 7)))]
-    df = spark.createDataFrame(rows, "media_id long, image binary")
+    rows += [(4000, media.encode(plain[100])), (4000, media.encode(plain[101]))]  # one id, two images
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "media_id long, image binary, key string, n_corners int")
     found: dict = {}
     for r in media.copies(df).collect():
         found.setdefault(r.media_id, []).append(r.class_id)
-    assert len(found[5]) == 2
+    assert len(found[5]) == 2 and sorted(found[4000]) == [100, 101]
     one = {k: v[0] for k, v in found.items()}
-    assert np.mean([one[1000 + k] == k for k in range(0, 120, 3)]) >= 0.9
-    assert all(one[2000 + k] == k for k in range(0, 120, 10))
+    for way, name in enumerate(media.EDITS):
+        assert np.mean([one[1000 + 100 * way + k] == k for k in range(0, 96, 8)]) >= 0.9, name
+    assert all(one[2000 + k] == k for k in range(0, 120, 10)) and one[2500] == 7
     assert all(one[k] == k for k in [*range(120), 3000, 3001, 3002, 3003, 3004])
     assert media.copies(df.where("false")).count() == 0
 
 
+def brute_classes(images):
+    """Classes of all pairs that agree, whether they share a key or not."""
+    found = [media.describe(x[None])[0] for x in images]
+    label = list(range(len(images)))
+    for i in range(len(images)):
+        for j in range(i):
+            if media.agreement(found[i], found[j]) >= media.INLIERS and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize(("most", "tile"), [(16, 128), (3, 4)])
+def test_media_against_all_pairs(spark, most, tile):
+    """Also where most keys are hot: a mark of its own on a third of the pictures."""
+    rng = np.random.default_rng(4)
+    images = list(media.draw(rng.normal(0, 0.13, (36, 64)).astype(np.float32)))
+    mark = (np.add.outer(np.arange(20) // 5, np.arange(20) // 5) % 2 * 200 + 20).astype(np.uint8)
+    for k in range(0, 36, 3):
+        images[k][10:30, 10:30] = mark
+    images += [media.edited(images[k], 5 * k + k % 5) for k in range(1, 36, 3)]
+    want = brute_classes(images)
+    base = spark.createDataFrame([(k, media.encode(x)) for k, x in enumerate(images)], "media_id long, image binary")
+    links = media.key_links(media.features(base), most, tile)
+    root = {r.node: r.root for r in components(links).collect()}
+    got = [root.get(k, k) for k in range(len(images))]
+    same = [(got[a] == got[b], want[a] == want[b]) for a in range(len(images)) for b in range(a)]
+    assert all(y for x, y in same if x)  # nothing is linked that does not agree
+    assert np.mean([x for x, y in same if y]) >= 0.95
+
+
 def test_agreement():
     rng = np.random.default_rng(9)
     stack = media.draw(rng.normal(0, 0.13, (2, 64)).astype(np.float32))
     a, b = media.describe(stack)
     turned = media.describe(np.rot90(stack, axes=(1, 2)))[0]
     assert media.agreement(a, a) >= 10 and media.agreement(a, b) < media.INLIERS and media.agreement(a, turned) >= media.INLIERS
+
+
+def test_corners_grow_with_the_area():
+    rng = np.random.default_rng(10)
+    large = np.kron(rng.integers(0, 255, (64, 64)), np.ones((8, 8))).astype(np.uint8)
+    whole, quarter = media.describe(large[None])[0], media.describe(large[None, :256, :256])[0]
+    assert 3 * len(quarter["y"]) < len(whole["y"]) < 6 * len(quarter["y"])
+    assert media.agreement(whole, quarter) >= 50
