@@ -343,13 +343,15 @@ def band_groups(members: DataFrame, least_tile: int = LEAST_TILE, most_shingles:
     """``(grp, tile, doc_id)`` of ``members(key, doc_id, size, comp)``: every two of a key
     share a group unless both are known to be of one component.
 
-    The key's largest component has tiles of its own, which meet only the other tiles."""
+    The key's largest component has tiles of its own, which meet only the other tiles.  A
+    row goes along once for each tile that its own meets, so tiles are as large as leaves
+    enough of them to share the work, and at most what a task can hold."""
     per = members.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     keys = per.groupBy("key").agg(
         F.max_by("comp", F.struct("n", "comp")).alias("most"), F.max("n").alias("n_most"), F.max_by("size", F.struct("n", "comp")).alias("size_most"),
         F.sum("n").alias("n"), F.sum("size").alias("all_size"), F.count("*").alias("comps"),
     )
-    rows = members.join(cut(keys.where("comps > 1"), "bands"), "key").withColumn("side", F.greatest(F.lit(least_tile), F.ceil(2 * F.sqrt("n"))))
+    rows = members.join(cut(keys.where("comps > 1"), "bands"), "key").withColumn("side", F.least(F.lit(MOST_TILE), F.greatest(F.lit(least_tile), F.ceil(4 * F.sqrt("n")))))
     small = (F.col("n") <= F.col("side")) & (F.col("all_size") <= most_shingles)
     tiles_of = lambda n, size: F.ceil(F.greatest(n / F.col("side"), size / most_shingles)).cast("int")
     rows = rows.withColumn("p", tiles_of(F.col("n_most"), F.col("size_most"))).withColumn("q", tiles_of(F.col("n") - F.col("n_most"), F.col("all_size") - F.col("size_most")))
