@@ -22,6 +22,12 @@ def groups(sources: DataFrame, min_rows: int = 1) -> DataFrame:
     return out.where("copies > 1").withColumn("redundant_rows", (F.col("copies") - 1) * F.col("charge_count")).withColumn("is_redownload", F.col("canonical_names") == 1)
 
 
+def ordered(found: DataFrame, n: int | None = None) -> DataFrame:
+    """Groups with most redundant rows first."""
+    out = found.orderBy(F.desc("redundant_rows"), "key", "charge_count")
+    return out if n is None else out.limit(n)
+
+
 def keepers(sources: DataFrame) -> DataFrame:
     """Every source of a duplicate group by its place among equal download names: the one
     without a counter, then the shortest, then the first by name is kept."""

@@ -68,6 +68,12 @@ def merge_plan(target: DataFrame, source: DataFrame) -> DataFrame:
     return out.select("source_file", "charge_count", F.when(F.col("_t").isNull(), "add").otherwise("skip_duplicate").alias("action"))
 
 
+def ordered_plan(plan: DataFrame, n: int | None = None) -> DataFrame:
+    """A merge plan, or repairs, with the largest files first."""
+    out = plan.orderBy(F.desc("charge_count"), "source_file")
+    return out if n is None else out.limit(n)
+
+
 def merge(target: DataFrame, source: DataFrame, key: str = "source_file") -> DataFrame:
     """The target with the other store's files that it lacks, for any table with the key.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -15,3 +18,17 @@ SETTINGS = {
 def session(app: str = "ledgerloom", **more: str) -> SparkSession:
     """The running session, or a new one; ``more`` are further settings."""
     return SparkSession.builder.appName(app).config(map=SETTINGS | more).getOrCreate()
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder for files that driver and executors share, below ``spark.checkpoint.dir``.
+
+    Where that is unset a temporary folder serves, but only in local mode, where one
+    machine runs everything."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

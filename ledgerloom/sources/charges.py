@@ -313,9 +313,9 @@ hospital_address array<string>, license_information struct<license_number:string
 type_2_npi array<string>, standard_charge_information array<struct<{ITEM}>>"""
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
+def read_json(spark: SparkSession, path: str, names: str = "*.json*") -> DataFrame:
     """Nested charge files, one row a file; amounts are read as strings, so none is lost."""
-    raw = spark.read.schema(JSON_SCHEMA).options(multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json*").json(path)
+    raw = spark.read.schema(JSON_SCHEMA).options(multiLine=True, recursiveFileLookup=True, pathGlobFilter=names).json(path)
     return raw.select(source_name(F.col("_metadata.file_name")).alias("source_file"), "*")
 
 

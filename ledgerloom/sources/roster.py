@@ -115,7 +115,7 @@ def crosswalk(raw: DataFrame, source: str, order: Column | None = None) -> DataF
 
 def websites(spark: SparkSession, path: str) -> DataFrame:
     """``(ccn, website)`` of profile maps: ``{hospitals: {ccn: {web | website}}}`` or bare."""
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     entry = "map<string,struct<web:string,website:string>>"
     nested = F.from_json("value", f"hospitals {entry}")["hospitals"]
     each = raw.select(F.explode(F.coalesce(nested, F.from_json("value", entry))).alias("ccn", "p"))

@@ -1,6 +1,7 @@
 """Column functions on the values that matter."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,11 @@ def test_values(spark):
     assert one(spark, lambda c: T.round_half_up(c.cast("double")), "2.5", "-2.5", "1.4") == [3.0, -2.0, 1.0]
     assert one(spark, lambda c: T.word_start(c, "hca"), "HCA Houston", "healthcare", "x-hca") == [True, False, True]
     assert one(spark, T.is_yes, "Yes", " x ", "no", None) == [True, True, False, False]
+    assert one(spark, T.parse_amount, "$1,234.567", "*", "", "0", "x") == [Decimal("1234.57"), None, None, Decimal("0.00"), None]
+    odd = [" a  b ", "plain words", "", None, "x\x00y", "caf\u00e9", "a\u00a0b", "y" * 20_005, "N/A", "$1,234.50", "12", "12.5", " 7 ", "1e3", "-4", "12345678901234567"]
+    assert one(spark, T.clean_cell, *odd) == one(spark, T.clean_str, *odd)
+    assert one(spark, T.cell_decimal, *odd) == one(spark, T.to_decimal, *odd)
+    assert one(spark, states.ccn_state, "490001", "500001", "510001", "520001", "530001", "170001") == ["VA", "WA", "WV", "WI", "WY", "KS"]
     assert states.resolve_state("kansas") == "KS"
     with pytest.raises(KeyError):
         states.resolve_state("Atlantis")

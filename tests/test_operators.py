@@ -1,9 +1,13 @@
 """Operators on small tables whose answers are known."""
 
+import random
+import re
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import benchmarking, community, coverage, discovery, duplicates, gaps, linkage, prices, readiness, service_area, strategies
+from ledgerloom.operators import benchmarking, community, coverage, discovery, duplicates, gaps, linkage, prices, ranks, readiness, service_area, strategies
 
 HOSPITAL = "ccn string, name string, city string, state string, is_active boolean"
 SOURCE = "source_file string, hospital_name string, hospital_address string, license_state string, ein string, primary_npi string, npis array<string>, ccn string, link_method string, charge_count long"
@@ -207,3 +211,70 @@ def test_discovery(spark):
     manifest = discovery.match_pages(wanted, pages)
     assert sorted(r.file_name for r in discovery.ready(manifest).collect()) == ["ccn-1_kaiser-foundation-hospital_standardcharges.csv", "ccn-3_any_standardcharges.json"]
     assert discovery.manifest_sheet(manifest).where("mrf_url is null or score is null").count() == 0
+
+
+def test_ranks(spark, monkeypatch):
+    """Places and quantiles against numpy, with one stretch and with many."""
+    rng = np.random.default_rng(1)
+    values = {g: np.round(rng.normal(0, 10, n), digits).tolist() for g, n, digits in (("a", 4000, 1), ("b", 3, 1), (None, 700, 2), ("c", 1, 1), ("d", 1500, 0))}
+    df = spark.createDataFrame([(g, float(x)) for g, xs in values.items() for x in [*xs, float("nan")]], "g string, v double")
+    for small in (ranks.SMALL, 20):
+        monkeypatch.setattr(ranks, "SMALL", small)
+        counts = ranks.counted(df, ["g"], F.col("v"))
+        for r in ranks.placed(counts, ["g"]).collect():
+            own = np.array(values[r.g])
+            assert r.below == (own < r.x).sum() and r.same == (own == r.x).sum()
+        found = ranks.quantiles(counts, ["g"], {"low": 0.25, "mid": 0.5, "high": 0.9}).collect()
+        assert len(found) == 5
+        for r in found:
+            own = np.array(values[r.g])
+            assert np.allclose([r.low, r.mid, r.high, r.min, r.max, r.n], [*np.quantile(own, [0.25, 0.5, 0.9]), own.min(), own.max(), len(own)])
+
+
+def test_probable_matches_by_brute_force(spark):
+    """The rarest words lose no match that has the similarity."""
+    rng = random.Random(2)
+    words = ["mercy", "onaga", "valdez", "corbin", "lukes", "norway", "rivera", "greene", "stone", "oakley"]
+    name = lambda: " ".join(rng.choices(words, [9, 9, 5, 3, 2, 1, 1, 1, 1, 1], k=rng.randint(1, 5)))
+    gaps_ = [(f"{k:06d}", name(), rng.choice(["KS", "MO"])) for k in range(150)]
+    files = [(f"z{k:04d}q.csv", name(), rng.choice(["KS", "MO", None]), k) for k in range(120)]
+    found = linkage.probable(spark.createDataFrame(files, "source_file string, hospital_name string, state string, charge_count long"), spark.createDataFrame(gaps_, "ccn string, name string, state string")).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.source_file, []).append((-r.score, r.ccn))
+    want = {}
+    for source_file, n, state, _ in files:
+        score = lambda other, n=n: len(set(n.split()) & set(other.split())) / len(set(n.split()) | set(other.split()))
+        best = sorted((-round(score(o), 3), ccn) for ccn, o, s in gaps_ if score(o) >= 0.3 and state in (None, s))[:3]
+        if best:
+            want[source_file] = best
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_letter_spaced_text(spark):
+    spaced = re.compile(r"(?<![A-Za-z])\S(?: {1,2}\S){3,}")
+    slow = lambda t: spaced.sub(lambda m: " ".join(w.replace(" ", "") for w in m[0].split("  ")), t)
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(["a", " ", "b", " ", "  ", "\n", "1", ".", "cd", "   ", "\u00e9"]) for _ in range(rng.randint(0, 60))) for _ in range(2000)] + ["6H o m e  H e a l t h 7 6 . 5 %"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", community.dekern("t").alias("t")).orderBy("i").collect()
+    assert [r.t for r in rows] == [slow(t) for t in texts] and any(slow(t) != t for t in texts)
+
+
+def test_shortages_near_cues(spark):
+    far = "x" * 120
+    texts = {
+        "near": "There is a shortage of nurses here.", "far": f"There is a shortage {far} of nurses here.", "first": "nurses, a shortage", "part": "a shortage of nursesx",
+        "recruiting": f"We recruit. A dermatologist {far} {far} vacancy for a podiatrist.", "second": f"counselor {far} {far} lack of therapists .", "none": None,
+    }
+    found = community.shortages(spark.createDataFrame(list(texts.items()), "source_file string, text string")).collect()
+    got = {(r.source_file, r.specialty): r for r in found}
+    assert set(got) == {("near", "nursing"), ("recruiting", "dermatology"), ("recruiting", "podiatry"), ("second", "behavioral health")}
+    assert got["recruiting", "dermatology"].recruiting and not got["recruiting", "podiatry"].recruiting
+    assert got["near", "nursing"].verbatim == "There is a shortage of nurses here." and got["second", "behavioral health"].verbatim.endswith("lack of therapists .")
+
+
+def test_headings_in_sequence(spark):
+    text = "2\n1 Access to Care a\n3\n2\nMental\nHealth\nServices\nand\nMore\nwords\n$5 to provide and support many things\n2 Again Not a\n3\nb Tactic\n4\nLast"
+    rows = strategies.strategy_rows(spark.createDataFrame([("d", text), ("e", "7\n$3")], "source_file string, text string")).collect()
+    assert [(r.need_rank, r.text) for r in rows if r.kind == "need"] == [(1, "Access to Care"), (2, "Mental Health Services and")]
+    assert [(r.need_rank, r.dollars, r.tabulated) for r in rows if r.kind == "commitment"] == [(2, 5, False)]

@@ -2,7 +2,7 @@
 
 import pytest
 
-from ledgerloom.plans.derived import QUERIES, SQL
+from ledgerloom.plans.files import QUERIES, SQL
 
 from .conftest import DATA, rows_of
 

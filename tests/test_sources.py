@@ -60,10 +60,41 @@ def test_profile_of_a_very_large_file(spark, tmp_path):
     (tmp_path / "small.csv").write_text("a;b\n1;2\n")
     with open(tmp_path / "large.csv", "wb") as f:
         f.write(b"a\tb\tc\n" + b"1\t2\t3\n" * 200_000)
-        f.truncate(2_000_000_001)  # a hole, which takes no disk
+        f.truncate(3_000_000_001)  # a hole, which takes no disk
+    with gzip.open(tmp_path / "zipped.csv.gz", "wt") as f:
+        f.write("a|b|c|d\n" * 100_000)
     got = {r.path.rsplit("/", 1)[1]: (r.encoding, r.delimiter, r.columns) for r in charges.profiles(spark, str(tmp_path)).collect()}
     (tmp_path / "large.csv").unlink()
-    assert got == {"small.csv": ("UTF-8", ";", 2), "large.csv": ("UTF-8", "\t", 3)}
+    assert got == {"small.csv": ("UTF-8", ";", 2), "large.csv": ("UTF-8", "\t", 3), "zipped.csv.gz": ("UTF-8", "|", 4)}
+
+
+def test_rows_wider_than_the_head(spark, tmp_path, monkeypatch):
+    """The header lies below the head that is looked at, and is wider than it; 40 codes."""
+    monkeypatch.setattr(charges, "HEAD_BYTES", 64)
+    codes = [f"code|{k}" for k in range(1, 41)]
+    header = ["description", *[x for c in codes for x in (c, f"{c}|type")], "standard_charge|gross"]
+    row = ['"MRI, ""open"" and\nlong"', *[x for k in range(1, 41) for x in (f"c{k}", "T")], "7"]
+    for name, sep in (("comma.csv", ","), ("tab.csv", "\t"), ("semicolon.csv", ";")):
+        lines = [sep.join(x) for x in (["a", "note that is long enough to fill the head of this file", ""], header, row, ["CT", "1", "", "", "2", "T"])]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    lines = charges.read_lines(spark, str(tmp_path))
+    found = charges.charges(lines, charges.headers(lines)).collect()
+    assert len(found) == 6
+    for r in found:
+        if r.code == "c1":
+            assert r.description == 'MRI, "open" and long' and float(r.gross_charge) == 7
+            assert r.additional_codes == ";".join(f"T:c{k}" for k in range(2, 41))
+        else:
+            assert (r.description, r.code, r.gross_charge) == ("CT", "1", None)
+
+
+def test_header_after_a_preamble(spark):
+    rows = [("eight", k, ["text", str(k)]) for k in range(8)] + [("nine", k, ["text", str(k)]) for k in range(9)]
+    rows += [("none", 0, ["", " "]), ("none", 1, ["a", "b"])]
+    for name in ("eight", "nine"):
+        rows += [(name, 20, ["", "\u00a0"]), (name, 21, ["Description", "code|1"]), (name, 22, ["description", "code|1"])]
+    heads = charges.headers(spark.createDataFrame(rows, "source_file string, line long, row array<string>")).collect()
+    assert [(h.source_file, h.header_line, h.meta_header, h.meta_values) for h in heads] == [("eight", 21, ["text", "6"], ["text", "7"])]
 
 
 def test_encodings():
@@ -94,6 +125,8 @@ def test_roster(spark, tmp_path):
     both = {r.ccn: r.state for r in roster.ingest(raw, "Kansas", active_only=False).collect()}
     assert both == {"170001": "KS", "170002": "KS"}
     assert tuple(roster.load_statistics(raw, "KS").first()) == (5, 3, 2, 1)
+    twice = spark.createDataFrame([("170001", "01", "Z", "00"), ("170001", "01", "A", "00"), ("170001", "03", "B", "00")], "PRVDR_NUM string, PRVDR_CTGRY_CD string, FAC_NAME string, PGM_TRMNTN_CD string").coalesce(1)
+    assert [(r.ccn, r.name) for r in roster.ingest(twice).collect()] == [("170001", "A")]
     with pytest.raises(ValueError, match="columns"):
         columns.pick(raw, ["nothing"])
     with pytest.raises(ValueError, match="empty"):
@@ -125,7 +158,7 @@ def test_cost_files(spark, tmp_path):
 
 def test_store(spark, tmp_path):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    assert sorted(map(tuple, store.upsert(old, spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), ["k"]).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    assert sorted(map(tuple, store.upsert(old, spark.createDataFrame([(2, "z"), (2, "c"), (3, "d")], "k int, v string").coalesce(1), ["k"]).collect())) == [(1, "a"), (2, "c"), (3, "d")]
     path = str(tmp_path / "t")
     assert store.read_current(spark, path, "k int, v string").count() == 0
     store.write_version(old, path)
