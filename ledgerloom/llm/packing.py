@@ -37,7 +37,8 @@ def pack_documents(docs: DataFrame, max_tokens: int = MAX_TOKENS, end_id: int =
     document ends in ``end_id``, so a null or empty text is one piece of one id.
     ``bucket`` is the base-2 logarithm of the length; a piece fills a sequence of its own,
     so ``offset`` is 0 and ``sequence_id`` is unique among all rows, also where rows of
-    ``docs`` repeat.  ``max_tokens`` must be a power of two.  One narrow pass: no
+    ``docs`` repeat.  Other columns are ignored, and an empty table gives no piece.
+    ``max_tokens`` must be a power of two.  One narrow pass: no
     shuffle, and no state beyond a worker's memo of pieces.
     """
     if max_tokens < 1 or max_tokens & (max_tokens - 1):

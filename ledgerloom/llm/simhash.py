@@ -470,6 +470,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     low = found.groupBy("root").agg(F.min("node").alias("low"))
     later = found.join(low, "root").where("node <> low").select(F.col("node").alias("doc_id"))
     keep = own.select("doc_id", "version").join(later, "doc_id", "left_anti").selectExpr("doc_id as _node", "version as _version")
-    rows = docs.withColumns({"_node": node(), "_version": version()})
+    rows = docs.select(F.struct("*").alias("whole"), node().alias("_node"), version().alias("_version"))
     kept = rows.join(keep.hint("merge"), ["_node", "_version"], "left_semi")  # it grows with the input, so it is never broadcast
-    return kept.dropDuplicates(["_node", "_version"]).select(docs.columns)
+    return kept.dropDuplicates(["_node", "_version"]).select("whole.*")

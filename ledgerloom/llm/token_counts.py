@@ -15,6 +15,7 @@ each other.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import cache
 
@@ -46,9 +47,19 @@ def tokenizer(path: str | None = None):
     found = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
     found.no_padding()
     found.no_truncation()
+    if not has_stable_boundaries(json.loads(found.to_str())):
+        raise ValueError("the file needs the byte-level splitter, no normalizer, and special strings without white space")
     return found
 
 
+def has_stable_boundaries(file: dict) -> bool:
+    """Whether a space between two characters that are no white space always parts pre-tokens."""
+    splitter = file.get("pre_tokenizer") or {}
+    known = splitter.get("type") == "ByteLevel" and splitter.get("use_regex") and not splitter.get("add_prefix_space")
+    plain = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and not any(map(str.isspace, t["content"])) for t in file["added_tokens"])
+    return bool(known and plain and not file.get("normalizer"))
+
+
 @cache
 def encoder(path: str | None = None):
     """A function from texts to id arrays, with the results of ``tokenizer(path)``.

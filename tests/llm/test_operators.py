@@ -77,6 +77,15 @@ def test_splice_is_exact():
             assert got == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_other_splitters_are_refused():
+    import json
+
+    file = json.loads(token_counts.tokenizer().to_str())
+    assert token_counts.has_stable_boundaries(file)
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [file["added_tokens"][0] | {"content": "a b"}]}):
+        assert not token_counts.has_stable_boundaries(file | change)
+
+
 def test_other_tokenizer_file_and_huge_texts():
     import public_tokenizers
 
@@ -106,6 +115,7 @@ def test_counts_and_packing(spark, docs, odd):
         assert own[r.doc_id, r.start].ids_crc32 == zlib.crc32(r.ids)
     with pytest.raises(ValueError):
         packing.pack_documents(docs, max_tokens=1000)
+    assert packing.pack_documents(odd.where("false")).count() == token_counts.count_tokens(odd.where("false")).count() == 0
 
 
 def test_binary_pieces():
@@ -250,6 +260,51 @@ def test_license_beside_a_stronger_sibling(spark):
         assert abs(got[k, "GPL-2.0"].start - texts[k].index(weak)) < 10 and got[k, "GPL-2.0"].containment < 1
 
 
+def slow_licenses(text, templates, stretch, containment=0.8):
+    """Matches by a window at every word, ``stretch`` times a template long, without bands."""
+    word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(ASCII_LOWER))
+    grams = lambda w: [" ".join(w[i : i + 3]) for i in range(len(w) - 2)]
+    own, found = grams(word(text)), []
+    for name, _, notice in templates:
+        want = set(grams(word(notice)))
+        n = int(stretch * len(grams(word(notice))))
+        for i in range(len(own)):
+            share = len(want & set(own[i : i + n])) / len(want)
+            if share >= containment - 1e-9 and own[i] in want:
+                last = max(j for j in range(i, min(i + n, len(own))) if own[j] in want)
+                found.append((share, i, last + 2, name))
+    return found
+
+
+def test_licenses_by_brute_force(spark):
+    """Notices with words changed, dropped or added, against windows at every word."""
+    rng = random.Random(11)
+    vocab = [f"v{k}" for k in range(60)] + ["license", "the", "software", "under", "version"]
+    texts = []
+    for _ in range(150):
+        words = rng.choices(vocab, k=rng.randint(0, 80))
+        for _ in range(rng.randint(0, 2)):
+            notice = rng.choice(licenses.TEMPLATES)[2].split()
+            for _ in range(rng.randint(0, 2)):
+                at = rng.randrange(len(notice))
+                notice[at : at + rng.randint(0, 1)] = rng.choice([[], ["changed"]])
+            at = rng.randint(0, len(words))
+            words[at:at] = notice
+        texts.append(" ".join(words))
+    got = {k: set() for k in range(len(texts))}
+    for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        got[r.doc_id].add(r.license)
+    # a class of templates shares windows, so a match may be somewhat longer than its template
+    sure, most = ([slow_licenses(t, licenses.TEMPLATES, stretch) for t in texts] for stretch in (1, 1.8))
+    n = 0
+    for k in got:
+        top = max((share for share, *_ in most[k]), default=0)
+        strongest = {name for share, _, _, name in sure[k] if share == top}  # overlapped by nothing stronger
+        assert strongest <= got[k] <= {name for *_, name in most[k]}
+        n += len(strongest)
+    assert n > 50
+
+
 def test_band_guarantee():
     for j in (0.2, 0.5, 0.9):
         assert (1 - j) ** licenses.bands_needed(j, 1e-4) <= 1e-4
