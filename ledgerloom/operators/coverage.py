@@ -44,8 +44,20 @@ def class_totals(classes: DataFrame) -> DataFrame:
     return classes.groupBy("class").agg(F.count("*").alias("files"), F.sum("charge_count").alias("charge_rows"))
 
 
+#: What each state of the coverage means, in a sentence.
+SENTENCES = {
+    "nothing": "No hospital and no file matches, so look for another name.",
+    "no_files": "Hospitals match, but no file of theirs is loaded.",
+    "none_linked": "Files match, but none of them is linked to a hospital.",
+    "extra_files": "Every hospital has prices; some files beyond them are linked to none.",
+    "partly": "Some of the hospitals have prices, others have none.",
+    "all": "Every hospital has prices, and every file is linked or a copy of one that is.",
+}
+
+
 def diagnosis(classes: DataFrame, hospitals: DataFrame) -> DataFrame:
-    """One row: the counts and one of six states that they mean, over all matches.
+    """One row: the counts, one of six states that they mean, and its sentence, over all
+    matches.
 
     ``nothing``, ``no_files``, ``none_linked``, ``extra_files``, ``partly`` or ``all``.
     """
@@ -59,7 +71,8 @@ def diagnosis(classes: DataFrame, hospitals: DataFrame) -> DataFrame:
         .when(F.expr("covered < hospitals"), "partly")
         .otherwise("all")
     )
-    return beside(f, h).withColumn("diagnosis", state)
+    sentence = F.create_map(*[F.lit(x) for kv in SENTENCES.items() for x in kv])
+    return beside(f, h).withColumn("diagnosis", state).withColumn("sentence", F.element_at(sentence, F.col("diagnosis")))
 
 
 def coverage(hospitals: DataFrame, sources: DataFrame, pattern: str, state: str | None = None, limit: int = 200) -> dict[str, DataFrame]:

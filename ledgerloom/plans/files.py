@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import benchmarking, duplicates, store
+from ..operators import benchmarking, coverage, duplicates, linkage, store
 from ..session import shared_folder
 from ..sources import charges, cost_files, roster, texts
 from ..streaming import arrivals
-from . import catalog
+from . import catalog, contract
 from .catalog import _read, query
 from .derived import _roster
 
@@ -148,4 +149,37 @@ def peer_benchmark_by_state(spark, sf_dir):
     return benchmarking.peer_benchmark(c, benchmarking.cohort("state_all")).select("c_custkey", "cohort_size", "disclosure", "percentile_rank")
 
 
+def _coverage(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    known = contract.view(spark, sf_dir, "v_hospitals")
+    files = contract.view(spark, sf_dir, "v_sources").join(known.select("ccn", F.col("name").alias("hospital_name")), "ccn")
+    linked = F.when(F.col("ccn").cast("int") % 3 != 0, F.col("ccn"))
+    return coverage.coverage(known, files.select("source_file", "hospital_name", F.col("source_file").alias("ein"), linked.alias("ccn"), "charge_count"), "supplier", limit=20)
+
+
+@query("""with f as (select l_suppkey % 3 <> 0 as linked from lineitem group by l_suppkey) select count(*) as files, count(*) filter (linked) as linked, count(*) filter (not linked) as missing, (select count(*) from supplier) as hospitals, count(*) filter (linked) as covered, 'partly' as diagnosis from f""")
+def coverage_question(spark, sf_dir):
+    """What is held for a name, in one row."""
+    return _coverage(spark, sf_dir)["diagnosis"].drop("sentence")
+
+
+@query("""select source_file, charge_count, case when cast(ccn as int) % 3 <> 0 then 'linked' else 'missing' end as class from v_sources order by charge_count desc, source_file limit 20""")
+def coverage_files(spark, sf_dir):
+    """The largest files of a name."""
+    return _coverage(spark, sf_dir)["files"].select("source_file", "charge_count", "class")
+
+
+@query("""with f as (select lpad(cast(s_suppkey as varchar), 6, '0') as ccn, s_name as name, s_suppkey in (select l_suppkey from lineitem where l_suppkey % 3 <> 0) as covered from supplier) select * from f order by covered, name, ccn limit 20""")
+def coverage_hospitals(spark, sf_dir):
+    """Hospitals of a name, those without data first."""
+    return _coverage(spark, sf_dir)["hospitals"].select("ccn", "name", "covered")
+
+
+@query(f"""select 'z' || file as source_file, ccn, score, cast(file as int) % 50 as charge_rows from ({catalog.SQL["probable_matches"]}) order by 4 desc, score desc, 1, ccn limit 25""")
+def suggestion_order(spark, sf_dir):
+    """The review sheet, largest files first."""
+    parts = contract.view(spark, sf_dir, "v_parts")
+    files = parts.select(F.concat(F.lit("z"), "ccn").alias("source_file"), F.col("name").alias("hospital_name"), "state", (F.col("ccn").cast("int") % 50).cast("long").alias("charge_count"))
+    return linkage.suggestions(linkage.probable(files, parts), 25).select("source_file", "ccn", "score", "charge_rows")
+
+
 QUERIES, SQL = catalog.QUERIES, catalog.SQL
