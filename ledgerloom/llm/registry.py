@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +19,12 @@ from .token_counts import op9_token_counts
 from .toxicity import op8_toxicity
 from .url_filter import OP4_SQL, op4_url_filter
 
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline``, which stands at the repository's top."""
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in sys.path:  # the working folder may be another
+        sys.path.append(root)
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
