@@ -43,8 +43,6 @@ ALIASES = {
     "minimum negotiated charge": "standard_charge|min",
     "maximum negotiated charge": "standard_charge|max",
 }
-#: Every row that names data columns has one of these somewhere.
-TELLING = (*STRONG, *WEAK[1:], "standard_charge|", "payer negotiated charge:", *(k for k, v in ALIASES.items() if v in STRONG))
 RATE_FIELDS = ("negotiated_dollar", "negotiated_percentage", "negotiated_algorithm", "methodology")
 METRIC_FIELDS = ("median_amount", "10th_percentile", "90th_percentile", "count", "additional_payer_notes")
 PAYER_IN_NAME = r"(?i)^payer negotiated charge:\s*(.+?)\s*\(plan:\s*(.+?)\)\s*$"
@@ -147,10 +145,15 @@ def read_lines(spark: SparkSession, path: str, profile: DataFrame | None = None)
     return out
 
 
-def canonical_header(row: Column) -> Column:
-    """Known vendor names rewritten; ``Payer Negotiated Charge: P (Plan: L)`` becomes a
+def telling(aliases: dict[str, str] = ALIASES) -> tuple[str, ...]:
+    """Every row that names data columns has one of these somewhere."""
+    return (*STRONG, *WEAK[1:], "standard_charge|", "payer negotiated charge:", *(k for k, v in aliases.items() if v in STRONG))
+
+
+def canonical_header(row: Column, aliases: dict[str, str] = ALIASES) -> Column:
+    """Known vendor names (``aliases``, lower-cased) rewritten; ``Payer Negotiated Charge: P (Plan: L)`` becomes a
     column of payer P and plan L."""
-    table = F.create_map(*[F.lit(x) for kv in ALIASES.items() for x in kv])
+    table = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
 
     def one(c: Column) -> Column:
         t = F.trim(c)
@@ -160,9 +163,9 @@ def canonical_header(row: Column) -> Column:
     return F.transform(row, one)
 
 
-def is_data_header(row: Column) -> Column:
+def is_data_header(row: Column, aliases: dict[str, str] = ALIASES) -> Column:
     """Evidence that a row names the data's columns, not the metadata's."""
-    names = F.transform(canonical_header(row), lambda c: F.lower(F.trim(c)))
+    names = F.transform(canonical_header(row, aliases), lambda c: F.lower(F.trim(c)))
     listed = lambda words: F.array(*map(F.lit, words))
     meta = F.arrays_overlap(names, listed(METADATA)) | F.exists(names, lambda c: c.startswith("license_number"))
     wide = F.exists(names, lambda c: c.startswith("standard_charge|") & (F.size(F.split(c, r"\|")) >= 3))
@@ -170,7 +173,7 @@ def is_data_header(row: Column) -> Column:
     return ~meta & (F.arrays_overlap(names, listed(STRONG)) | wide | weak)
 
 
-def headers(lines: DataFrame) -> DataFrame:
+def headers(lines: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFrame:
     """One row for each file with a data header: its line, names, layout, positions and
     payer groups, and the metadata from the two rows above it.
 
@@ -178,8 +181,8 @@ def headers(lines: DataFrame) -> DataFrame:
     content stand above it.  One look at the joined cells tells almost all data rows, so
     the evidence is weighed for a few rows only and no file is put in order."""
     joined = F.lower(F.array_join("row", "\n"))
-    may_be = reduce(or_, (F.contains(joined, F.lit(w)) for w in TELLING))
-    able = lines.where(F.when(may_be, is_data_header(F.col("row"))))  # weighed in no other row
+    may_be = reduce(or_, (F.contains(joined, F.lit(w)) for w in telling(aliases)))
+    able = lines.where(F.when(may_be, is_data_header(F.col("row"), aliases)))  # weighed in no other row
     first = able.groupBy("source_file").agg(F.min("line").alias("header_line"), F.min_by("row", "line").alias("raw"))
     filled = F.array_join("row", "").rlike(r"(?U)[^\s\x00-\x1f\x7f]")
     above = lines.join(first.select("source_file", "header_line"), "source_file").where(F.col("line") < F.col("header_line")).where(filled)
@@ -188,7 +191,7 @@ def headers(lines: DataFrame) -> DataFrame:
     before = above.join(meta.select("source_file", F.col("last.line").alias("last_line")), "source_file").where(F.col("line") < F.col("last_line"))
     names_row = before.groupBy("source_file").agg(F.max_by("row", "line").alias("meta_header"))
     meta = meta.join(names_row, "source_file", "left")
-    names = canonical_header(F.col("raw"))
+    names = canonical_header(F.col("raw"), aliases)
     lowered = F.transform("header", lambda c: F.lower(F.trim(c)))
     out = first.join(meta, "source_file", "left").where(F.coalesce("above", F.lit(0)) <= MAX_PREAMBLE)
     out = out.select("source_file", "header_line", names.alias("header"), "meta_header", F.when(F.col("meta_header").isNotNull(), F.col("last.row")).alias("meta_values"))

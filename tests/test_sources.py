@@ -88,6 +88,15 @@ def test_rows_wider_than_the_head(spark, tmp_path, monkeypatch):
             assert (r.description, r.code, r.gross_charge) == ("CT", "1", None)
 
 
+def test_vendor_names_as_an_argument(spark):
+    rows = [("v", 0, ["Artikel", "Preis"]), ("v", 1, ["MRI", "7"])]
+    lines = spark.createDataFrame(rows, "source_file string, line long, row array<string>")
+    assert charges.headers(lines).count() == 0
+    own = charges.ALIASES | {"artikel": "description", "preis": "standard_charge|gross"}
+    found = charges.charges(lines, charges.headers(lines, own)).collect()
+    assert [(r.description, float(r.gross_charge)) for r in found] == [("MRI", 7.0)]
+
+
 def test_header_after_a_preamble(spark):
     rows = [("eight", k, ["text", str(k)]) for k in range(8)] + [("nine", k, ["text", str(k)]) for k in range(9)]
     rows += [("none", 0, ["", " "]), ("none", 1, ["a", "b"])]
