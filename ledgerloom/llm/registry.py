@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import OP6_SQL, op6_decontamination
+from .divergence import OP12_SQL, op12_source_divergence
 from .langid import op3_language_id
 from .licenses import op1_license_scan
 from .media import op10_media_copies
@@ -45,9 +46,10 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_token_counts": op9_token_counts,
         "op10_media_copies": op10_media_copies,
+        "op12_source_divergence": op12_source_divergence,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": OP4_SQL, "op6_decontamination": OP6_SQL}
+    return {"op4_url_filter": OP4_SQL, "op6_decontamination": OP6_SQL, "op12_source_divergence": OP12_SQL}
