@@ -19,6 +19,7 @@ from .simhash import op7_simhash
 from .token_counts import op9_token_counts
 from .toxicity import op8_toxicity
 from .url_filter import OP4_SQL, op4_url_filter
+from .variants import op13_spelling_variants
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,7 @@ def queries() -> dict[str, Query]:
         "op9_token_counts": op9_token_counts,
         "op10_media_copies": op10_media_copies,
         "op12_source_divergence": op12_source_divergence,
+        "op13_spelling_variants": op13_spelling_variants,
         "pipeline": pipeline,
     }
 
