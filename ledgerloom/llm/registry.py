@@ -14,6 +14,7 @@ from .langid import op3_language_id
 from .licenses import op1_license_scan
 from .media import op10_media_copies
 from .packing import op5_packing
+from .set_join import op11_jaccard_join
 from .sharding import op2_sharding
 from .simhash import op7_simhash
 from .token_counts import op9_token_counts
@@ -47,6 +48,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_token_counts": op9_token_counts,
         "op10_media_copies": op10_media_copies,
+        "op11_jaccard_join": op11_jaccard_join,
         "op12_source_divergence": op12_source_divergence,
         "op13_spelling_variants": op13_spelling_variants,
         "pipeline": pipeline,
