@@ -40,11 +40,11 @@ def most_differences(a_size: int, b_size: int, similarity: tuple[int, int] = SIM
 
 
 def band_edges(most: int, similarity: tuple[int, int] = SIMILARITY, growth: float = GROWTH) -> list[int]:
-    """Where bands of sizes begin: 1, the first size that may link with another, and so on
-    beyond ``most``."""
+    """Where bands of sizes begin: 1, the first size that may link with another, and so on;
+    a set of size ``most`` has a whole band above its own."""
     a, b = similarity
     edges = [1, ceil((a + b) / (b - a) / 2)]
-    while edges[-1] <= most:
+    while len(edges) < 3 or edges[-2] <= most:
         edges.append(max(edges[-1] + 1, int(edges[-1] * growth)))
     return edges
 

@@ -71,10 +71,10 @@ def word_counts(docs: DataFrame, least_letters: int = LEAST_LETTERS, one_in: int
     return with_defaults(docs, doc_id="long", text="string").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def prefixes(words: DataFrame) -> DataFrame:
+def prefixes(words: DataFrame, first_at: int) -> DataFrame:
     """``(path, at, node, next)``: of each word (``path`` is twice its number) and of the word
-    backwards (one more) every beginning, by length and hash, and the code point that
-    follows, -1 at the end.  Equal beginnings have equal hashes; that a hash may stand for
+    backwards (one more) every beginning of ``first_at`` letters or more, by length and
+    hash, and the code point that follows, -1 at the end.  Equal beginnings have equal hashes; that a hash may stand for
     several is mended where neighbours are proved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,8 +87,9 @@ def prefixes(words: DataFrame) -> DataFrame:
                 for back in (0, 1):
                     size, own = (n[::-1], codes[::-1]) if back else (n, codes)
                     first = np.append(0, np.cumsum(size))[:-1]
-                    row = np.repeat(np.arange(len(size)), size + 1)
-                    at = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(size + 1))[:-1], size + 1)
+                    times = size + 1 - first_at
+                    row = np.repeat(np.arange(len(size)), times)
+                    at = first_at + np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(times))[:-1], times)
                     node = Rolling(own).spans(first[row], first[row] + at) ^ (_BACKWARDS * np.uint64(back))
                     follows = np.where(at < size[row], np.append(own, 0).astype(np.int64)[np.minimum(first[row] + at, len(own))], -1)
                     ids = batch.column("id").to_numpy()
@@ -98,15 +99,16 @@ def prefixes(words: DataFrame) -> DataFrame:
     return words.select("id", "word").mapInArrow(run, "path long, at int, node long, next int")
 
 
-def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
+def trie(words: DataFrame, first_at: int) -> tuple[DataFrame, DataFrame]:
     """``paths(path, s, steps)`` and ``edges(parent, child, label, ends, nexts, rests)`` of
     ``words(id, word)``, both written.
 
-    A node is the root, an end of a word, or where words part.  ``ends`` says that a word
+    A node is a beginning of ``first_at`` letters (of which each has a trie of its own), an
+    end of a word, or where words part.  ``ends`` says that a word
     ends at the child; the bits of ``nexts`` are the code points that follow it, and those
     of ``rests`` the numbers of letters that do, both modulo 64."""
-    every = prefixes(words)
-    nodes = every.groupBy("node").agg(F.min("next").alias("lo"), F.max("next").alias("hi"), F.min("at").alias("at")).where("lo <> hi or lo = -1 or at = 0").select("node")
+    every = prefixes(words, first_at)
+    nodes = every.groupBy("node").agg(F.min("next").alias("lo"), F.max("next").alias("hi"), F.min("at").alias("at")).where(f"lo <> hi or lo = -1 or at = {first_at}").select("node")
     steps = every.join(nodes.hint("merge"), "node").groupBy("path").agg(F.array_sort(F.collect_list(F.struct("at", "node", "next"))).alias("steps"))  # of one word
     s = F.when(F.col("path") % 2 == 0, F.col("word")).otherwise(F.reverse("word")).alias("s")
     paths = cut(steps.withColumn("id", F.expr("path div 2")).join(words.select("id", "word"), "id").select("path", s, "steps"), "paths")
@@ -122,24 +124,25 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _moved(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states one edge further: with the label's letters, or with one edit in them.
 
-    A state with its edit spent must find all the rest of its word, so it is left out
-    where the child says that no such rest follows."""
+    A state with its edit spent must find all the rest of its word, so letters are only
+    compared where the child has such a rest: as many letters, and this letter first."""
     joined = states.join(edges, states["node"] == edges["parent"])
     joined = joined.withColumns({"n": F.expr("char_length(label)"), "left": F.expr("char_length(s) - at")})
     part = lambda more: F.expr(f"substring(s, at + 1, n + {more})")
-    one = lambda more: (F.col("edits") == 0) & (F.col("left") >= F.col("n") + more) & (F.levenshtein(part(more), F.col("label"), 1) == 1)
-    to = lambda more, edits: F.struct((F.col("at") + F.col("n") + more).alias("at"), F.lit(edits).alias("edits"))
-    moves = F.array_compact(F.array(F.when(part(0) == F.col("label"), F.struct((F.col("at") + F.col("n")).alias("at"), F.col("edits").alias("edits"))), *[F.when(one(more), to(more, 1)) for more in (0, -1, 1)]))
-    gone = joined.select("path", "s", F.explode(moves).alias("m"), F.col("child").alias("node"), "ends", "nexts", "rests").select("path", "s", "m.at", "node", "m.edits", "ends", "nexts", "rests")
-    rest = "char_length(s) - at"
-    open_ = f"({rest} > 0 and (rests & shiftleft(1L, ({rest}) % 64)) <> 0 and (nexts & shiftleft(1L, ascii(substring(s, at + 1, 1)) % 64)) <> 0)"
-    return gone.where(f"edits = 0 or ({rest} = 0 and ends) or {open_}").select("path", "s", "at", "node", "edits", "ends")
+    goes_on = lambda more: F.expr(
+        f"left = n + {more} and ends or left > n + {more} and (rests & shiftleft(1L, (left - n - {more}) % 64)) <> 0 and (nexts & shiftleft(1L, ascii(substring(s, at + n + {more} + 1, 1)) % 64)) <> 0"
+    )
+    to = lambda more, edits: F.struct((F.col("at") + F.col("n") + more).alias("at"), edits.alias("edits"))
+    same = F.when(((F.col("edits") == 0) | goes_on(0)) & (part(0) == F.col("label")), to(0, F.col("edits")))
+    edited = [F.when((F.col("edits") == 0) & goes_on(more) & (F.levenshtein(part(more), F.col("label"), 1) == 1), to(more, F.lit(1))) for more in (0, -1, 1)]
+    moved = joined.select("path", "s", F.col("child").alias("node"), "ends", F.explode(F.array_compact(F.array(same, *edited))).alias("m"))
+    return moved.select("path", "s", "m.at", "node", "m.edits", "ends")
 
 
-def neighbours(words: DataFrame) -> DataFrame:
+def neighbours(words: DataFrame, least_letters: int = 1) -> DataFrame:
     """``(word, other)``: every two different words of ``words(id, word)``, a written table of
-    distinct words, that are one edit apart, in both orders."""
-    paths, edges = trie(words)
+    distinct words of ``least_letters`` or more, that are one edit apart, in both orders."""
+    paths, edges = trie(words, (least_letters - 1) // 2)  # no walk begins before
     middle = F.expr("filter(steps, x -> x.at <= (char_length(s) - 1) div 2)")
     begin = F.element_at(middle, -1)
     states = paths.select("path", "s", begin["at"].alias("at"), begin["node"].alias("node"), F.lit(0).alias("edits"))
@@ -167,7 +170,7 @@ def variants(docs: DataFrame, least_letters: int = LEAST_LETTERS, least_count: i
     handled: nothing is quadratic in it."""
     counted = word_counts(docs, least_letters, one_in).where(F.col("n") >= least_count)
     words = cut(counted.withColumn("id", F.monotonically_increasing_id()), "words")  # numbered once
-    near = neighbours(words).join(words.select(F.col("word").alias("other"), F.col("n").alias("other_n")), "other")
+    near = neighbours(words, least_letters).join(words.select(F.col("word").alias("other"), F.col("n").alias("other_n")), "other")
     best = near.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("low"), F.col("other").alias("other"))).alias("b"))
     rows = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.col("b.other").alias("other"), (-F.col("b.low")).alias("other_n"))
     like = F.col("other_n") >= form_times * F.col("n")
