@@ -13,7 +13,7 @@ they cost for the sizes that were counted.  Candidates are then compared exactly
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import ceil, exp, log
 
 import numpy as np
@@ -100,6 +100,34 @@ def set_keys(h: np.ndarray, band: int, plan: Allocation) -> tuple[np.ndarray, np
     return keys[plan.deletions :], np.unique(np.concatenate([keys[: plan.deletions], without]))
 
 
+def parity(h: np.ndarray, differences: int) -> np.ndarray:
+    """A bit for each of some 8 times as many cells as differences are allowed: whether an odd
+    number of the set's elements falls there.  Bits in which two sets differ are at most as
+    many as elements in which they do."""
+    width = 1 << max(6, (8 * differences - 1).bit_length())
+    cells = np.bincount((mix(h) & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((cells & 1).astype(bool), bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The same parities for fewer cells, a smaller power of two."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
+
+
+def may_link(bits: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: tuple[int, int], at_once: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For some rows of ``left`` at a time: which of ``right`` may be alike, by sizes and parities."""
+    words = min(len(b) for b in bits)
+    own = np.stack([folded(b, words) for b in bits])
+    a, b = similarity
+    for lo in range(0, len(left), at_once):
+        some = left[lo : lo + at_once]
+        apart = np.zeros((len(some), len(right)), np.int64)
+        for k in range(words):
+            apart += np.bitwise_count(own[some, k][:, None] ^ own[right, k][None, :])
+        x, y = sizes[some][:, None], sizes[right][None, :]
+        yield some, ((a + b) * apart <= (b - a) * (x + y)) & (b * np.minimum(x, y) >= a * np.maximum(x, y))
+
+
 def bands_of(size: int, edges: list[int], similarity: tuple[int, int] = SIMILARITY) -> list[int]:
     """A set's own band, and the next one where a set of it may be alike."""
     a, b = similarity
@@ -108,20 +136,21 @@ def bands_of(size: int, edges: list[int], similarity: tuple[int, int] = SIMILARI
 
 
 def described(rows: DataFrame, plans: list[Allocation | None], edges: list[int], words: int, similarity: tuple[int, int]) -> DataFrame:
-    """``(row, doc_id, version, size, same, keys)`` of ``rows(row, doc_id, text, version)``:
-    the set's size, its digest (null without words) and its keys with their bands, negative
-    (-1 - band) for keys of threshold 1."""
+    """``(row, doc_id, version, size, same, sketch, keys)`` of ``rows(row, doc_id, text,
+    version)``: the set's size, its digest (null without words), its parities, and its keys
+    with their bands, negative (-1 - band) for keys of threshold 1."""
     key = pa.struct([("key", pa.int64()), ("band", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         for batch in batches:
-            size, same, found, kinds, ends = [], [], [], [], [0]
+            size, same, sketch, found, kinds, ends = [], [], [], [], [], [0]
             for text in map(_bytes, batch.column("text")):
                 h = np.unique(shingle_hashes(text, words))
                 size.append(len(h))
                 same.append(xxh3_128_digest(h.tobytes()) if len(h) else None)
+                sketch.append(parity(h, most_differences(len(h), len(h), similarity)).tobytes())
                 n = ends[-1]
                 for band in bands_of(len(h), edges, similarity) if len(h) else ():
                     if plans[band] is None:
@@ -133,9 +162,9 @@ def described(rows: DataFrame, plans: list[Allocation | None], edges: list[int],
                 ends.append(n)
             values = [pa.array(np.concatenate(x) if x else np.zeros(0, kind)) for x, kind in ((found, np.int64), (kinds, np.int32))]
             keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(values, fields=list(key)))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), batch.column("version"), pa.array(size, pa.int64()), pa.array(same, pa.binary()), keys], ["row", "doc_id", "version", "size", "same", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), batch.column("version"), pa.array(size, pa.int64()), pa.array(same, pa.binary()), pa.array(sketch, pa.binary()), keys], ["row", "doc_id", "version", "size", "same", "sketch", "keys"])
 
-    return rows.mapInArrow(run, "row long, doc_id long, version long, size long, same binary, keys array<struct<key:bigint,band:int>>")
+    return rows.mapInArrow(run, "row long, doc_id long, version long, size long, same binary, sketch binary, keys array<struct<key:bigint,band:int>>")
 
 
 def shared_keys(keyed: DataFrame, plans: list[Allocation | None]) -> DataFrame:
@@ -153,21 +182,36 @@ def shared_keys(keyed: DataFrame, plans: list[Allocation | None]) -> DataFrame:
     return found.select("key", "doc_id", "size").distinct()
 
 
-def set_links(keyed: DataFrame, shingles: DataFrame, similarity: float, least_tile: int = LEAST_TILE) -> DataFrame:
+def set_links(keyed: DataFrame, sketches: DataFrame, shingles: Callable[[DataFrame], DataFrame], similarity: tuple[int, int] = SIMILARITY, least_tile: int = LEAST_TILE) -> DataFrame:
     """Links ``(a, b)`` of sets of ``keyed(key, doc_id, size)`` that share a key and are
     alike, enough of them to reach whatever all such links reach.
 
-    ``shingles`` gives ``(doc_id, shingles)`` for a table of ids.  A set is first compared
-    with the two sets of each of its keys that come first and last by a hash, mostly the
-    same ones; then every pair of a key that those links leave apart is compared, tile by
-    tile, so a group is bounded and no pair is lost."""
+    ``sketches(doc_id, size, sketch)`` has the sets' parities, ``shingles`` gives
+    ``(doc_id, shingles)`` for a table of ids.  A set is first compared with the two sets
+    of each of its keys that come first and last by a hash, mostly the same ones; then
+    every pair of a key that those links leave apart is compared, tile by tile, so a group
+    is bounded and no pair is lost.  Parities rule out most pairs before shingles travel."""
+    fraction = similarity[0] / similarity[1]
     entry = F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("leader"))
     keys = cut(keyed.groupBy("key").agg(F.array(F.min(entry), F.max(entry)).alias("l"), F.count("*").alias("n")).where("n > 1"), "keys")
     lead = keys.select("key", F.explode("l.leader").alias("leader"))
     pairs = keyed.join(lead, "key").where(F.col("doc_id") != F.col("leader"))
-    pairs = cut(pairs.select(F.least("leader", "doc_id").alias("leader"), F.greatest("leader", "doc_id").alias("doc_id")).distinct(), "pairs")
-    wanted = pairs.select(F.col("leader").alias("doc_id")).unionByName(pairs.select("doc_id")).distinct()
-    known = cut(shingles.join(wanted, "doc_id", "left_semi"), "shingles")
+    pairs = pairs.select(F.least("leader", "doc_id").alias("leader"), F.greatest("leader", "doc_id").alias("doc_id")).distinct()
+    of = lambda name: sketches.select(F.col("doc_id").alias(name), F.struct("size", "sketch").alias(f"of_{name}"))
+
+    def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("of_leader").to_pylist(), batch.column("of_doc_id").to_pylist(), strict=True):
+                bits = [np.frombuffer(s["sketch"], np.uint64) for s in (x, y)]
+                ((_, found),) = may_link(bits, np.array([x["size"], y["size"]]), np.array([0]), np.array([1]), similarity)
+                keep.append(bool(found[0, 0]))
+            yield batch.select(["leader", "doc_id"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = cut(pairs.join(of("leader"), "leader").join(of("doc_id"), "doc_id").mapInArrow(plausible, "leader long, doc_id long"), "pairs")
+    many = cut(keyed.join(keys.where("n > 3").select("key"), "key"), "many")  # of three sets the leaders' pairs are all
+    wanted = pairs.select(F.col("leader").alias("doc_id")).unionByName(pairs.select("doc_id")).unionByName(many.select("doc_id")).distinct()
+    known = cut(shingles(wanted), "shingles")
     side = lambda name: known.select(F.col("doc_id").alias(name), F.col("shingles").alias(f"of_{name}"))
     both = pairs.join(side("leader").hint("merge"), "leader").join(side("doc_id").hint("merge"), "doc_id")
 
@@ -176,19 +220,36 @@ def set_links(keyed: DataFrame, shingles: DataFrame, similarity: float, least_ti
             keep = []
             for x, y in zip(_lists(batch.column("of_leader")), _lists(batch.column("of_doc_id")), strict=True):
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= similarity * (len(x) + len(y) - common) and common > 0)
+                keep.append(common >= fraction * (len(x) + len(y) - common) and common > 0)
             yield pa.RecordBatch.from_arrays([batch.column("leader"), batch.column("doc_id")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a group that may link with a row of another part (and tile)."""
+        for group in _runs(batches):
+            bits = [np.frombuffer(s, np.uint64) for s in group.column("sketch").to_pylist()]
+            sizes, part, tile = (group.column(c).to_numpy() for c in ("size", "part", "tile"))
+            split = int(np.argmax(tile != tile[0]))
+            left, right = (np.arange(split), np.arange(split, len(bits))) if split else (np.arange(len(bits)),) * 2
+            keep = np.zeros(len(bits), bool)
+            for some, found in may_link(bits, sizes, left, right, similarity):
+                found &= part[some][:, None] != part[right][None, :]
+                keep[some] |= found.any(axis=1)
+                keep[right] |= found.any(axis=0)
+            if keep.any():
+                yield from group.select(["grp", "tile", "doc_id"]).filter(pa.array(keep)).to_batches()
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches):
-            a, b = forest(alike(_lists(group.column("shingles")), group.column("tile").to_numpy(), similarity), group.column("doc_id").to_numpy())
+            a, b = forest(alike(_lists(group.column("shingles")), group.column("tile").to_numpy(), fraction), group.column("doc_id").to_numpy())
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     led = cut(both.mapInArrow(verify, "a long, b long"), "led")
-    members = keyed.join(keys.where("n > 3").select("key"), "key").join(known_parts(led), "doc_id", "left")
-    members = cut(members.select("key", "doc_id", "size", F.coalesce("part", "doc_id").alias("comp")), "members")
-    groups = cut(band_groups(members, least_tile), "groups")
+    parts = cut(known_parts(led), "parts")
+    members = cut(many.join(parts, "doc_id", "left").select("key", "doc_id", "size", F.coalesce("part", "doc_id").alias("comp")), "members")
+    of_part = sketches.join(parts, "doc_id", "left").select("doc_id", "size", "sketch", F.coalesce("part", "doc_id").alias("part"))
+    near = band_groups(members, least_tile).join(of_part.hint("merge"), "doc_id").repartition("grp").sortWithinPartitions("grp", "tile")
+    groups = cut(near.mapInArrow(sift, "grp string, tile string, doc_id long"), "groups")
     grown = groups.join(known.hint("merge"), "doc_id").repartition("grp").sortWithinPartitions("grp", "tile")
     return led.unionByName(grown.mapInArrow(compare, "a long, b long"))
 
@@ -204,7 +265,6 @@ def join(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMI
     rows all lack an id has none.  Repeated rows each come back, other columns are ignored,
     an empty table gives none.  Sets are of 64-bit hashes.  ``plans`` and ``edges``
     (both or none) take the place of what the model chooses."""
-    a, b = similarity
     rows = with_defaults(docs, doc_id="long", text="string")
     version = F.xxhash64(F.coalesce("text", F.lit("")))
     if plans is None:
@@ -220,7 +280,7 @@ def join(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMI
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", version.alias("version"))
     own = cut(described(numbered, plans, edges, words, similarity), "described")  # row numbers are written once
     full = own.where("same is not null")
-    sets = cut(full.groupBy("same").agg(F.min(F.struct("row", "doc_id", "version", "size", "keys")).alias("r"), F.min("doc_id").alias("low")).select("same", "low", "r.*"), "sets")
+    sets = cut(full.groupBy("same").agg(F.min(F.struct("row", "doc_id", "version", "size", "sketch", "keys")).alias("r"), F.min("doc_id").alias("low")).select("same", "low", "r.*"), "sets")
     keyed = sets.select(F.explode("keys").alias("k"), F.col("row").alias("doc_id"), "size").select("k.key", "k.band", "doc_id", "size")
     keyed = cut(shared_keys(keyed, plans), "shared")
 
@@ -230,9 +290,13 @@ def join(docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMI
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 
     id_ = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    wanted = sets.join(keyed.select(F.col("doc_id").alias("row")).distinct(), "row", "left_semi").select("row", id_.alias("id"), "version")
-    texts = rows.select(id_.alias("id"), "text", version.alias("version")).join(wanted, ["id", "version"]).dropDuplicates(["row"])
-    found = components(set_links(keyed, texts.select("row", "text").mapInArrow(shingles_of, "doc_id long, shingles array<long>"), a / b, least_tile))
+    texts = rows.select(id_.alias("id"), "text", version.alias("version"))
+
+    def shingles(ids: DataFrame) -> DataFrame:
+        wanted = sets.join(ids.withColumnRenamed("doc_id", "row"), "row", "left_semi").select("row", id_.alias("id"), "version")
+        return texts.join(wanted, ["id", "version"]).dropDuplicates(["row"]).select("row", "text").mapInArrow(shingles_of, "doc_id long, shingles array<long>")
+
+    found = components(set_links(keyed, sets.select(F.col("row").alias("doc_id"), "size", "sketch"), shingles, similarity, least_tile))
     reach = found.join(sets.select(F.col("row").alias("node"), "low"), "node")
     lows = reach.groupBy("root").agg(F.min("low").alias("least"))
     least = reach.join(lows, "root").select(F.col("node").alias("row"), "least")
