@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .divergence import equal_spans
 from .shared import cut, with_defaults
-from .textbytes import Rolling
+from .textbytes import Rolling, buffers
 
 #: One run in so many loses a letter; letters and occurrences of a word, at least; how
 #: many times as frequent a word's form is, at least.
@@ -74,8 +75,8 @@ def word_counts(docs: DataFrame, least_letters: int = LEAST_LETTERS, one_in: int
 def prefixes(words: DataFrame, first_at: int) -> DataFrame:
     """``(path, at, node, next)``: of each word (``path`` is twice its number) and of the word
     backwards (one more) every beginning of ``first_at`` letters or more, by length and
-    hash, and the code point that follows, -1 at the end.  Equal beginnings have equal hashes; that a hash may stand for
-    several is mended where neighbours are proved."""
+    hash, and the code point that follows, -1 at the end.  Equal beginnings have equal
+    hashes; that a hash may stand for several is mended where neighbours are proved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -100,63 +101,105 @@ def prefixes(words: DataFrame, first_at: int) -> DataFrame:
 
 
 def trie(words: DataFrame, first_at: int) -> tuple[DataFrame, DataFrame]:
-    """``paths(path, s, steps)`` and ``edges(parent, child, label, ends, nexts, rests)`` of
-    ``words(id, word)``, both written.
+    """``paths(path, s, steps)`` and ``nodes(node, edges)`` of ``words(id, word)``, both
+    written; an edge is (child, label, ends, nexts, rests), and no two of a node begin with
+    the same letter, so they are as many as the alphabet has.  Words are bytes, one a letter.
 
     A node is a beginning of ``first_at`` letters (of which each has a trie of its own), an
-    end of a word, or where words part.  ``ends`` says that a word
-    ends at the child; the bits of ``nexts`` are the code points that follow it, and those
+    end of a word, or where words part.  ``ends`` says that a word ends at the child; the bits of ``nexts`` are the code points that follow it, and those
     of ``rests`` the numbers of letters that do, both modulo 64."""
     every = prefixes(words, first_at)
     nodes = every.groupBy("node").agg(F.min("next").alias("lo"), F.max("next").alias("hi"), F.min("at").alias("at")).where(f"lo <> hi or lo = -1 or at = {first_at}").select("node")
     steps = every.join(nodes.hint("merge"), "node").groupBy("path").agg(F.array_sort(F.collect_list(F.struct("at", "node", "next"))).alias("steps"))  # of one word
-    s = F.when(F.col("path") % 2 == 0, F.col("word")).otherwise(F.reverse("word")).alias("s")
+    s = F.when(F.col("path") % 2 == 0, F.col("word")).otherwise(F.reverse("word"))
+    s = F.encode(s, "ISO-8859-1").alias("s")
     paths = cut(steps.withColumn("id", F.expr("path div 2")).join(words.select("id", "word"), "id").select("path", s, "steps"), "paths")
     pair = F.explode(F.arrays_zip(F.slice("steps", F.lit(1), F.size("steps") - 1).alias("a"), F.slice("steps", F.lit(2), F.size("steps") - 1).alias("b"))).alias("e")
     each = paths.select("s", pair).select(
         F.col("e.a.node").alias("parent"), F.col("e.b.node").alias("child"), F.expr("substring(s, e.a.at + 1, e.b.at - e.a.at)").alias("label"), (F.col("e.b.next") == -1).alias("ends"),
-        F.expr("if(e.b.next = -1, 0L, shiftleft(1L, e.b.next % 64))").alias("nexts"), F.expr("shiftleft(1L, (char_length(s) - e.b.at) % 64)").alias("rests"),
+        F.expr("if(e.b.next = -1, 0L, shiftleft(1L, e.b.next % 64))").alias("nexts"), F.expr("shiftleft(1L, (octet_length(s) - e.b.at) % 64)").alias("rests"),
     )
     edges = each.groupBy("parent", "child", "label").agg(F.max("ends").alias("ends"), F.bit_or("nexts").alias("nexts"), F.bit_or("rests").alias("rests"))
-    return paths, cut(edges, "edges")
-
-
-def _moved(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """The states one edge further: with the label's letters, or with one edit in them.
-
-    A state with its edit spent must find all the rest of its word, so letters are only
-    compared where the child has such a rest: as many letters, and this letter first."""
-    joined = states.join(edges, states["node"] == edges["parent"])
-    joined = joined.withColumns({"n": F.expr("char_length(label)"), "left": F.expr("char_length(s) - at")})
-    part = lambda more: F.expr(f"substring(s, at + 1, n + {more})")
-    goes_on = lambda more: F.expr(
-        f"left = n + {more} and ends or left > n + {more} and (rests & shiftleft(1L, (left - n - {more}) % 64)) <> 0 and (nexts & shiftleft(1L, ascii(substring(s, at + n + {more} + 1, 1)) % 64)) <> 0"
-    )
-    to = lambda more, edits: F.struct((F.col("at") + F.col("n") + more).alias("at"), edits.alias("edits"))
-    same = F.when(((F.col("edits") == 0) | goes_on(0)) & (part(0) == F.col("label")), to(0, F.col("edits")))
-    edited = [F.when((F.col("edits") == 0) & goes_on(more) & (F.levenshtein(part(more), F.col("label"), 1) == 1), to(more, F.lit(1))) for more in (0, -1, 1)]
-    moved = joined.select("path", "s", F.col("child").alias("node"), "ends", F.explode(F.array_compact(F.array(same, *edited))).alias("m"))
-    return moved.select("path", "s", "m.at", "node", "m.edits", "ends")
+    nodes = edges.groupBy(F.col("parent").alias("node")).agg(F.collect_list(F.struct("child", "label", "ends", "nexts", "rests")).alias("edges"))
+    return paths, cut(nodes, "nodes")
+
+
+def one_edit(a: bytes, b: bytes) -> bool:
+    """Whether exactly one byte inserted, deleted or replaced makes one the other; their
+    lengths differ by one at most."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    at = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
+    return a[at:] == b[at + 1 :]
+
+
+def _moves(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The states of a batch one edge further: with the label's letters, or with one edit
+    among them.  A state with its edit spent must find all the rest of its word, so letters
+    are only compared where the child has such a rest: as many letters, and this one first."""
+    data, first = buffers(batch.column("s"))
+    edges = batch.column("edges")
+    k = np.repeat(np.arange(batch.num_rows), edges.value_lengths().to_numpy())
+    flat = edges.flatten()
+    child, nexts, rests = (flat.field(c).to_numpy().view(np.uint64) for c in ("child", "nexts", "rests"))
+    ends = flat.field("ends").to_numpy(zero_copy_only=False)
+    letters, begin = buffers(flat.field("label"))
+    n, at, edits = np.diff(begin), batch.column("at").to_numpy().astype(np.int64)[k], batch.column("edits").to_numpy()[k]
+    here, left = first[k] + at, np.diff(first)[k] - at
+    bit = lambda mask, place: (mask >> (place % 64).astype(np.uint64)) & np.uint64(1) > 0
+
+    def goes_on(more: int) -> np.ndarray:
+        rest = left - n - more
+        follows = data[np.minimum(here + n + more, len(data) - 1)]
+        return (rest == 0) & ends | (rest > 0) & bit(rests, np.maximum(rest, 0)) & bit(nexts, follows.astype(np.int64))
+
+    fits = (left >= n) & ((edits == 0) | goes_on(0))
+    fits[fits] = equal_spans(data, here[fits], letters, begin[:-1][fits], n[fits])
+    found = [(np.flatnonzero(fits), 0, edits[fits])]
+    for more in (0, -1, 1):
+        some = np.flatnonzero((edits == 0) & (left >= n + more) & goes_on(more))
+        if more == -1:  # a label of one letter is inserted whole
+            sure, some = some[n[some] == 1], some[n[some] > 1]
+        else:
+            sure = some[:0]
+        kept = [j for j, x, w, y, m in zip(some.tolist(), here[some].tolist(), (n[some] + more).tolist(), begin[some].tolist(), n[some].tolist(), strict=True) if one_edit(data[x : x + w].tobytes(), letters[y : y + m].tobytes())]
+        at_ = np.concatenate([sure, np.array(kept, np.int64)])
+        found.append((at_, more, np.ones(len(at_), np.int32)))
+    edge = np.concatenate([x for x, _, _ in found])
+    moved = at[edge] + n[edge] + np.repeat([more for _, more, _ in found], [len(x) for x, _, _ in found])
+    rows = pa.array(k[edge])
+    columns = [batch.column("path").take(rows), batch.column("s").take(rows), pa.array(moved.astype(np.int32)), pa.array(child[edge].view(np.int64)), pa.array(np.concatenate([e for _, _, e in found]).astype(np.int32)), pa.array(ends[edge])]
+    return pa.RecordBatch.from_arrays(columns, ["path", "s", "at", "node", "edits", "ends"])
 
 
 def neighbours(words: DataFrame, least_letters: int = 1) -> DataFrame:
     """``(word, other)``: every two different words of ``words(id, word)``, a written table of
-    distinct words of ``least_letters`` or more, that are one edit apart, in both orders."""
-    paths, edges = trie(words, (least_letters - 1) // 2)  # no walk begins before
-    middle = F.expr("filter(steps, x -> x.at <= (char_length(s) - 1) div 2)")
-    begin = F.element_at(middle, -1)
+    distinct words of ``least_letters`` or more, that are one edit apart, in both orders.
+    Letters are those of Latin-1."""
+    paths, nodes = trie(words, (least_letters - 1) // 2)  # no walk begins before
+    begin = F.element_at(F.expr("filter(steps, x -> x.at <= (octet_length(s) - 1) div 2)"), -1)
     states = paths.select("path", "s", begin["at"].alias("at"), begin["node"].alias("node"), F.lit(0).alias("edits"))
     found = None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _moves(batch)
+
     while True:  # a round for each node on the longest way from a word's middle to its end
-        states = cut(_moved(states, edges), "states")
-        done = states.where("ends and char_length(s) - at + edits = 1").select("path", "s", "node")
+        met = states.join(nodes, "node").select("path", "s", "at", "edits", "edges")
+        states = cut(met.mapInArrow(run, "path long, s binary, at int, node long, edits int, ends boolean"), "states")
+        done = states.where("ends and octet_length(s) - at + edits = 1").select("path", "s", "node")
         found = done if found is None else found.unionByName(done)
-        states = states.where("edits = 0 or char_length(s) > at").drop("ends")
+        states = states.where("edits = 0 or octet_length(s) > at").drop("ends")
         if states.isEmpty():
             break
     ends = paths.select("path", F.element_at("steps", -1)["node"].alias("node"), F.col("s").alias("t"))
     met = found.distinct().join(ends.drop("path"), "node")
-    way = lambda c: F.when(F.col("path") % 2 == 0, F.col(c)).otherwise(F.reverse(c))
+    text = lambda c: F.decode(F.col(c), "ISO-8859-1")
+    way = lambda c: F.when(F.col("path") % 2 == 0, text(c)).otherwise(F.reverse(text(c)))
     return met.select(way("s").alias("word"), way("t").alias("other")).distinct().where(F.levenshtein("word", "other", 1) == 1)
 
 
