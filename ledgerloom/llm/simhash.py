@@ -458,18 +458,19 @@ def known_parts(edges: DataFrame, rounds: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest doc_id.
+    """``docs`` with one row of each group: the one with the smallest doc_id.
 
     A group is all that links of near equal fingerprints and links of five-word shingles
     at least 0.8 alike reach together; texts without words are one group, since their
-    fingerprints are equal.  Rows that share a doc_id are one document, of which one row
-    comes back, with the text that stands for it.  A null doc_id counts as the smallest.
+    fingerprints are equal.  Rows are told apart by a number that is written once, not by
+    their doc_id: unlike texts that share an id, or have none, all stay, and repeated rows
+    are copies.  A null doc_id counts as the smallest; of equal ids the first row counts.
     Other columns pass through; an empty table gives none."""
-    own = cut(signatures(docs), "signatures")
-    found = components(fingerprint_links(own).unionByName(same_links(own, "same")).unionByName(copy_links(docs, own)))
-    low = found.groupBy("root").agg(F.min("node").alias("low"))
-    later = found.join(low, "root").where("node <> low").select(F.col("node").alias("doc_id"))
-    keep = own.select("doc_id", "version").join(later, "doc_id", "left_anti").selectExpr("doc_id as _node", "version as _version")
-    rows = docs.select(F.struct("*").alias("whole"), node().alias("_node"), version().alias("_version"))
-    kept = rows.join(keep.hint("merge"), ["_node", "_version"], "left_semi")  # it grows with the input, so it is never broadcast
-    return kept.dropDuplicates(["_node", "_version"]).select("whole.*")
+    numbered = cut(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("whole")), "numbered")
+    named = numbered.select(F.col("row").alias("doc_id"), F.col("whole.text").alias("text"))
+    own = cut(signatures(named), "signatures")
+    found = components(fingerprint_links(own).unionByName(same_links(own, "same")).unionByName(copy_links(named, own)))
+    ids = numbered.select(F.col("row").alias("node"), F.coalesce(F.col("whole.doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"))
+    low = found.join(ids, "node").groupBy("root").agg(F.min(F.struct("id", "node")).alias("low"))
+    later = found.join(low, "root").where("node <> low.node").select(F.col("node").alias("row"))
+    return numbered.join(later.hint("merge"), "row", "left_anti").select("whole.*")  # it grows with the input, so it is never broadcast
