@@ -118,6 +118,17 @@ def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     return raw.toDF(*[c.strip().lower() for c in raw.columns])
 
 
+def rename_files(spark: SparkSession, path: str, old: str, new: str) -> None:
+    """Files of a folder whose names end in ``old`` get the ending ``new``; names only."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(root):
+        at = status.getPath()
+        if at.getName().endswith(old):
+            fs.rename(at, hadoop.Path(root, at.getName().removesuffix(old) + new))
+
+
 def union_all(*tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 

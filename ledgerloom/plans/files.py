@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import benchmarking, coverage, duplicates, linkage, store
 from ..session import shared_folder
-from ..sources import charges, cost_files, roster, texts
+from ..sources import batch, charges, cost_files, roster, texts
 from ..streaming import arrivals
 from . import catalog, contract
 from .catalog import _read, query
@@ -38,6 +38,32 @@ def charge_files(spark, sf_dir):
     return found.select("code", "description", F.col("gross_charge").cast("double").alias("gross_charge"), "payer_name")
 
 
+@query("""select 'plain' as kind, 'loaded' as status, count(*) as rows, cast(coalesce(sum(cast(round(l_extendedprice, 2) as decimal(14, 2))), 0) as double) as gross, '' as reason from lineitem where l_suppkey % 4 = 0
+union all select 'zipped', 'loaded', count(*), cast(coalesce(sum(cast(round(l_extendedprice, 2) as decimal(14, 2))), 0) as double), '' from lineitem where l_suppkey % 4 = 1
+union all select 'damaged', 'failed', 0, 0, 'damaged gzip' from lineitem where l_suppkey % 4 = 2 having count(*) > 0
+union all select 'headless', 'failed', 0, 0, 'no data header' from lineitem where l_suppkey % 4 = 3 having count(*) > 0""")
+def charge_batch(spark, sf_dir):
+    """A batch in which some files are damaged: the others load, each failure
+    is a row of the ledger, and plain files are read in ranges."""
+    root = shared_folder(spark, "charge-batch")
+    i = _read(spark, sf_dir, "lineitem")
+    row = i.select("l_suppkey", F.concat(F.lit("two\nlines, "), "l_linenumber").alias("description"), F.concat(F.lit("c"), "l_partkey").alias("code|1"), F.format_string("%.2f", F.round("l_extendedprice", 2)).alias("standard_charge|gross"), F.lit("P").alias("payer_name"))
+    kinds = (("plain", "none", True), ("zipped", "gzip", True), ("damaged", "none", True), ("headless", "none", False))
+    for k, (kind, compression, header) in enumerate(kinds):
+        row.where(F.col("l_suppkey") % len(kinds) == k).drop("l_suppkey").write.options(header=header, compression=compression, escape='"').csv(f"{root}/{kind}")
+    store.rename_files(spark, f"{root}/damaged", ".csv", ".csv.gz")  # files that only say that they are zipped
+    kind = F.element_at(F.split("path", "/"), -2)
+    listed = batch.files(spark, root)
+    staged = batch.stage(spark, root, f"{root}-staged", 1 << 16)
+    lines = batch.lines(staged)
+    heads = charges.headers(lines)
+    facts = charges.charges(lines, heads)
+    gross = facts.groupBy("source_file").agg(F.sum("gross_charge").alias("gross"))
+    found = batch.ledger(listed, staged, heads, facts).join(listed.select("source_file", kind.alias("kind")), "source_file").join(gross, "source_file", "left")
+    found = found.groupBy("kind", "status", F.substring_index("reason", ":", 1).alias("reason")).agg(F.sum("rows").alias("rows"), F.coalesce(F.sum("gross"), F.lit(0)).cast("double").alias("gross"))
+    return found.select("kind", "status", "rows", "gross", "reason")
+
+
 @query("""select 'c' || l_partkey as code, cast(l_extendedprice as double) as gross_charge, case when l_returnflag <> 'R' then l_returnflag end as payer_name from lineitem""")
 def charge_files_json(spark, sf_dir):
     """Nested charge files, one for each supplier."""
