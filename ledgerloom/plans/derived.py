@@ -363,10 +363,10 @@ def known_cells(spark, sf_dir):
     return roster.known_only(contract.view(spark, sf_dir, "v_area"), known).select("ccn", "zip5", "suppressed")
 
 
-@query("""select cast(l_suppkey as varchar) as source_file, count(distinct l_linenumber) as rows, count(distinct l_linenumber) filter (l_linenumber % 2 = 0) as recovered_rows from lineitem where l_linenumber < 6 group by 1""")
+@query("""select cast(l_suppkey as varchar) as source_file, count(distinct l_linenumber) as rows, count(distinct l_linenumber) filter (l_linenumber % 2 = 0) as recovered_rows from lineitem group by 1""")
 def recovered_needs(spark, sf_dir):
     """Rows of ranked needs that were letter-spaced."""
-    i = _read(spark, sf_dir, "lineitem").where("l_linenumber < 6").select("l_suppkey", "l_linenumber").distinct()
+    i = _read(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber").distinct()
     n = F.col("l_linenumber")
     spaced = F.concat(n.cast("string"), F.lit("H o m e  C a r e "), F.lit("7 6 . 5 % 7 7 %"))
     rows = i.withColumn("text", F.when(n % 2 == 0, spaced).otherwise(F.concat(n.cast("string"), F.lit(" Food 21 19.4% 19%"))))
