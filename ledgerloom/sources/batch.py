@@ -270,7 +270,11 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     """``(path, source_file, size)`` of the files below ``path`` that can be read: names only.
 
     Spark's listing leaves out files of no bytes, so they have no row here."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return named(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path))
+
+
+def named(listed: DataFrame) -> DataFrame:
+    """``(path, source_file, size)`` of a listing, or of a stream of files that land."""
     return listed.where(F.col("path").rlike(SUPPORTED)).select("path", source_name(F.element_at(F.split("path", "/"), -1)).alias("source_file"), F.col("length").alias("size"))
 
 
@@ -373,11 +377,17 @@ def read_ranges(dealt: DataFrame) -> DataFrame:
     return tasks.mapInArrow(run, "source_file string, line long, row array<string>, kind string, text string, error string")
 
 
+def stage_listed(listed: DataFrame, target: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Read every file of ``listed(path, source_file, size)`` once, and write what it gives to
+    ``target``; the written table, of which ``lines``, ``nested`` and ``ledger`` make facts and
+    outcomes."""
+    read_ranges(ranges(heads(listed), range_bytes)).write.mode("overwrite").parquet(target)
+    return listed.sparkSession.read.parquet(target)
+
+
 def stage(spark: SparkSession, path: str, target: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Read every file below ``path`` once, and write what it gives to ``target``; the
-    written table, of which ``lines``, ``nested`` and ``ledger`` make facts and outcomes."""
-    read_ranges(ranges(heads(files(spark, path)), range_bytes)).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    """As ``stage_listed``, of every file below ``path``."""
+    return stage_listed(files(spark, path), target, range_bytes)
 
 
 def failures(staged: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .charges import detect_delimiter
 
 # Parts of the members' names.
 ROLES = {"report": ("RPT",), "numeric": ("NMRC", "NUMERIC"), "alpha": ("ALPHA",)}
@@ -24,19 +25,19 @@ def member_roles(names: list[str]) -> dict[str, str]:
     return out
 
 
-def reports(lines: DataFrame, vintage: int, source: str) -> DataFrame:
+def reports(lines: DataFrame, vintage: int, source: str, delimiter: str = ",") -> DataFrame:
     """``lines(value)`` of a report file: the raw line and the fields decoded from it.
 
     Lines whose first field is no integer are dropped; short lines give nulls.
     ``row_seq`` follows the file, which is read as one run of partitions in order."""
     rows = lines.withColumn("row_seq", F.monotonically_increasing_id())
-    return decoded(rows.select(F.lit(vintage).alias("vintage_year"), "row_seq", F.col("value").alias("raw_line"), F.lit(source).alias("source_zip")))
+    return decoded(rows.select(F.lit(vintage).alias("vintage_year"), "row_seq", F.col("value").alias("raw_line"), F.lit(source).alias("source_zip")), delimiter)
 
 
-def decoded(rows: DataFrame) -> DataFrame:
+def decoded(rows: DataFrame, delimiter: str = ",") -> DataFrame:
     """Fields of ``raw_line``, again whenever the decoding changes."""
     keep = [c for c in rows.columns if c not in ("rpt_rec_num", "ccn", "status_code", "fy_begin", "fy_end", "proc_date")]
-    f = F.transform(F.split("raw_line", ","), lambda x: F.trim(F.translate(x, '"', "")))
+    f = F.transform(F.split("raw_line", rf"\Q{delimiter}\E"), lambda x: F.trim(F.translate(x, '"', "")))
     get = lambda k: F.get(f, F.lit(k))
     out = rows.select(*keep, get(0).try_cast("long").alias("rpt_rec_num"), T.ccn(get(2)).alias("ccn"), T.clean_str(get(4)).alias("status_code"), T.parse_date(get(5)).alias("fy_begin"), T.parse_date(get(6)).alias("fy_end"), T.parse_date(get(7)).alias("proc_date"))
     return out.where("rpt_rec_num is not null")
@@ -50,11 +51,19 @@ def cells(raw: DataFrame, vintage: int, numeric: bool) -> DataFrame:
     return out.where("rpt_rec_num is not null and value is not null")
 
 
+def delimiter_of(spark: SparkSession, path: str) -> str:
+    """What separates a member's fields, by its first line; a comma for an empty file."""
+    first = spark.read.text(path).first()
+    return detect_delimiter((first and first[0]) or "")
+
+
 def read_vintage(spark: SparkSession, paths: list[str], vintage: int) -> dict[str, DataFrame]:
+    """``reports``, ``numeric`` and ``alpha`` of the members, whatever separates their fields."""
     roles = member_roles(paths)
-    scan = lambda p: spark.read.schema("c0 string, c1 string, c2 string, c3 string, c4 string").csv(p)
+    sep = {role: delimiter_of(spark, p) for role, p in roles.items()}
+    scan = lambda role: spark.read.schema("c0 string, c1 string, c2 string, c3 string, c4 string").csv(roles[role], sep=sep[role])
     return {
-        "reports": reports(spark.read.text(roles["report"]), vintage, roles["report"]),
-        "numeric": cells(scan(roles["numeric"]), vintage, True),
-        "alpha": cells(scan(roles["alpha"]), vintage, False),
+        "reports": reports(spark.read.text(roles["report"]), vintage, roles["report"], sep["report"]),
+        "numeric": cells(scan("numeric"), vintage, True),
+        "alpha": cells(scan("alpha"), vintage, False),
     }

@@ -88,13 +88,23 @@ def load_statistics(raw: DataFrame, state: str = "ALL") -> DataFrame:
     return rows.agg(F.count("*").alias("read"), F.count_if(is_hospital).alias("hospitals"), F.count_if(is_hospital & match).alias("matched"), F.count_if(is_hospital & match & F.col("is_active")).alias("active"))
 
 
-def service_area(raw: DataFrame, edition: str, source: str, order: Column | None = None) -> DataFrame:
-    """Cells of a service-area feed; of repeated (ccn, zip5) the first counts."""
+def area_cells(raw: DataFrame, order: Column | None = None) -> DataFrame:
+    """``(ccn, zip5, c, d, charges, _seq)`` of every row of a service-area feed; a bad CCN or
+    ZIP is null."""
     rows = resolve(raw.withColumn("_SEQ", order if order is not None else F.monotonically_increasing_id()), AREA_SPELLINGS | {"_seq": ["_SEQ"]}, ("ccn", "zip5", "cases"))
     cases, days = T.parse_count("cases"), T.parse_count("days")
-    cells = rows.select(T.strict_ccn("ccn").alias("ccn"), T.strict_zip5("zip5").alias("zip5"), cases.alias("c"), days.alias("d"), T.parse_amount("charges").alias("charges"), "_seq").where("ccn is not null and zip5 is not null")
-    first = cells.groupBy("ccn", "zip5").agg(F.min_by(F.struct("c", "d", "charges"), "_seq").alias("r"))
-    return first.select("ccn", "zip5", F.lit(edition).alias("edition"), F.col("r.c.value").alias("cases"), F.col("r.d.value").alias("days"), F.col("r.charges").alias("charges"), F.col("r.c.suppressed").alias("suppressed"), F.lit(source).alias("source"))
+    return rows.select(T.strict_ccn("ccn").alias("ccn"), T.strict_zip5("zip5").alias("zip5"), cases.alias("c"), days.alias("d"), T.parse_amount("charges").alias("charges"), "_seq")
+
+
+def area_columns(first: DataFrame, edition: str, source: str, *keep: str) -> DataFrame:
+    """Cells of ``first(ccn, zip5, _r)`` as they are stored."""
+    return first.select("ccn", "zip5", F.lit(edition).alias("edition"), F.col("_r.c.value").alias("cases"), F.col("_r.d.value").alias("days"), F.col("_r.charges").alias("charges"), F.col("_r.c.suppressed").alias("suppressed"), F.lit(source).alias("source"), *keep)
+
+
+def service_area(raw: DataFrame, edition: str, source: str, order: Column | None = None) -> DataFrame:
+    """Cells of a service-area feed; of repeated (ccn, zip5) the first counts."""
+    cells = area_cells(raw, order).where("ccn is not null and zip5 is not null")
+    return area_columns(cells.groupBy("ccn", "zip5").agg(F.min_by(F.struct("c", "d", "charges"), "_seq").alias("_r")), edition, source)
 
 
 def known_only(cells: DataFrame, roster: DataFrame) -> DataFrame:
