@@ -14,7 +14,7 @@ from ..operators import benchmarking, coverage, duplicates, linkage, store
 from ..session import shared_folder
 from ..sources import batch, charges, cost_files, roster, texts
 from ..streaming import arrivals
-from . import catalog, contract, loading  # noqa: F401, its queries join the catalog's
+from . import catalog, contract, loading, sheets  # noqa: F401, their queries join the catalog's
 from .catalog import _read, query
 from .derived import _roster
 
