@@ -1,9 +1,11 @@
 """Places and order statistics of a column within groups of any size.
 
-Equal values are counted first.  The distinct values of a group are then dealt to many
-stretches by a few approximate quantiles of its own, the stretches' sums give each its
-offset, and only inside a stretch are values put in order.  So results are exact, and no
-group is sorted or gathered in one task, however large it is."""
+Equal values are counted first and written once, ordered by group and value over as many
+ranges as the shuffle has partitions, so the ranges of a group grow in number with its
+values.  Each range is put in order by itself; the sums of the ranges before give it its
+offset.  Of the groups only one can cross the border of two ranges, so the offsets are no
+more rows than ranges.  So results are exact, and no group is sorted or gathered in one
+task, however large it is."""
 
 from __future__ import annotations
 
@@ -13,14 +15,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Stretches of a group; it bounds the share of a group that one task puts in order.
-#: They are found in two steps, of which this is the number of choices.
-STEPS = 8
-STRETCHES = STEPS * STEPS
-#: A group of at most this many distinct values is one stretch.
-SMALL = 4096
-#: Accuracy of the quantiles that part stretches; results do not depend on it.
-ACCURACY = 1024
+from ..session import written
+
+#: The column that numbers the ranges of a table of counts.
+PART = "_range"
 
 
 def _columns(names: list[str]) -> list[Column]:
@@ -28,27 +26,21 @@ def _columns(names: list[str]) -> list[Column]:
 
 
 def counted(rows: DataFrame, by: list[str], value: Column, weight: Column | None = None) -> DataFrame:
-    """``(*by, x, same)``: each distinct value as a double with its rows (or weights)."""
+    """``(*by, x, same, _range)``: each distinct value as a double with its rows (or
+    weights), and the range that it is in.  Nulls and NaN are left out.
+
+    The table is written when this is called, so what reads it does not count again."""
     x = value.cast("double")
     n = F.count("*") if weight is None else F.sum(weight)
-    return rows.withColumn("x", x).where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy(*by, "x").agg(n.cast("long").alias("same"))
-
-
-def _stretched(counts: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``counts`` with their stretch, and ``(*by, stretch, before, n)``: the weight below
-    each stretch, and of its whole group."""
-    marks = [k / STRETCHES for k in range(1, STRETCHES)]
-    parted = counts.groupBy(*by).agg(F.count("*").alias("distinct"), F.percentile_approx("x", marks, ACCURACY).alias("marks"))
-    parted = parted.where(F.col("distinct") > SMALL).drop("distinct")
-    coarse = F.transform(F.sequence(F.lit(1), F.lit(STEPS - 1)), lambda k: F.element_at("marks", k * STEPS))
-    under = lambda some: F.size(F.filter(some, lambda m: m < F.col("x")))
-    dealt = joined(counts, parted.withColumn("coarse", coarse), by, "left").withColumn("step", under("coarse"))
-    fine = F.slice("marks", F.col("step") * STEPS + 1, F.lit(STEPS - 1))
-    dealt = dealt.withColumn("stretch", F.when(F.col("marks").isNull(), F.lit(0)).otherwise(F.col("step") * STEPS + under(fine))).drop("marks", "coarse", "step")
-    sums = dealt.groupBy(*by, "stretch").agg(F.sum("same").alias("in_stretch"))
-    order = Window.partitionBy(*by).orderBy("stretch")  # at most STRETCHES rows a group
-    before = F.sum("in_stretch").over(order) - F.col("in_stretch")
-    return dealt, sums.select(*_columns(by), "stretch", before.alias("before"), "in_stretch", F.sum("in_stretch").over(Window.partitionBy(*by)).alias("n"))
+    counts = rows.withColumn("x", x).where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy(*_columns(by), "x").agg(n.cast("long").alias("same"))
+    return ranged(counts, by)
+
+
+def ranged(counts: DataFrame, by: list[str]) -> DataFrame:
+    """Rows that are counted already, ``(*by, x, same)``, written with their range.  Other
+    columns stay, and a group may have rows without a value to be filtered out later."""
+    dealt = counts.repartitionByRange(*_columns(by), F.col("x"))
+    return written(dealt.withColumn(PART, F.spark_partition_id()), "counts")
 
 
 def joined(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
@@ -58,37 +50,46 @@ def joined(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> Dat
     return a.join(other, same, how).drop(*[f"_{c}" for c in by])
 
 
+def _ordered(counts: DataFrame, by: list[str]) -> DataFrame:
+    """``counts`` with ``below``, the weight of the group's smaller values, and ``n``, the
+    weight of the group."""
+    sums = counts.groupBy(*_columns(by), PART).agg(F.sum("same").alias("held"))
+    own = Window.partitionBy(*_columns(by))
+    up_to = F.sum("held").over(own.orderBy(PART))
+    crossing = sums.select(
+        *_columns(by), PART, (up_to - F.col("held")).alias("before"), F.sum("held").over(own).alias("whole"), F.count("*").over(own).alias("ranges"),
+    ).where("ranges > 1").drop("ranges")
+    inside = Window.partitionBy(*_columns(by), PART).orderBy("x")
+    all_here = inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = counts.withColumns({"low": F.sum("same").over(inside) - F.col("same"), "here": F.sum("same").over(all_here)})
+    # two rows a border between ranges at most
+    found = joined(rows, F.broadcast(crossing), [*by, PART], "left")
+    return found.select(
+        *_columns(by), "x", "same", (F.col("low") + F.coalesce("before", F.lit(0))).alias("below"), F.coalesce("whole", "here").alias("n"),
+    )
+
+
 def placed(counts: DataFrame, by: list[str]) -> DataFrame:
-    """``counts(*by, x, same)`` with ``below``: the weight of the group's smaller values."""
-    dealt, offsets = _stretched(counts, by)
-    inside = Window.partitionBy(*by, "stretch").orderBy("x")
-    sums = dealt.withColumn("below", F.sum("same").over(inside) - F.col("same"))
-    found = joined(sums, offsets.select(*_columns(by), "stretch", "before"), [*by, "stretch"])
-    return found.select(*_columns(by), "x", "same", (F.col("below") + F.col("before")).alias("below"))
+    """The values of ``counted`` with ``below``: the weight of the group's smaller values."""
+    return _ordered(counts, by).drop("n")
 
 
 def at_places(counts: DataFrame, by: list[str], places: Column) -> DataFrame:
-    """``(*by, place, x)``: the values at the wanted places (from 0) of each group.
+    """``(*by, n, place, x)``: the values at the wanted places (from 0) of each group.
 
-    ``places`` is an array over ``n``, the group's weight.  Only the stretches that hold
-    a wanted place are put in order."""
-    dealt, offsets = _stretched(counts, by)
-    within = F.filter(F.array_distinct(places), lambda k: (k >= F.col("before")) & (k < F.col("before") + F.col("in_stretch")))
-    held = offsets.withColumn("places", within).where(F.size("places") > 0).select(*_columns(by), "stretch", "before", "places")
-    inside = Window.partitionBy(*by, "stretch").orderBy("x")
-    near = joined(dealt, held, [*by, "stretch"]).withColumn("low", F.sum("same").over(inside) - F.col("same") + F.col("before"))
-    own = F.filter("places", lambda k: (k >= F.col("low")) & (k < F.col("low") + F.col("same")))
-    return near.select(*_columns(by), "x", F.explode(own).alias("place"))
+    ``places`` is an array over ``n``, the group's weight; places outside give nothing."""
+    own = F.filter(F.array_distinct(places), lambda k: (k >= F.col("below")) & (k < F.col("below") + F.col("same")))
+    return _ordered(counts, by).select(*_columns(by), "n", "x", F.explode(own).alias("place"))
 
 
 def quantiles(counts: DataFrame, by: list[str], qs: dict[str, float]) -> DataFrame:
     """``(*by, n, min, max, *names)``: interpolated quantiles (linear between the two
     nearest values), the weight and the extremes of each group."""
     at = lambda q: (F.col("n") - 1) * F.lit(q)
-    places = F.array(*[F.floor(at(q)) + k for q in qs.values() for k in (0, 1)])
-    marks = at_places(counts, by, places).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("place", "x"))).alias("marks"))
-    sized = counts.groupBy(*by).agg(F.sum("same").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"))
-    rows = joined(marks, sized, by)
+    ends = [F.lit(0).cast("long"), F.col("n") - 1]
+    places = F.array(*ends, *[F.floor(at(q)) + k for q in qs.values() for k in (0, 1)])
+    marks = F.map_from_entries(F.collect_list(F.struct("place", "x")))
+    rows = at_places(counts, by, places).groupBy(*_columns(by)).agg(F.max("n").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), marks.alias("marks"))
 
     def value(q: float) -> Column:
         low = F.try_element_at("marks", F.floor(at(q)))

@@ -213,22 +213,32 @@ def test_discovery(spark):
     assert discovery.manifest_sheet(manifest).where("mrf_url is null or score is null").count() == 0
 
 
-def test_ranks(spark, monkeypatch):
-    """Places and quantiles against numpy, with one stretch and with many."""
+def test_ranks(spark):
+    """Places and quantiles against numpy, with one range of values and with many."""
     rng = np.random.default_rng(1)
     values = {g: np.round(rng.normal(0, 10, n), digits).tolist() for g, n, digits in (("a", 4000, 1), ("b", 3, 1), (None, 700, 2), ("c", 1, 1), ("d", 1500, 0))}
     df = spark.createDataFrame([(g, float(x)) for g, xs in values.items() for x in [*xs, float("nan")]], "g string, v double")
-    for small in (ranks.SMALL, 20):
-        monkeypatch.setattr(ranks, "SMALL", small)
-        counts = ranks.counted(df, ["g"], F.col("v"))
-        for r in ranks.placed(counts, ["g"]).collect():
-            own = np.array(values[r.g])
-            assert r.below == (own < r.x).sum() and r.same == (own == r.x).sum()
-        found = ranks.quantiles(counts, ["g"], {"low": 0.25, "mid": 0.5, "high": 0.9}).collect()
-        assert len(found) == 5
-        for r in found:
-            own = np.array(values[r.g])
-            assert np.allclose([r.low, r.mid, r.high, r.min, r.max, r.n], [*np.quantile(own, [0.25, 0.5, 0.9]), own.min(), own.max(), len(own)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for ranges in (1, 9):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            counts = ranks.counted(df, ["g"], F.col("v"))
+            assert (counts.select(ranks.PART).distinct().count() > 5) == (ranges > 1)
+            places = ranks.placed(counts, ["g"]).collect()
+            assert len(places) == sum(len(set(xs)) for xs in values.values())
+            for r in places:
+                own = np.array(values[r.g])
+                assert r.below == (own < r.x).sum() and r.same == (own == r.x).sum()
+            found = ranks.quantiles(counts, ["g"], {"low": 0.25, "mid": 0.5, "high": 0.9}).collect()
+            assert len(found) == 5
+            for r in found:
+                own = np.array(values[r.g])
+                assert np.allclose([r.low, r.mid, r.high, r.min, r.max, r.n], [*np.quantile(own, [0.25, 0.5, 0.9]), own.min(), own.max(), len(own)])
+        assert ranks.quantiles(ranks.counted(df.where("false"), ["g"], F.col("v")), ["g"], {"mid": 0.5}).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_probable_matches_by_brute_force(spark):
