@@ -375,4 +375,24 @@ def recovered_needs(spark, sf_dir):
     return needed.groupBy("source_file").agg(F.count("*").alias("rows")).join(community.recovered_counts(needed), "source_file")
 
 
+@query("""with c as (select l_suppkey as k, year(l_shipdate) as y, p_type as m, count(*) as n from lineitem join part on l_partkey = p_partkey where l_shipdate is not null group by 1, 2, 3),
+r as (select k, y, m, row_number() over (partition by k, y order by n desc, m) as rank from c),
+d as (select k, y, row_number() over (partition by k order by y) as cycle from (select distinct k, y from c)),
+t as (select r.*, cycle from r join d using (k, y))
+select concat(t.k, '-', t.y) as source_file, cast(t.k as varchar) as ccn, cast(t.cycle as int) as cycle, cast(t.rank as int) as rank, cast(case when t.k % 5 = 0 then 9 else b.rank end as int) as prior_rank, cast(t.rank - case when t.k % 5 = 0 then 9 else b.rank end as int) as moved
+from t left join t b on t.k = b.k and t.m = b.m and t.cycle = b.cycle + 1""")
+def need_movements(spark, sf_dir):
+    """F8: ranks against the cycle before, printed or found by a label alike."""
+    i = _read(spark, sf_dir, "lineitem").join(_read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).where("l_shipdate is not null")
+    file = F.concat_ws("-", F.col("l_suppkey").cast("string"), F.year("l_shipdate").cast("string")).alias("source_file")
+    counts = i.groupBy(file, "l_suppkey", F.year("l_shipdate").alias("year"), "p_type").agg(F.count("*").alias("n"))
+    rows = counts.groupBy("source_file", "l_suppkey", "year").agg(F.collect_list(F.struct((-F.col("n")).alias("n"), "p_type")).alias("x"))
+    rows = rows.select("source_file", "l_suppkey", "year", F.posexplode(F.array_sort("x")).alias("k", "e"))
+    label = F.when(F.col("year") % 2 == 0, F.concat(F.upper("e.p_type"), F.lit(" ."))).otherwise(F.col("e.p_type"))
+    printed = F.when(F.col("l_suppkey") % 5 == 0, 9)
+    ranked = rows.select("source_file", (F.col("k") + 1).alias("rank"), label.alias("label"), printed.alias("prior_rank"))
+    held = counts.select("source_file", F.col("l_suppkey").cast("string").alias("ccn"), "year").distinct()
+    return community.movements(ranked, held).select("source_file", "ccn", "cycle", "rank", "prior_rank", "moved")
+
+
 QUERIES, SQL = catalog.QUERIES, catalog.SQL

@@ -288,3 +288,30 @@ def test_headings_in_sequence(spark):
     rows = strategies.strategy_rows(spark.createDataFrame([("d", text), ("e", "7\n$3")], "source_file string, text string")).collect()
     assert [(r.need_rank, r.text) for r in rows if r.kind == "need"] == [(1, "Access to Care"), (2, "Mental Health Services and")]
     assert [(r.need_rank, r.dollars, r.tabulated) for r in rows if r.kind == "commitment"] == [(2, 5, False)]
+
+
+def test_movements(spark):
+    """A printed rank stands; else a label alike in the hospital's cycle before gives it."""
+    ranked = [("a", 1, "Mental Health", None), ("a", 2, "Obesity", None), ("a", 4, "obesity", None), ("b", 1, "OBESITY.", None), ("b", 2, "mental  health", 7), ("b", 3, "Dental", None), ("c", 3, "Dental", None), ("d", 2, "Mental Health", None), ("x", 1, "Obesity", 4), ("x", 2, None, None)]
+    held = [("a", "1", 2015), ("b", "1", 2018), ("c", "1", 2021), ("d", "1", 2021), ("d", "2", 2021), ("x", None, 2018), ("y", "1", None)]
+    rows = spark.createDataFrame(ranked, "source_file string, rank int, label string, prior_rank int")
+    found = community.movements(rows, spark.createDataFrame(held, "source_file string, ccn string, year int")).collect()
+    got = sorted((r.source_file, r.ccn or "", r["rank"], r.prior_rank, r.moved) for r in found)
+    assert got == [("a", "1", 1, None, None), ("a", "1", 2, None, None), ("a", "1", 4, None, None), ("b", "1", 1, 2, -1), ("b", "1", 2, 7, -5), ("b", "1", 3, None, None), ("c", "1", 3, 3, 0), ("d", "1", 2, 2, 0), ("d", "2", 2, None, None), ("x", "", 1, 4, -3), ("x", "", 2, None, None)]
+    assert community.movements(rows.where("false"), spark.createDataFrame(held, "source_file string, ccn string, year int")).count() == 0
+
+
+def test_long_and_odd_documents(spark):
+    """Work grows with the length of a text, not with its square; odd rows have results."""
+    cued = "lack of urology here. recruit nurses; " * 60_000
+    tabled = "Town Hall - 04/04/24 (Attendees 27 / 108 Total Votes)\n" + "7 Food\n  more 21 19.4% 19%\nplain words\n" * 60_000 + "8 Home Care 30 20% 39%"
+    docs = spark.createDataFrame([("cued", cued), ("tabled", tabled), ("none", None), ("empty", ""), (None, "3 Air 4 5% 6%"), (None, "3 Air 4 5% 6%")], "source_file string, text string")
+    assert sorted((r.specialty, r.recruiting) for r in community.shortages(docs).collect()) == [("nursing", True), ("urology", True)]
+    got = sorted((r.source_file or "", r["rank"], r.label, r.votes) for r in community.needs(docs).collect())
+    assert got == [("", 3, "Air", 4), ("tabled", 7, "Food more", 21), ("tabled", 8, "Home Care", 30)]
+    heads = {r.source_file: r for r in community.header(docs).collect()}
+    assert community.header(docs).count() == 6 and heads["tabled"].total_votes == 108 and heads["empty"].year is None
+    costs = spark.createDataFrame([("s", "1 Access to Care a\n" + "2 Food Supply\n3\nlabel\na Continue to support item 5 $1,000\n" * 60_000)], "source_file string, text string")
+    assert strategies.strategy_rows(costs).where("kind = 'commitment'").count() == 60_000
+    plan = community.need_rows(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
