@@ -20,6 +20,8 @@ DEFAULT_VERDICT = "allow"
 #: Rule lists of at most this many rules are broadcast as a trie, which takes one or two
 #: kilobytes a rule in each worker; longer ones are joined, with the same verdicts.
 BROADCAST_RULES = 50_000
+#: Copies of joined rules, over which the urls of one host are spread.
+SALTS = 16
 
 HOST = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -33,7 +35,9 @@ class Trie:
     """Nodes by reversed host label, then by path segment.
 
     A rule's last, unended segment (after its last slash) is kept as a tail, since a rule
-    fits a path that starts with it, also inside a segment.
+    fits a path that starts with it, also inside a segment.  A node looks up a segment's
+    beginnings of the lengths that its tails have, so its work grows with those lengths,
+    not with its tails.
     """
 
     def __init__(self, rules: Iterator[tuple[str, str]] | tuple = RULES):
@@ -46,8 +50,9 @@ class Trie:
             *whole, tail = path.split("/")
             for segment in whole:
                 node = node.setdefault("p", {}).setdefault(segment, {})
-            tails = node.setdefault("t", {})
+            tails, lengths = node.setdefault("t", ({}, set()))
             tails[tail] = max(tails.get(tail, (rule, "")), (rule, verdict))
+            lengths.add(len(tail))
 
     def match(self, host: str, path: str) -> tuple[str, str] | None:
         """(rule, verdict) of the longest rule that fits, the more specific host first."""
@@ -70,9 +75,10 @@ class Trie:
     def _path(node: dict, segments: list[str]) -> tuple[int, tuple[str, str]] | None:
         best, length = None, 0
         for k, segment in enumerate(segments):
-            for tail, hit in node.get("t", {}).items():
-                if segment.startswith(tail) and (best is None or length + len(tail) >= best[0]):
-                    best = (length + len(tail), hit)
+            tails, lengths = node.get("t", ({}, ()))
+            fits = [n for n in lengths if n <= len(segment) and segment[:n] in tails]
+            if fits:  # what is found in a later segment is longer
+                best = (length + max(fits), tails[segment[: max(fits)]])
             if k == len(segments) - 1:
                 break
             node = node.get("p", {}).get(segment)
@@ -113,17 +119,25 @@ def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, default:
 
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) -> DataFrame:
-    """As ``judge`` for rule tables of any size: host suffixes meet rules in a join.
+    """As ``judge`` for rule tables of any size: host suffixes and path beginnings meet
+    rules in equal joins.
 
-    ``rules(verdict, rule)``.  Distinct (host, path) pairs are judged once; a url has as
-    many suffixes as its host has labels.
+    ``rules(verdict, rule)``.  Distinct (host, path) pairs are judged once.  A pair has as
+    many suffixes as its host has labels, and for each as many beginnings as that suffix's
+    rules have lengths, so many rules of one host cost a url no more than their lengths.
+    Pairs are dealt to ``SALTS`` copies of the rules, so one host may have most of them.
     """
-    listed = rules.select("verdict", "rule", F.split("rule", "/", 2)[0].alias("suffix"), F.regexp_extract("rule", r"(?s)^[^/]*(.*)$", 1).alias("begin"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    parted = rules.select("verdict", "rule", F.split("rule", "/", 2)[0].alias("suffix"), F.regexp_extract("rule", r"(?s)^[^/]*(.*)$", 1).alias("begin"))
+    listed = parted.groupBy("suffix", "begin").agg(F.max("rule").alias("rule"), F.max("verdict").alias("verdict"))
+    lengths = listed.groupBy("suffix").agg(F.collect_set(F.length("begin")).alias("lengths")).select("*", salts)
     own = parts(pages)
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    keys = own.select("host", "path").distinct().withColumn("suffix", F.explode(suffixes))
-    hits = keys.join(listed, "suffix").where(F.col("path").startswith(F.col("begin")))
+    keys = own.select("host", "path").distinct().withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int"))
+    beginnings = F.transform(F.filter("lengths", lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    asked = keys.withColumn("suffix", F.explode(suffixes)).join(lengths, ["suffix", "salt"]).withColumn("begin", F.explode(beginnings)).drop("lengths")
+    hits = asked.join(listed.select("*", salts), ["suffix", "begin", "salt"])
     best = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), F.length("suffix").alias("m"), "rule", "verdict")).alias("x"))
     return own.join(best, ["host", "path"], "left").select("page_id", "host", "path", F.col("x.rule").alias("rule"), F.coalesce("x.verdict", F.lit(default)).alias("verdict"))
 

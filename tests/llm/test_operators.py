@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -505,6 +506,21 @@ def test_urls(spark):
     assert [url_filter.judge(long, most=m).first().verdict for m in (100, 0)] == ["allow", "allow"]
 
 
+def test_urls_of_a_host_with_many_rules(spark):
+    """Rules of one host cost a url no more than the lengths that they have."""
+    rules = tuple(("block", f"example.com/x{k:05d}") for k in range(50_000)) + (("allow", "example.com/x0001"),)
+    trie = url_filter.Trie(rules)
+    began = time.perf_counter()
+    found = [trie.match("www.example.com", f"/x{k:05d}/page") for k in range(2000)]
+    assert (time.perf_counter() - began) / 2000 < 0.0005 and all(v == "block" for _, v in found)
+    assert trie.match("example.com", "/x0001") == ("example.com/x0001", "allow") and trie.match("example.com", "/y") is None
+    urls = [f"http://{'a.' * (k % 2)}example.com/x{k % 400:05d}/{k}" for k in range(4000)] + ["http://example.com/x0001", "http://other.com/x00001"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    want = sorted((k, *(trie.match(*url_parts) or (None, "allow"))) for k, url_parts in ((k, (u[7:].split("/")[0], "/" + u[7:].split("/", 1)[1])) for k, u in enumerate(urls)))
+    got = sorted((r.page_id, r.rule, r.verdict) for r in url_filter.judge(df, rules, most=10).collect())
+    assert got == want
+
+
 # --- media ------------------------------------------------------------------------------
 
 
