@@ -9,7 +9,7 @@ are matched within a Hamming radius, and enough matches must agree on one turn,
 shift.  Agreements are links, and classes are their connected components.
 
 Scales are halves, so copies are found at half, equal and double size, and a little around
-those.  Keys that very many images share are split, and compared in bounded tiles."""
+those.  All images of a key are compared, those of keys that very many share in bounded tiles."""
 
 from __future__ import annotations
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import components, cut
-from .simhash import LEAST_TILE, _lists, _runs, band_groups, forest, known_parts
+from .simhash import LEAST_TILE, _lists, _runs, band_groups, known_parts
 from .textbytes import mix
 
 #: Corners kept in each cell of a grid and its side, at each scale; pixels to the border,
@@ -34,8 +34,11 @@ NEIGHBOURS, SAYING = 3, 4
 #: Least difference of brightness that a test counts, so flat patches give stable bits.
 CONTRAST = 4.0
 HAMMING, INLIERS, PIXELS = 20, 6, 3.0
-#: Images of a key that are all compared with each other; corners of a tile of larger keys.
+#: Images of a key that are compared pair by pair; corners of a tile of larger keys.
 SMALL_KEY, TILE_CORNERS = 16, 1 << 16
+#: Corners of an image that are held against all corners of two tiles at once; matches of
+#: two images up to which the pairs of many images are looked at together.
+AT_ONCE, MOST_MATCHES = 16, 64
 
 
 def _patterns() -> np.ndarray:
@@ -142,8 +145,7 @@ def describe(stack: np.ndarray) -> list[dict[str, np.ndarray]]:
 
 
 def table_keys(found: dict[str, np.ndarray]) -> np.ndarray:
-    """Keys of all Hamming tables of one image, as rows of two uint64: the key, and a finer
-    one that takes the whole descriptors.  A key comes once.
+    """Keys of all Hamming tables of one image, as uint64.  A key comes once.
 
     A key takes one quarter of the descriptors of a corner and of two of its three nearest
     neighbours of the same scale, with their places in the corner's frame, in pixels of
@@ -174,13 +176,8 @@ def table_keys(found: dict[str, np.ndarray]) -> np.ndarray:
                 place = mix(spots[a] * np.uint64(4096) + spots[b])
                 salted = place[:, None] ^ (np.arange(TABLES, dtype=np.uint64) << np.uint64(40))
                 keys = mix(mix(mix(salted ^ quarters) ^ quarters[near[:, a]]) ^ quarters[near[:, b]])
-                whole = code[:, 0] ^ mix(code[:, 1])
-                finer = mix(mix(mix(keys ^ whole[:, None]) ^ whole[near[:, a], None]) ^ whole[near[:, b], None])
-                out.append(np.stack([keys[said], finer[said]], axis=1))
-    if not out:
-        return np.zeros((0, 2), np.uint64)
-    both = np.concatenate(out)
-    return both[np.unique(both[:, 0], return_index=True)[1]]
+                out.append(keys[said])
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
 def agreement(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> int:
@@ -211,7 +208,75 @@ def agreement(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> int:
     return most
 
 
-FEATURES = "media_id long, y array<int>, x array<int>, level array<int>, turn array<int>, code array<long>, keys array<long>, finer array<int>"
+def agreements(one: dict[str, np.ndarray], others: dict[str, np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """``agreement`` of one image with each of many, whose corners follow each other in
+    ``others``, image by image from ``starts``; less than INLIERS counts as 0.  Every image
+    has corners."""
+    own = np.arange(len(others["y"])) - np.repeat(starts, np.diff([*starts, len(others["y"])]))
+    back, low, found = np.zeros(len(own), np.int64), np.full(len(own), 255, np.uint8), []
+    for lo in range(0, len(one["y"]), AT_ONCE):  # rows at a time
+        code = one["code"][lo : lo + AT_ONCE]
+        d = np.bitwise_count(code[:, :1] ^ others["code"][:, 0]) + np.bitwise_count(code[:, 1:] ^ others["code"][:, 1])
+        best = np.minimum.reduceat((d.astype(np.int32) << 23) + own.astype(np.int32), starts, axis=1)
+        i, k = np.nonzero(best < (HAMMING + 1) << 23)
+        found.append((i + lo, k, starts[k] + (best[i, k] & ((1 << 23) - 1))))
+        closer = d.min(axis=0) < low
+        back[closer], low[closer] = d.argmin(axis=0)[closer] + lo, d.min(axis=0)[closer]
+    i, k, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    mutual = back[j] == i
+    i, k, j = i[mutual], k[mutual], j[mutual]
+    times, out = np.bincount(k, minlength=len(starts)), np.zeros(len(starts), np.int64)
+    edges = np.append(starts, len(own))
+    for x in np.flatnonzero(times > MOST_MATCHES):
+        out[x] = agreement(one, {name: v[edges[x] : edges[x + 1]] for name, v in others.items()})
+    inner = (times >= INLIERS) & (times <= MOST_MATCHES)
+    i, k, j = i[inner[k]], k[inner[k]], j[inner[k]]
+    order = np.argsort(k, kind="stable")
+    i, k, j = i[order], (np.cumsum(inner) - 1)[k[order]], j[order]
+    counts = times[inner]
+    at = np.arange(len(k)) - np.repeat(np.cumsum(counts) - counts, counts)
+    # a row of matches an image, filled up with what agrees with nothing
+    width = int(counts.max(initial=0))
+    p, q, turn, slack = (np.full((len(counts), width), np.nan, kind) for kind in (complex, complex, complex, float))
+    scale = 2.0 ** (others["level"][j] - one["level"][i])
+    p[k, at], q[k, at] = one["x"][i] + 1j * one["y"][i], others["x"][j] + 1j * others["y"][j]
+    turn[k, at] = np.exp(2j * np.pi * (others["turn"][j] - one["turn"][i]) / TURNS) * scale
+    slack[k, at] = PIXELS * np.maximum(1, scale)
+    step, most = max(1, (1 << 18) // max(1, width * width)), np.zeros(len(counts), np.int64)
+    for lo in range(0, len(counts), step):
+        m = slice(lo, lo + step)
+        apart, there = p[m, None, :] - p[m, :, None], q[m, None, :] - q[m, :, None]
+        for guess, room in ((apart * turn[m, :, None], slack[m, :, None]), (apart, PIXELS)):  # each match's own turn, and none
+            most[m] = np.maximum(most[m], (np.abs(guess - there) <= room).sum(axis=2).max(axis=1))
+    out[inner] = most
+    return np.where(out >= INLIERS, out, 0)
+
+
+def _joined(images: list[dict[str, np.ndarray]]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The corners of images after each other, and where each image's begin, and the last's end."""
+    return {name: np.concatenate([f[name] for f in images]) for name in images[0]}, np.cumsum([0, *(len(f["y"]) for f in images)])
+
+
+def image_links(images: list[dict[str, np.ndarray]], tiles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links between places of images that agree, enough of them to reach what all reach; of
+    two tiles only links across.  Every image has corners."""
+    split = int(np.argmax(tiles != tiles[0]))  # 0: all of one tile
+    whole, edges = _joined(images)
+    label, heads, tails = np.arange(len(images)), [], []
+    for i in range(split or len(images) - 1):
+        first = split or i + 1
+        if (label[first:] == label[i]).all():
+            continue
+        rest = {name: v[edges[first] :] for name, v in whole.items()}
+        for j in first + np.flatnonzero(agreements(images[i], rest, edges[first:-1] - edges[first])):
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
+                heads.append(i)
+                tails.append(j)
+    return np.array(heads, np.int64), np.array(tails, np.int64)
+
+
+FEATURES = "media_id long, y array<int>, x array<int>, level array<int>, turn array<int>, code array<long>, keys array<long>"
 
 
 def features(media: DataFrame) -> DataFrame:
@@ -232,10 +297,9 @@ def features(media: DataFrame) -> DataFrame:
                         found[k] = f
                 cols = [[[] if f is None else f[name].astype(np.int32) for f in found] for name in ("y", "x", "level", "turn")]
                 code = [[] if f is None else f["code"].reshape(-1).view(np.int64) for f in found]
-                keys = [np.zeros((0, 2), np.int64) if f is None else table_keys(f).view(np.int64) for f in found]
-                longs = [pa.array(c, pa.list_(pa.int64())) for c in (code, [k[:, 0] for k in keys])]
-                longs.append(pa.array([(k[:, 1] >> 32).astype(np.int32) for k in keys], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays([batch.column("media_id"), *(pa.array(c, pa.list_(pa.int32())) for c in cols), *longs], ["media_id", "y", "x", "level", "turn", "code", "keys", "finer"])
+                keys = [[] if f is None else table_keys(f).view(np.int64) for f in found]
+                longs = [pa.array(c, pa.list_(pa.int64())) for c in (code, keys)]
+                yield pa.RecordBatch.from_arrays([batch.column("media_id"), *(pa.array(c, pa.list_(pa.int32())) for c in cols), *longs], ["media_id", "y", "x", "level", "turn", "code", "keys"])
 
     return media.select(F.col("media_id").cast("long").alias("media_id"), "image").mapInArrow(run, FEATURES)
 
@@ -267,20 +331,17 @@ def key_links(feats: DataFrame, most: int = SMALL_KEY, least_tile: int = LEAST_T
     """Links ``(a, b)`` of images that share a key and agree, enough of them to reach
     whatever all such links reach.
 
-    All images of a key of at most ``most`` are compared.  A larger key is split by the
-    whole descriptors; of what is larger still, each image is compared with two leaders,
-    then all pairs that those links leave apart, tile by tile."""
-    keyed = feats.select("media_id", F.explode(F.arrays_zip("keys", "finer")).alias("k")).select("media_id", "k.keys", "k.finer")
-    sizes = keyed.groupBy("keys").agg(F.count("*").alias("n")).where("n > 1")
-    part = F.when(F.col("n") <= most, F.col("keys")).otherwise(F.xxhash64("keys", "finer"))
-    parts = cut(keyed.join(sizes, "keys").select(part.alias("key"), "media_id").distinct(), "parts")
-    entry = F.struct(F.xxhash64("media_id", "key").alias("h"), F.col("media_id").alias("leader"))
-    shared = cut(parts.groupBy("key").agg(F.count("*").alias("n"), F.array(F.min(entry), F.max(entry)).alias("l")).where("n > 1"), "shared")
-    member = parts.join(shared.select("key", "n"), "key")
-    few = member.where(F.col("n") <= most)
+    All images of a key of at most ``most`` are compared pair by pair.  Of a larger key,
+    each image is compared with two leaders, then all pairs that those links leave apart,
+    tile by tile, so a group is bounded and no pair is lost."""
+    keyed = feats.select("media_id", F.explode("keys").alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    member = cut(keyed.join(sizes, "key"), "shared")
+    few, many = member.where(F.col("n") <= most), member.where(F.col("n") > most)
     near = few.select("key", F.col("media_id").alias("a")).join(few.select("key", F.col("media_id").alias("b")), "key").where("a < b").select("a", "b")
-    lead = shared.where(F.col("n") > most).select("key", F.explode("l.leader").alias("leader"))
-    led = member.join(lead, "key").where("media_id <> leader").select(F.least("leader", "media_id").alias("a"), F.greatest("leader", "media_id").alias("b"))
+    entry = F.struct(F.xxhash64("media_id", "key").alias("h"), F.col("media_id").alias("leader"))
+    lead = many.groupBy("key").agg(F.array(F.min(entry), F.max(entry)).alias("l")).select("key", F.explode("l.leader").alias("leader"))
+    led = many.join(lead, "key").where("media_id <> leader").select(F.least("leader", "media_id").alias("a"), F.greatest("leader", "media_id").alias("b"))
     pairs = cut(near.unionByName(led).distinct(), "pairs")
     fields = ("y", "x", "level", "turn", "code")
     side = lambda name: feats.select(F.col("media_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in fields])
@@ -288,24 +349,25 @@ def key_links(feats: DataFrame, most: int = SMALL_KEY, least_tile: int = LEAST_T
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             left, right = _features(batch, fields, "_a"), _features(batch, fields, "_b")
-            keep = [agreement(x, y) >= INLIERS for x, y in zip(left, right, strict=True)]
+            ids, keep = batch.column("b").to_numpy(), []
+            runs = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
+            for lo, hi in zip(runs, runs[1:], strict=False):  # rows of one image follow each other
+                whole, edges = _joined(left[lo:hi])
+                keep += (agreements(right[lo], whole, edges[:-1]) > 0).tolist()
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches):
-            images, ids, tiles = _features(group, fields), group.column("doc_id").to_numpy(), group.column("tile").to_numpy()
-            split = int(np.argmax(tiles != tiles[0]))
-            near = np.zeros((len(ids), len(ids)), bool)
-            for i in range(split or len(ids)):
-                for j in range(split or i + 1, len(ids)):
-                    near[i, j] = agreement(images[i], images[j]) >= INLIERS
-            a, b = forest(near | near.T, ids)
+            a, b = image_links(_features(group, fields), group.column("tile").to_numpy())
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                ids = group.column("doc_id").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
     linked = cut(both.mapInArrow(agree, "a long, b long"), "linked")
-    large = member.where(F.col("n") > most).join(known_parts(linked).withColumnRenamed("doc_id", "media_id"), "media_id", "left")
+    large = many.join(known_parts(linked).withColumnRenamed("doc_id", "media_id"), "media_id", "left")
     corners = feats.select("media_id", F.size("y").cast("long").alias("size"))
     large = cut(large.join(corners, "media_id").select("key", F.col("media_id").alias("doc_id"), "size", F.coalesce("part", "media_id").alias("comp")), "members")
     groups = cut(band_groups(large, least_tile, TILE_CORNERS), "groups")

@@ -580,6 +580,21 @@ def test_media_against_all_pairs(spark, most, tile):
     assert np.mean([x for x, y in same if y]) >= 0.95
 
 
+@pytest.mark.parametrize(("most", "tile"), [(16, 128), (3, 4), (64, 4)])
+def test_every_pair_of_a_large_key(spark, most, tile):
+    """Copies whose only shared key is one that all images have, though their corners differ."""
+    rng = np.random.default_rng(6)
+    images = list(media.draw(rng.normal(0, 0.13, (24, 64)).astype(np.float32)))
+    images += [media.edited(images[k], 5 * k + k % 5) for k in range(0, 24, 2)]
+    want = brute_classes(images)
+    base = spark.createDataFrame([(k, media.encode(x)) for k, x in enumerate(images)], "media_id long, image binary")
+    feats = media.features(base).selectExpr("*", "array(1L) as one").drop("keys").withColumnRenamed("one", "keys")
+    root = {r.node: r.root for r in components(media.key_links(feats, most, tile)).collect()}
+    got = [root.get(k, k) for k in range(len(images))]
+    assert all((got[a] == got[b]) == (want[a] == want[b]) for a in range(len(images)) for b in range(a))
+    assert len(set(want)) <= 25  # nearly all copies agree with their originals
+
+
 def test_agreement():
     rng = np.random.default_rng(9)
     stack = media.draw(rng.normal(0, 0.13, (2, 64)).astype(np.float32))
@@ -588,6 +603,21 @@ def test_agreement():
     assert media.agreement(a, a) >= 10 and media.agreement(a, b) < media.INLIERS and media.agreement(a, turned) >= media.INLIERS
 
 
+def test_agreements():
+    """One image against many at once, with few matches and with many."""
+    rng = np.random.default_rng(9)
+    images = list(media.draw(rng.normal(0, 0.13, (12, 64)).astype(np.float32)))
+    images += [media.edited(images[0], way) for way in range(20)]
+    images += [np.kron(rng.integers(0, 255, (40, 40)), np.ones((8, 8))).astype(np.uint8)]
+    found = [media.describe(x[None])[0] for x in images]
+    found.append(found[-1])
+    whole, edges = media._joined(found)
+    for x in (*found[:3], found[15], found[-1]):
+        want = [media.agreement(y, x) for y in found]
+        assert media.agreements(x, whole, edges[:-1]).tolist() == [n if n >= media.INLIERS else 0 for n in want]
+    assert max(want) > media.MOST_MATCHES
+
+
 def test_corners_grow_with_the_area():
     rng = np.random.default_rng(10)
     large = np.kron(rng.integers(0, 255, (64, 64)), np.ones((8, 8))).astype(np.uint8)
