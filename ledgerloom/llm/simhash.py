@@ -229,8 +229,11 @@ COPY_WORDS = 5
 SIMILARITY = 0.8
 #: MinHash bands of two rows: at the similarity above all are missed with 4e-5.
 BANDS = 10
-#: Shingles that a tile of a large band may hold, about: 8 bytes each.
-TILE_SHINGLES = 1 << 21
+#: Shingles that a tile of a large band may hold, about: 8 bytes each; sets that it may hold
+#: at least, since parities make comparing cheap and each tile that a set meets sends it again.
+TILE_SHINGLES, TILE_SETS = 1 << 21, 1024
+#: Words of 64 bits of a set's parities; sets that are held against all others at once.
+PARITY_WORDS, SETS_AT_ONCE = 16, 128
 
 
 def shingle_set(text: bytes, words: int = COPY_WORDS) -> set[bytes]:
@@ -339,6 +342,49 @@ def alike(sets: list[np.ndarray], tiles: np.ndarray, similarity: float) -> np.nd
     return near | near.T
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """Of each set, in how many elements each value of the last ten bits comes, as odd or
+    even: two sets differ in at least as many elements as their parities differ in bits."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    place = (np.concatenate(sets).view(np.uint64) % np.uint64(64 * PARITY_WORDS)).astype(np.int64)
+    odd = np.bincount(owner * (64 * PARITY_WORDS) + place, minlength=len(sets) * 64 * PARITY_WORDS) % 2
+    return np.packbits(odd.astype(bool)).view(np.uint64).reshape(len(sets), PARITY_WORDS)
+
+
+def set_links(sets: list[np.ndarray], tiles: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links between places of sets that have this Jaccard similarity, enough of them to
+    reach what all reach; of two tiles only links across.
+
+    Pairs whose parities or sizes rule it out are not counted, nor are pairs that links
+    already reach; what is left is counted exactly."""
+    split = int(np.argmax(tiles != tiles[0]))  # 0: all of one tile
+    sizes, odd = np.array([len(x) for x in sets]), parities(sets)
+    label, heads, tails = np.arange(len(sets)), [], []
+    for lo in range(0, split or len(sets), SETS_AT_ONCE):
+        rows, cols = np.arange(lo, min(lo + SETS_AT_ONCE, split or len(sets))), np.arange(split or lo, len(sets))
+        apart = np.zeros((len(rows), len(cols)), np.int64)
+        for word in odd.T:
+            apart += np.bitwise_count(word[rows, None] ^ word[None, cols])
+        both = sizes[rows, None] + sizes[None, cols]
+        apart = np.maximum(apart, np.abs(sizes[rows, None] - sizes[None, cols]))
+        # shared = (both - apart) / 2 at most; a little more passes than rounding could lose
+        may = (both - apart) * (1 + similarity) >= 2 * similarity * both - 1e-6
+        may &= (label[rows, None] != label[None, cols]) & (rows[:, None] < cols[None, :])
+        if not may.any():
+            continue
+        i, j = rows[may.any(axis=1)], cols[may.any(axis=0)]
+        shared = shared_counts([sets[k] for k in (*i, *j)], len(i))
+        total = sizes[i, None] + sizes[None, j] - shared
+        near = (shared >= similarity * total) & (shared > 0) & (i[:, None] < j[None, :])
+        for a, row in zip(i, near, strict=True):
+            for b in j[row & (label[j] != label[a])]:
+                if label[a] != label[b]:
+                    label[label == label[b]] = label[a]
+                    heads.append(a)
+                    tails.append(b)
+    return np.array(heads, np.int64), np.array(tails, np.int64)
+
+
 def band_groups(members: DataFrame, least_tile: int = LEAST_TILE, most_shingles: int = TILE_SHINGLES) -> DataFrame:
     """``(grp, tile, doc_id)`` of ``members(key, doc_id, size, comp)``: every two of a key
     share a group unless both are known to be of one component.
@@ -366,7 +412,7 @@ def band_groups(members: DataFrame, least_tile: int = LEAST_TILE, most_shingles:
     return whole.unionByName(large.select(F.concat_ws(":", F.col("key").cast("string"), F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "tile", "doc_id"))
 
 
-def near_copies(docs: DataFrame, among: DataFrame | None = None, words: int = COPY_WORDS, similarity: float = SIMILARITY, least_tile: int = LEAST_TILE) -> DataFrame:
+def near_copies(docs: DataFrame, among: DataFrame | None = None, words: int = COPY_WORDS, similarity: float = SIMILARITY, least_tile: int = TILE_SETS) -> DataFrame:
     """``(doc_id, class_id)`` of documents whose word shingles are a copy's, by Jaccard
     similarity; only rows of classes of two or more come back.
 
@@ -400,7 +446,7 @@ def fingerprint_links(own: DataFrame, radius: int = RADIUS) -> DataFrame:
     return near.unionByName(same_links(own, "fp"))
 
 
-def copy_links(docs: DataFrame, own: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY, least_tile: int = LEAST_TILE) -> DataFrame:
+def copy_links(docs: DataFrame, own: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY, least_tile: int = TILE_SETS) -> DataFrame:
     """Links ``(a, b)`` of documents of ``own`` (``signatures``, written) that share a band
     and are alike, enough of them to reach whatever all such links reach.
 
@@ -432,9 +478,10 @@ def copy_links(docs: DataFrame, own: DataFrame, words: int = COPY_WORDS, similar
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches):
-            a, b = forest(alike(_lists(group.column("shingles")), group.column("tile").to_numpy(), similarity), group.column("doc_id").to_numpy())
+            a, b = set_links(_lists(group.column("shingles")), group.column("tile").to_numpy(), similarity)
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                ids = group.column("doc_id").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
     led = cut(both.mapInArrow(verify, "a long, b long"), "led")
     # of up to three documents the leaders' comparisons are all

@@ -1,10 +1,13 @@
 """The pipeline stage by stage, and that the rest of the library does without it."""
 
+import inspect
 import random
 import subprocess
 import sys
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import decontaminate, langid, simhash, toxicity
@@ -118,3 +121,32 @@ def test_copies_that_repeat_lines(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = simhash.near_copies(df, df).collect()
     assert {r.doc_id: r.class_id for r in found} == want and len(want) == 80
+
+
+def test_set_links():
+    """Every pair of one tile and across two, where parities say nothing, little or enough."""
+    rng = np.random.default_rng(7)
+    for size in (1, 4, 60, 3000):
+        sets = [np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, size)) for _ in range(40)]
+        for k in range(260):
+            own = sets[k % 40].copy()
+            changed = rng.integers(0, size, int(size * rng.choice([0, 0.1, 0.11, 0.12, 0.3])))
+            own[changed] = rng.integers(-(1 << 63), (1 << 63) - 1, len(changed))
+            sets.append(np.unique(own[: max(1, size - k % 5)]))
+        for tiles in (np.zeros(300), np.repeat([0, 1], [140, 160])):
+            near = simhash.alike(sets, tiles, 0.8)
+            want = simhash.spanning_forest(*np.nonzero(near), np.arange(300))
+            got = simhash.set_links(sets, tiles, 0.8)
+            assert near[got].all()
+            assert [x.tolist() for x in simhash.spanning_forest(*got, np.arange(300))] == [x.tolist() for x in want]
+
+
+def test_a_large_band_sends_its_rows_a_few_times(spark):
+    """A band of unlike documents: rows grow in proportion, not with the tiles of its root."""
+    members = spark.range(2000).selectExpr("1L as key", "id as doc_id", "150L as size", "id as comp")
+    default = inspect.signature(simhash.copy_links).parameters["least_tile"].default
+    groups = simhash.band_groups(members, default).groupBy("grp").agg(F.collect_set("doc_id").alias("ids")).collect()
+    met = np.zeros((2000, 2000), bool)
+    for g in groups:
+        met[np.ix_(g.ids, g.ids)] = True
+    assert met.all() and sum(len(g.ids) for g in groups) <= 3 * 2000
