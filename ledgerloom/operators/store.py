@@ -129,6 +129,22 @@ def rename_files(spark: SparkSession, path: str, old: str, new: str) -> None:
             fs.rename(at, hadoop.Path(root, at.getName().removesuffix(old) + new))
 
 
+def files_of(root: str, kind: str) -> str:
+    """The folder in which ``write_files`` puts the files of a kind."""
+    return f"{root}/kind={kind}"
+
+
+def write_files(rows: DataFrame, root: str, kind: str, **options: str | bool) -> None:
+    """Rows as the CSV files of a kind below ``root``, none of them without a row.
+
+    Spark writes a file for a first partition without rows, of a header only, which a reader
+    would take for a file that came empty; a writer by folder opens files for rows only."""
+    rows.withColumn("kind", F.lit(kind)).write.mode("append").partitionBy("kind").options(**options).csv(root)
+    hadoop = rows.sparkSession._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(files_of(root, kind))  # a kind without rows has an empty folder
+    at.getFileSystem(rows.sparkSession._jsc.hadoopConfiguration()).mkdirs(at)
+
+
 def union_all(*tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 

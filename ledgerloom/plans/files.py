@@ -50,9 +50,9 @@ def charge_batch(spark, sf_dir):
     row = i.select("l_suppkey", F.concat(F.lit("two\nlines, "), "l_linenumber").alias("description"), F.concat(F.lit("c"), "l_partkey").alias("code|1"), F.format_string("%.2f", F.round("l_extendedprice", 2)).alias("standard_charge|gross"), F.lit("P").alias("payer_name"))
     kinds = (("plain", "none", True), ("zipped", "gzip", True), ("damaged", "none", True), ("headless", "none", False))
     for k, (kind, compression, header) in enumerate(kinds):
-        row.where(F.col("l_suppkey") % len(kinds) == k).drop("l_suppkey").write.options(header=header, compression=compression, escape='"').csv(f"{root}/{kind}")
-    store.rename_files(spark, f"{root}/damaged", ".csv", ".csv.gz")  # files that only say that they are zipped
-    kind = F.element_at(F.split("path", "/"), -2)
+        store.write_files(row.where(F.col("l_suppkey") % len(kinds) == k).drop("l_suppkey"), root, kind, header=header, compression=compression, escape='"')
+    store.rename_files(spark, store.files_of(root, "damaged"), ".csv", ".csv.gz")  # files that only say that they are zipped
+    kind = F.substring_index(F.element_at(F.split("path", "/"), -2), "=", -1)
     listed = batch.files(spark, root)
     staged = batch.stage(spark, root, f"{root}-staged", 1 << 16)
     lines = batch.lines(staged)

@@ -6,9 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import loads
+from ledgerloom.operators import loads, store
+from ledgerloom.plans.files import QUERIES, SQL
 from ledgerloom.streaming import arrivals
 
+from .conftest import DATA, rows_of
 from .test_batch import HEAD, put
 
 
@@ -103,3 +105,26 @@ def test_arrivals_with_retry(spark, tmp_path):
     assert run() == want and run() == want
     assert spark.read.parquet(at[1]).count() == 20
     assert {p: os.stat(p).st_mtime_ns for p in kept} == kept  # what was loaded is not written again
+
+
+def test_files_are_written_for_rows_only(spark, tmp_path):
+    rows = spark.range(0, 40, 1, 4).where("id >= 10").withColumnRenamed("id", "n")  # the first partition has none
+    store.write_files(rows, f"{tmp_path}/out", "a", header=True)
+    store.write_files(rows.where("n < 0"), f"{tmp_path}/out", "b", header=True)
+    found = sorted(Path(store.files_of(f"{tmp_path}/out", "a")).glob("*.csv"))
+    assert len(found) == 3 and all(len(p.read_text().splitlines()) == 11 for p in found)
+    assert os.path.isdir(store.files_of(f"{tmp_path}/out", "b")) and not list(Path(f"{tmp_path}/out").glob("kind=b/*.csv"))
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out/kind=a").count() == 30
+
+
+@pytest.mark.parametrize("name", ["arrived_charge_files", "charge_batch"])
+def test_a_table_whose_first_split_has_no_rows(spark, duck, name):
+    """A Parquet file of several splits has its rows in one that may not be the first."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    try:
+        found = QUERIES[name](spark, f"{DATA}/sf0.001")
+        rows = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = duck("sf0.001").sql(SQL[name])
+    assert rows_of(found.columns, rows) == rows_of(want.columns, want.fetchall())
