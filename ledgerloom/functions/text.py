@@ -90,6 +90,13 @@ def strict_ccn(c: Column | str) -> Column:
     return F.when(x.rlike(r"^[0-9]{2}[0-9A-Z]{4}$"), x)
 
 
+def ccn_cell(c: Column, strict: bool = False) -> Column:
+    """As ``ccn`` or ``strict_ccn``, for a plain reference to a cell: most are as they are stored
+    or lack leading zeros."""
+    rest = strict_ccn(c) if strict else ccn(c)
+    return F.when(c.rlike(r"^[0-9]{2}[0-9A-Z]{4}\z"), c).when(c.rlike(r"^[0-9]{1,5}\z"), F.lpad(c, 6, "0")).otherwise(rest)
+
+
 def _digits(c: Column | str) -> Column:
     return empty_to_null(F.regexp_replace(clean_str(c), r"\D", ""))
 
@@ -106,6 +113,11 @@ def strict_zip5(c: Column | str) -> Column:
     return F.when(F.length(x) == 9, F.substring(x, 1, 5)).when(F.length(x) <= 5, F.lpad(x, 5, "0"))
 
 
+def zip_cell(c: Column) -> Column:
+    """As ``strict_zip5``, for a plain reference to a cell."""
+    return F.when(c.rlike(r"^[0-9]{5}\z"), c).when(c.rlike(r"^[0-9]{1,4}\z"), F.lpad(c, 5, "0")).otherwise(strict_zip5(c))
+
+
 def phone(c: Column | str) -> Column:
     x = _digits(c)
     return F.when((F.length(x) == 11) & x.startswith("1"), F.substring(x, 2, 10)).otherwise(x)
@@ -118,6 +130,12 @@ def parse_count(c: Column | str) -> Column:
     return F.struct(value.alias("value"), value.isNull().alias("suppressed"))
 
 
+def count_cell(c: Column) -> Column:
+    """As ``parse_count``, for a plain reference to a cell: most are bare digits."""
+    bare = c.rlike(r"^[0-9]{1,9}(\.[0-9]+)?\z")
+    return F.when(bare, F.struct(c.try_cast("double").try_cast("int").alias("value"), F.lit(False).alias("suppressed"))).otherwise(parse_count(c))
+
+
 def parse_amount(c: Column | str) -> Column:
     raw = F.trim(F.coalesce(column(c).cast("string"), F.lit("")))
     return F.when(~F.lower(raw).isin(*SUPPRESSED_MARKERS), to_decimal(raw, "decimal(16,2)"))

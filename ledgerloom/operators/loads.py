@@ -52,13 +52,13 @@ def load_roster(raw: DataFrame, target: str, state: str = "ALL", active_only: bo
     return write_counted(columns, target, counts, F.col("kind") == "kept", ("kind", *[f"_{m}" for m in marks]))
 
 
-def load_service_area(raw: DataFrame, known: DataFrame | None, target: str, edition: str, source: str, order: Column | None = None) -> dict[str, int]:
-    """Write the first cell of each hospital and ZIP, and count rows ``read``, ``unusable`` (no
+def load_service_area(raw: DataFrame, known: DataFrame | None, target: str, edition: str | Column, source: str, order: Column | None = None) -> dict[str, int]:
+    """Write the first cell of each hospital and ZIP of an edition, and count rows ``read``, ``unusable`` (no
     CCN or no ZIP), ``unknown`` (of hospitals that are not in ``known(ccn)``) and the
     ``unknown_ccns``, ``repeated`` cells, and of those ``loaded`` the ``suppressed``.
 
     Without ``known`` every hospital is; an empty one is an error, not an empty load."""
-    cells = roster.area_cells(raw, order)
+    cells = roster.area_cells(raw, edition, order)
     if known is None:
         cells = cells.withColumn("_k", F.lit(True))
     else:
@@ -66,15 +66,15 @@ def load_service_area(raw: DataFrame, known: DataFrame | None, target: str, edit
             raise ValueError("the roster is empty; load hospitals first")
         cells = cells.join(known.select("ccn", F.lit(True).alias("_k")).distinct(), "ccn", "left")
     kind = F.when(F.col("ccn").isNull() | F.col("zip5").isNull(), "unusable").when(F.col("_k").isNull(), "unknown").otherwise("kept")
-    rows = cells.withColumns({"kind": kind, "ccn": F.when(kind != "unusable", F.col("ccn")), "zip5": F.when(kind == "kept", F.col("zip5"))})
-    groups = _grouped(rows, ["ccn", "zip5"], F.min_by(F.struct("c", "d", "charges"), "_seq"), {"n": F.lit(True)})
+    rows = cells.withColumns({"kind": kind, "ccn": F.when(kind != "unusable", F.col("ccn")), "zip5": F.when(kind == "kept", F.col("zip5")), "edition": F.when(kind == "kept", F.col("edition"))})
+    groups = _grouped(rows, ["ccn", "zip5", "edition"], F.min_by(F.struct("c", "d", "charges"), "_seq"), {"n": F.lit(True)})
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("_n")))
     kept = F.col("kind") == "kept"
     counts = {
         "read": F.sum("_n"), "unusable": of("unusable"), "unknown": of("unknown"), "unknown_ccns": F.count_if(F.col("kind") == "unknown"),
         "repeated": F.sum(F.when(kept, F.col("_n") - 1)), "suppressed": F.count_if(kept & F.col("suppressed")), "loaded": F.count_if(kept),
     }
-    return write_counted(roster.area_columns(groups, edition, source, "kind", "_n"), target, counts, kept, ("kind", "_n"))
+    return write_counted(roster.area_columns(groups, source, "kind", "_n"), target, counts, kept, ("kind", "_n"))
 
 
 def load_cost_reports(spark: SparkSession, paths: list[str], vintage: int, target: str) -> dict[str, int]:

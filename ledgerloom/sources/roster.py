@@ -88,23 +88,27 @@ def load_statistics(raw: DataFrame, state: str = "ALL") -> DataFrame:
     return rows.agg(F.count("*").alias("read"), F.count_if(is_hospital).alias("hospitals"), F.count_if(is_hospital & match).alias("matched"), F.count_if(is_hospital & match & F.col("is_active")).alias("active"))
 
 
-def area_cells(raw: DataFrame, order: Column | None = None) -> DataFrame:
-    """``(ccn, zip5, c, d, charges, _seq)`` of every row of a service-area feed; a bad CCN or
-    ZIP is null."""
-    rows = resolve(raw.withColumn("_SEQ", order if order is not None else F.monotonically_increasing_id()), AREA_SPELLINGS | {"_seq": ["_SEQ"]}, ("ccn", "zip5", "cases"))
-    cases, days = T.parse_count("cases"), T.parse_count("days")
-    return rows.select(T.strict_ccn("ccn").alias("ccn"), T.strict_zip5("zip5").alias("zip5"), cases.alias("c"), days.alias("d"), T.parse_amount("charges").alias("charges"), "_seq")
+def area_cells(raw: DataFrame, edition: str | Column, order: Column | None = None) -> DataFrame:
+    """``(ccn, zip5, edition, c, d, charges, _seq)`` of every row of a service-area feed; a bad
+    CCN or ZIP is null.  ``edition`` is a column where the feed holds several."""
+    marks = {"_SEQ": order if order is not None else F.monotonically_increasing_id(), "_ROW_EDITION": F.lit(edition) if isinstance(edition, str) else edition}
+    rows = resolve(raw.withColumns(marks), AREA_SPELLINGS | {"edition": ["_ROW_EDITION"], "_seq": ["_SEQ"]}, ("ccn", "zip5", "cases"))
+    cell = lambda name: F.col(name).cast("string")
+    return rows.select(
+        T.ccn_cell(cell("ccn"), strict=True).alias("ccn"), T.zip_cell(cell("zip5")).alias("zip5"), "edition",
+        T.count_cell(cell("cases")).alias("c"), T.count_cell(cell("days")).alias("d"), T.parse_amount("charges").alias("charges"), "_seq",
+    )
 
 
-def area_columns(first: DataFrame, edition: str, source: str, *keep: str) -> DataFrame:
-    """Cells of ``first(ccn, zip5, _r)`` as they are stored."""
-    return first.select("ccn", "zip5", F.lit(edition).alias("edition"), F.col("_r.c.value").alias("cases"), F.col("_r.d.value").alias("days"), F.col("_r.charges").alias("charges"), F.col("_r.c.suppressed").alias("suppressed"), F.lit(source).alias("source"), *keep)
+def area_columns(first: DataFrame, source: str, *keep: str) -> DataFrame:
+    """Cells of ``first(ccn, zip5, edition, _r)`` as they are stored."""
+    return first.select("ccn", "zip5", "edition", F.col("_r.c.value").alias("cases"), F.col("_r.d.value").alias("days"), F.col("_r.charges").alias("charges"), F.col("_r.c.suppressed").alias("suppressed"), F.lit(source).alias("source"), *keep)
 
 
-def service_area(raw: DataFrame, edition: str, source: str, order: Column | None = None) -> DataFrame:
-    """Cells of a service-area feed; of repeated (ccn, zip5) the first counts."""
-    cells = area_cells(raw, order).where("ccn is not null and zip5 is not null")
-    return area_columns(cells.groupBy("ccn", "zip5").agg(F.min_by(F.struct("c", "d", "charges"), "_seq").alias("_r")), edition, source)
+def service_area(raw: DataFrame, edition: str | Column, source: str, order: Column | None = None) -> DataFrame:
+    """Cells of a service-area feed; of repeated (ccn, zip5) of an edition the first counts."""
+    cells = area_cells(raw, edition, order).where("ccn is not null and zip5 is not null")
+    return area_columns(cells.groupBy("ccn", "zip5", "edition").agg(F.min_by(F.struct("c", "d", "charges"), "_seq").alias("_r")), source)
 
 
 def known_only(cells: DataFrame, roster: DataFrame) -> DataFrame:
@@ -118,7 +122,7 @@ def crosswalk(raw: DataFrame, source: str, order: Column | None = None) -> DataF
     """``(npi, ccn, name, source, ccns)``: the first CCN of each NPI, and how many it has."""
     spellings = {"npi": ["NPI"], "ccn": ["CCN"], "name": ["NAME", "ORGANIZATION_NAME"], "_seq": ["_SEQ"]}
     rows = resolve(raw.withColumn("_SEQ", order if order is not None else F.monotonically_increasing_id()), spellings, ("npi", "ccn"))
-    rows = rows.select(T.clean_str("npi").alias("npi"), T.ccn("ccn").alias("ccn"), T.clean_str("name").alias("name"), "_seq").where("npi is not null and ccn is not null")
+    rows = rows.select(T.clean_cell(F.col("npi").cast("string")).alias("npi"), T.ccn_cell(F.col("ccn").cast("string")).alias("ccn"), T.clean_cell(F.col("name").cast("string")).alias("name"), "_seq").where("npi is not null and ccn is not null")
     out = rows.groupBy("npi").agg(F.min_by("ccn", "_seq").alias("ccn"), F.min_by("name", "_seq").alias("name"), F.count_distinct("ccn").alias("ccns"))
     return out.withColumn("source", F.lit(source))
 

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import text as T
 from ledgerloom.operators import loads, store
 from ledgerloom.plans.files import QUERIES, SQL
 from ledgerloom.streaming import arrivals
@@ -128,3 +129,37 @@ def test_a_table_whose_first_split_has_no_rows(spark, duck, name):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     want = duck("sf0.001").sql(SQL[name])
     assert rows_of(found.columns, rows) == rows_of(want.columns, want.fetchall())
+
+
+@pytest.fixture(scope="module")
+def odd_tables(duck, tmp_path_factory):
+    """Rows that share part, order and line, the first of which counts, and parts whose keys
+    have more digits than a ZIP."""
+    root, con = tmp_path_factory.mktemp("odd"), duck("sf0.001")
+    again = "select * replace ((l_suppkey + 1) % 10 as l_suppkey) from lineitem union all select * replace (l_quantity + 1 as l_quantity) from lineitem where l_linenumber <> 2"
+    long = "select * replace (100000 + l_partkey % 20 as l_partkey) from lineitem union all select * replace (10000 as l_partkey, 3 as l_linenumber) from lineitem where l_partkey < 9 union all select * replace (1000000 + l_partkey % 9 as l_partkey) from lineitem"
+    con.execute("set threads = 1")
+    con.execute(f"copy (select * from lineitem union all {again} union all {long}) to '{root}/lineitem.parquet' (format parquet)")
+    con.execute(f"copy supplier to '{root}/supplier.parquet' (format parquet)")
+    return root
+
+
+@pytest.mark.parametrize("name", ["crosswalk_first", "service_area_cells", "service_area_load"])
+def test_ties_and_long_keys(spark, odd_tables, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("set threads = 1")  # of rows that tie, the first in the file
+    for table in ("lineitem", "supplier"):
+        con.execute(f"create view {table} as select * from read_parquet('{odd_tables}/{table}.parquet')")
+    found, want = QUERIES[name](spark, str(odd_tables)), con.sql(SQL[name])
+    assert rows_of(found.columns, found.collect()) == rows_of(want.columns, want.fetchall())
+
+
+def test_cells_are_read_as_by_the_general_functions(spark):
+    cells = ["170001", "17A001", "17a001", "1", "12345", "123456", "1234567", "123456789", " 7 ", "1 7", "", "0", "00", "12.0", "12.9", "-3", "1,200", "+4", "*", "n/a", "x", "1e3", "1234567890", "99999999999", "12345\n", None]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    c = F.col("c")
+    pairs = [(T.ccn_cell(c), T.ccn(c)), (T.ccn_cell(c, strict=True), T.strict_ccn(c)), (T.zip_cell(c), T.strict_zip5(c)), (T.count_cell(c), T.parse_count(c))]
+    for fast, general in pairs:
+        assert df.where(~fast.eqNullSafe(general)).collect() == []
