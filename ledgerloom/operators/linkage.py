@@ -24,19 +24,13 @@ def ambiguous_names(hospitals: DataFrame) -> DataFrame:
     return rows.groupBy("key", "state").agg(F.count_distinct("ccn").alias("ccns")).where("ccns > 1")
 
 
-def by_stamp(sources: DataFrame, hospitals: DataFrame) -> DataFrame:
-    stamped = sources.select("source_file", file_ccn("source_file").alias("ccn")).where("ccn is not null")
-    return stamped.join(hospitals.select("ccn").distinct(), "ccn", "left_semi")
-
-
-def by_npi(sources: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """The first NPI of a source, in order and the primary last, that the crosswalk knows.
+def known_npis(lists: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """``(npis, ccn)`` of distinct lists of NPIs: by the first that the crosswalk knows.
 
     A stored crosswalk has one CCN for each NPI; of several the smallest counts."""
-    listed = F.array_compact(F.concat(F.coalesce("npis", F.array().cast("array<string>")), F.array("primary_npi")))
-    each = sources.select("source_file", F.posexplode(listed).alias("pos", "npi"))
+    each = lists.select("npis", F.posexplode("npis").alias("pos", "npi"))
     hits = each.join(crosswalk.groupBy("npi").agg(F.min("ccn").alias("npi_ccn")), "npi")
-    return hits.groupBy("source_file").agg(F.min_by("npi_ccn", "pos").alias("ccn"))
+    return hits.groupBy("npis").agg(F.min_by("npi_ccn", "pos").alias("ccn"))
 
 
 def by_name(sources: DataFrame, hospitals: DataFrame) -> DataFrame:
@@ -46,12 +40,24 @@ def by_name(sources: DataFrame, hospitals: DataFrame) -> DataFrame:
 
 def link(sources: DataFrame, hospitals: DataFrame, crosswalk: DataFrame, name_fallback: bool = True) -> DataFrame:
     """Sources with ``ccn`` and ``link_method`` by the strongest rule that fits: a stamped
-    file name, an NPI of the crosswalk, a unique name in its state.  A reviewed decision
-    stays."""
-    found = sources.join(by_stamp(sources, hospitals).withColumnRenamed("ccn", "_a"), "source_file", "left")
-    found = found.join(by_npi(sources, crosswalk).withColumnRenamed("ccn", "_b"), "source_file", "left")
-    named = by_name(sources, hospitals) if name_fallback else by_name(sources, hospitals).where("false")
-    found = found.join(named.withColumnRenamed("ccn", "_c"), "source_file", "left")
+    file name, an NPI of the crosswalk (the listed ones in order, the primary last), a unique
+    name in its state.  A reviewed decision stays.
+
+    Each row is linked by what it says itself, so rows that share a file name make no pairs.
+    Rows without a stamp or an NPI have a key of their own, so they don't meet in one task."""
+    own = F.concat(F.lit("none of "), F.coalesce("source_file", F.lit("")))
+    listed = F.array_compact(F.concat(F.coalesce("npis", F.array().cast("array<string>")), F.array("primary_npi")))
+    found = sources.withColumns({
+        "_stamp": F.coalesce(file_ccn("source_file"), own), "_npis": F.when(F.size(listed) > 0, listed).otherwise(F.array(own)),
+        "_key": name_key("hospital_name"), "_state": source_state(F.col("license_state"), F.col("hospital_address")),
+    })
+    stamps = hospitals.select(F.col("ccn").alias("_a")).distinct()
+    npis = known_npis(found.select(F.col("_npis").alias("npis")).distinct(), crosswalk)
+    found = found.join(stamps, F.col("_stamp") == F.col("_a"), "left").join(npis.toDF("_npis", "_b"), "_npis", "left")
+    if name_fallback:
+        found = found.join(unique_names(hospitals).select(F.col("key").alias("_key"), F.col("state").alias("_state"), F.col("ccn").alias("_c")), ["_key", "_state"], "left")
+    else:
+        found = found.withColumn("_c", F.lit(None).cast("string"))
     kept = F.col("link_method") == MANUAL
     method = F.when(F.col("_a").isNotNull(), "filename_ccn").when(F.col("_b").isNotNull(), "crosswalk_npi").when(F.col("_c").isNotNull(), "name_state")
     out = found.withColumns({"ccn": F.when(kept, F.col("ccn")).otherwise(F.coalesce("_a", "_b", "_c")), "link_method": F.when(kept, F.col("link_method")).otherwise(method)})
