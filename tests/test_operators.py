@@ -315,3 +315,26 @@ def test_long_and_odd_documents(spark):
     assert strategies.strategy_rows(costs).where("kind = 'commitment'").count() == 60_000
     plan = community.need_rows(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("sizes", [(1024, 4096, 256), (2, 3, 1)])
+def test_rivals_in_tiles(spark, monkeypatch, sizes):
+    """Tiles of any size give the rivals that a join of all cells gives, ties and all."""
+    rng = random.Random(5)
+    cells = [(f"{rng.randrange(30):02d}", f"z{rng.choice([0, 1, 2, rng.randrange(40)])}", rng.choice([0, 1, 5, 5, -2, None]), rng.random() < 0.1) for _ in range(400)] + [(None, "z1", 3, False), ("01", None, 3, False)]
+    df = spark.createDataFrame(cells, "ccn string, zip5 string, cases int, suppressed boolean").cache()
+    subjects = df.select("ccn").where("cast(ccn as int) % 3 = 0")
+    for name, value in zip(("SUBJECTS", "RIVALS", "ZIPS_AT_ONCE"), sizes, strict=True):
+        monkeypatch.setattr(service_area, name, value)
+    asked = df.where("not suppressed").join(subjects.distinct(), "ccn", "left_semi").select("ccn", "zip5").distinct()
+    pairs = asked.join(service_area.published(df).withColumnRenamed("ccn", "rival"), "zip5").where("ccn <> rival").groupBy("ccn", "rival").agg(F.sum("cases").alias("overlap_cases"), F.count("*").alias("shared_zips"))
+    want = sorted(map(tuple, pairs.collect()), key=lambda r: (r[0], -r[2], r[1]))
+    want = [(*r, k + 1) for c in sorted({r[0] for r in want}) for k, r in enumerate([r for r in want if r[0] == c][:4])]
+    assert sorted(map(tuple, service_area.competitors(df, subjects, 4).collect()), key=lambda r: (r[0], r[4])) == want
+
+
+def test_rivals_leave_their_tile_only_as_the_largest(spark):
+    """Pairs of subjects and rivals are neither joined nor grouped as rows."""
+    df = spark.range(40).selectExpr("cast(id as string) as ccn", "'z' as zip5", "1 as cases", "false as suppressed")
+    plan = service_area.competitors(df, df.select("ccn"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "rival" in plan and "FlatMapCoGroupsInArrow" in plan and "Inner" not in plan
