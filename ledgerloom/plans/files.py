@@ -72,7 +72,7 @@ def charge_files_json(spark, sf_dir):
     payers = F.when(F.col("l_returnflag") != "R", F.array(F.struct(F.col("l_returnflag").alias("payer_name"), F.lit(1).alias("standard_charge_dollar"))))
     item = F.struct(F.lit("x").alias("description"), F.array(F.struct(F.concat(F.lit("c"), "l_partkey").alias("code"), F.lit("CPT").alias("type"))).alias("code_information"), F.array(F.struct(F.col("l_extendedprice").cast("decimal(14,2)").alias("gross_charge"), payers.alias("payers_information"))).alias("standard_charges"))
     files = i.groupBy("l_suppkey").agg(F.to_json(F.struct(F.lit("H").alias("hospital_name"), F.collect_list(item).alias("standard_charge_information"))).alias("value"))
-    files.withColumn("file", F.col("l_suppkey")).select("value", "file").write.partitionBy("file").text(root)
+    files.select("value").write.option("maxRecordsPerFile", 1).text(root)  # a file each in one folder, which one listing shows
     raw = charges.read_json(spark, root, "*.txt")
     return charges.json_charges(raw).select("code", F.col("gross_charge").cast("double").alias("gross_charge"), "payer_name")
 

@@ -316,9 +316,15 @@ hospital_address array<string>, license_information struct<license_number:string
 type_2_npi array<string>, standard_charge_information array<struct<{ITEM}>>"""
 
 
+#: As ``JSON_SCHEMA``, with amounts as variants, which hold a string or an exact number.  Spark
+#: takes the text of a number that it reads as a string from the file anew, a seek for each.
+AMOUNTS = ("gross_charge", "discounted_cash", "minimum", "maximum", "standard_charge_dollar", "standard_charge_percentage", "estimated_amount")
+READ_SCHEMA = re.sub(rf"\b({'|'.join(AMOUNTS)}):string", r"\1:variant", JSON_SCHEMA)
+
+
 def read_json(spark: SparkSession, path: str, names: str = "*.json*") -> DataFrame:
-    """Nested charge files, one row a file; amounts are read as strings, so none is lost."""
-    raw = spark.read.schema(JSON_SCHEMA).options(multiLine=True, recursiveFileLookup=True, pathGlobFilter=names).json(path)
+    """Nested charge files, one row a file; amounts are strings or exact numbers, so none is lost."""
+    raw = spark.read.schema(READ_SCHEMA).options(multiLine=True, recursiveFileLookup=True, pathGlobFilter=names).json(path)
     return raw.select(source_name(F.col("_metadata.file_name")).alias("source_file"), "*")
 
 
@@ -340,17 +346,21 @@ def json_charges(raw: DataFrame, limit: int | None = None) -> DataFrame:
     """Charge rows of nested files: items, their charges, and their payers or none."""
     items = F.col("standard_charge_information") if limit is None else F.slice("standard_charge_information", 1, limit)
     rows = raw.where(is_charge_file()).select("source_file", F.explode(items).alias("i"))
-    rows = rows.select("source_file", "i", F.explode("i.standard_charges").alias("c")).select("source_file", "i", "c", F.explode_outer("c.payers_information").alias("p"))
     codes = F.filter("i.code_information", lambda x: x["code"] != "")
-    extra = F.array_join(F.transform(F.slice(codes, F.lit(2), F.size(codes)), lambda x: F.concat(F.coalesce(x["type"], F.lit("")), F.lit(":"), x["code"])), ";")
+    rows = rows.select("source_file", "i", codes.alias("codes"), F.explode("i.standard_charges").alias("c")).select("source_file", "i", "codes", "c", F.explode_outer("c.payers_information").alias("p"))
+    amounts = {"gross_charge": "c.gross_charge", "discounted_cash": "c.discounted_cash", "min_charge": "c.minimum", "max_charge": "c.maximum", "negotiated_dollar": "p.standard_charge_dollar", "negotiated_percentage": "p.standard_charge_percentage", "median_amount": "p.estimated_amount"}
+    # cells as columns, so that cleaning looks at what is there, not at how it is found
+    rows = rows.select("source_file", "i", "c", "p", "codes", F.get("codes", F.lit(0)).alias("first"), F.array_join("c.modifiers", ";").alias("modifiers"), *[F.col(at).cast("string").alias(f"_{name}") for name, at in amounts.items()])
+    extra = F.array_join(F.transform(F.slice("codes", F.lit(2), F.size("codes")), lambda x: F.concat(F.coalesce(x["type"], F.lit("")), F.lit(":"), x["code"])), ";")
+    cell, amount = lambda c: T.clean_cell(F.col(c)), lambda name, kind="decimal(14,2)": T.cell_decimal(F.col(f"_{name}"), kind).alias(name)
     return rows.select(
-        "source_file", T.clean_str("i.description").alias("description"), T.clean_str("c.billing_class").alias("billing_class"), T.clean_str("c.setting").alias("setting"),
-        T.clean_str("i.drug_information.unit").alias("drug_unit_of_measurement"), T.clean_str("i.drug_information.type").alias("drug_type_of_measurement"), T.clean_str(F.array_join("c.modifiers", ";")).alias("modifiers"),
-        T.clean_str(F.get(codes, F.lit(0))["code"]).alias("code"), T.clean_str(F.get(codes, F.lit(0))["type"]).alias("code_type"), T.empty_to_null(extra).alias("additional_codes"),
-        T.to_decimal("c.gross_charge").alias("gross_charge"), T.to_decimal("c.discounted_cash").alias("discounted_cash"), T.to_decimal("c.minimum").alias("min_charge"), T.to_decimal("c.maximum").alias("max_charge"),
-        T.clean_str("p.payer_name").alias("payer_name"), T.clean_str("p.plan_name").alias("plan_name"), T.to_decimal("p.standard_charge_dollar").alias("negotiated_dollar"), T.to_decimal("p.standard_charge_percentage", "decimal(9,4)").alias("negotiated_percentage"),
-        T.clean_str("p.standard_charge_algorithm").alias("negotiated_algorithm"), T.clean_str("p.methodology").alias("methodology"), T.to_decimal("p.estimated_amount").alias("median_amount"),
-        F.lit(None).cast("decimal(14,2)").alias("percentile_10"), F.lit(None).cast("decimal(14,2)").alias("percentile_90"), F.lit(None).cast("int").alias("count"), T.clean_str("p.additional_payer_notes").alias("additional_notes"),
+        "source_file", cell("i.description").alias("description"), cell("c.billing_class").alias("billing_class"), cell("c.setting").alias("setting"),
+        cell("i.drug_information.unit").alias("drug_unit_of_measurement"), cell("i.drug_information.type").alias("drug_type_of_measurement"), cell("modifiers").alias("modifiers"),
+        cell("first.code").alias("code"), cell("first.type").alias("code_type"), T.empty_to_null(extra).alias("additional_codes"),
+        *map(amount, ("gross_charge", "discounted_cash", "min_charge", "max_charge")),
+        cell("p.payer_name").alias("payer_name"), cell("p.plan_name").alias("plan_name"), amount("negotiated_dollar"), amount("negotiated_percentage", "decimal(9,4)"),
+        cell("p.standard_charge_algorithm").alias("negotiated_algorithm"), cell("p.methodology").alias("methodology"), amount("median_amount"),
+        F.lit(None).cast("decimal(14,2)").alias("percentile_10"), F.lit(None).cast("decimal(14,2)").alias("percentile_90"), F.lit(None).cast("int").alias("count"), cell("p.additional_payer_notes").alias("additional_notes"),
     )
 
 

@@ -127,6 +127,18 @@ def test_json_files(spark, tmp_path):
     assert [(m.ein, m.hospital_address, m.license_state) for m in meta] == [("386006309", "a; b", "KS")]
 
 
+def test_amounts_of_json_files(spark, tmp_path):
+    """Amounts are read as they stand, as numbers or strings, without a seek for each."""
+    given = ["10.50", "123456789012.345", "0.12499999999999999999", "1.5e3", "-2", '"$1,200.00"', '" 7 "', '"n/a"', '""', "null", "true", '{"a": 1}', "[3]", "1e40", "12345678901234567890123456789012345678901234"]
+    items = ", ".join(f'{{"code_information": [{{"code": "{k:02d}"}}], "standard_charges": [{{"gross_charge": {x}, "payers_information": [{{"standard_charge_percentage": {x}}}]}}]}}' for k, x in enumerate(given))
+    (tmp_path / "a.json").write_text(f'{{"hospital_name": "H", "standard_charge_information": [{items}]}}')
+    raw = charges.read_json(spark, str(tmp_path))
+    assert "gross_charge:variant" in raw.schema.simpleString() and "standard_charge_percentage:variant" in raw.schema.simpleString()
+    rows = sorted(charges.json_charges(raw).collect(), key=lambda r: r.code)
+    assert [str(r.gross_charge) for r in rows] == ["10.50", "123456789012.35", "0.12", "1500.00", "-2.00", "1200.00", "7.00", *["None"] * 8]
+    assert [str(r.negotiated_percentage) for r in rows[:4]] == ["10.5000", "None", "0.1250", "1500.0000"]
+
+
 def test_roster(spark, tmp_path):
     (tmp_path / "pos.csv").write_text("﻿prvdr_num,PRVDR_CTGRY_CD,FAC_NAME,STATE_CD,PGM_TRMNTN_CD,ZIP_CD\n170001,01,A,KS,00,67214-1234\n170002,01,B,,08,1\n170003,03,C,KS,00,\n210001,01,D,MD,00,\n,01,E,KS,00,\n")
     raw = roster.read_roster(spark, str(tmp_path / "pos.csv"))
